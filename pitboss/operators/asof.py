@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .scan import carry_last
 
-EARLY_DAY = dt.date(1, 1, 1)
+EARLY_DAY = "0001-01-01"
 
 
 def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_time: str, hist_time: str,
@@ -48,7 +48,7 @@ def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_tim
     p = probe.withColumn("_t", F.col(probe_time).cast("timestamp_ntz")).withColumn("_side", F.lit(1))
     u = p.unionByName(h, allowMissingColumns=True)
     order = [F.col("_t"), F.col("_side"), *[F.col(f"_tb{i}") for i in range(len(tb))]]
-    chunk = F.coalesce(F.to_date("_t"), F.lit(EARLY_DAY)) if split_by_day else None
+    chunk = F.coalesce(F.to_date("_t"), F.lit(EARLY_DAY).cast("date")) if split_by_day else None
     res = carry_last(u, list(by), order, "_payload", out, chunk=chunk, keep=F.col("_side") == 1)
     res = res.withColumn(out, F.when(F.col("_t").isNotNull(), F.col(out)))
     return res.drop("_t", "_side", "_payload", *[f"_tb{i}" for i in range(len(tb))])

@@ -30,7 +30,7 @@ from .scan import max_prefix_sum
 
 DEC = "decimal(19,4)"
 # NULL operation times sort after every real time (ascending, NULLs last).
-LATE_SENTINEL = dt.datetime(9999, 12, 31)
+LATE_SENTINEL = "9999-12-31 00:00:00"
 
 
 def hour_chunk(ts: Column | str) -> Column:

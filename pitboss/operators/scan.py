@@ -104,8 +104,8 @@ def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column], payl
     # whose ordering value is NULL, i.e. rows without a payload).
     chunks = d.groupBy(*keys, _CHUNK).agg(
         F.max_by(F.col(payload), F.when(F.col(payload).isNotNull(), ordkey)).alias("_last"))
-    chunks = (chunks.withColumn("_prev", F.last("_last", ignorenulls=True).over(_prefix_before(keys)))
-              .select(*keys, _CHUNK, "_prev"))
+    chunks = (chunks.withColumn("_chunk_prev", F.last("_last", ignorenulls=True).over(_prefix_before(keys)))
+              .select(*keys, _CHUNK, "_chunk_prev"))
     rows = d if keep is None else d.filter(keep)
     joined = rows.join(chunks, [*keys, _CHUNK], "inner")
-    return joined.withColumn(out, F.coalesce(F.col("_local"), F.col("_prev"))).drop(_CHUNK, "_local", "_prev")
+    return joined.withColumn(out, F.coalesce(F.col("_local"), F.col("_chunk_prev"))).drop(_CHUNK, "_local", "_chunk_prev")

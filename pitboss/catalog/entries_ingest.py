@@ -1 +1,364 @@
-"""Named queries (filled in below)."""
+"""Named queries of ingest, table maintenance and run checks.
+
+Each returns the resulting table state (or control rows) as a DataFrame, so
+the same semantics can be checked against SQL without writing files; the
+storage-side writers are exercised in the tests.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.asof import agent_at
+from ..operators.dedupe import latest_per_key, upsert_last_wins
+from ..plans import quality, silver
+from ..sources import ingest, sinks
+from ..sources.adapters import FROM_DAY, TO_DAY, Bronze
+from ..sources.tables import read_table
+from .adapter_sql import with_adapters
+from .entries_silver import DEC, MEMBERSHIP_DAY_SQL, PS_ADAPTERS, RANGE, SQL_ASOF, SQL_PLAYER_SESSION, known
+from .registry import register
+
+
+def _b(spark, sf):
+    return Bronze(spark, sf)
+
+
+EVENT_COLS = ("event_id", "ts", "user_id", "event_type", "value")
+RUN_DAY = dt.date(2024, 1, 23)          # run day of the re-read example: window starts 2024-01-20
+CUSTOMER_CFG = ingest.SourceConfig("customer", ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+                                   key=("c_custkey",))
+NATION_CFG = ingest.SourceConfig("nation", ("n_nationkey", "n_name", "n_regionkey"), watermark_column="loaded",
+                                 key=("n_nationkey",), full_snapshot=True)
+BY_ID = ingest.SourceConfig("events_by_id", EVENT_COLS, "event_id", "int", key=("event_id",), member_column="user_id")
+BY_TS = ingest.SourceConfig("events_by_ts", EVENT_COLS, "ts", "datetime", key=("event_id",), member_column="user_id")
+BY_TYPE = ingest.SourceConfig("events_by_type", EVENT_COLS, "event_type", "text", key=("event_id",),
+                              member_column="user_id")
+CAUGHT_UP = ingest.SourceConfig("events_caught_up", EVENT_COLS, "event_id", "int", key=("event_id",),
+                                member_column="user_id")
+REREAD = ingest.SourceConfig("events_reread", EVENT_COLS, "event_id", "int", key=("event_id",),
+                             lookback_column="ts", lookback_days=3, member_column="user_id")
+# Fixed example watermarks, stored as text as in the control table.
+WATERMARKS = {"events_by_id": "4000", "events_by_ts": "2024-01-15T00:00:00", "events_by_type": "purchase",
+              "events_caught_up": "99999999", "events_reread": "8000"}
+TYPED = (BY_ID, BY_TS, BY_TYPE, CAUGHT_UP)
+
+
+def _events(spark, sf):
+    return read_table(spark, sf, "events", *EVENT_COLS)
+
+
+@register("src_project", "A1", sql="SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+def q_src_project(spark, sf):
+    return ingest.project(read_table(spark, sf, "customer"), CUSTOMER_CFG)
+
+
+@register("src_full_snapshot", "A2,A7", sql="SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_src_full_snapshot(spark, sf):
+    n = read_table(spark, sf, "nation")
+    batch = ingest.extract(n, NATION_CFG, None)
+    empty_target = batch.filter(F.lit(False))
+    return ingest.load(empty_target, batch, NATION_CFG, F.lit(0))
+
+
+@register("src_watermark", "A3,A5", sql="SELECT event_id, ts, user_id, event_type, value FROM events "
+                                        "WHERE event_id > 4000 AND user_id IS NOT NULL")
+def q_src_watermark(spark, sf):
+    return ingest.extract(_events(spark, sf), BY_ID, WATERMARKS["events_by_id"])
+
+
+@register("src_sliding_reread", "A4,A5", sql="""SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE (event_id > 8000 OR CAST(ts AS DATE) >= DATE '2024-01-20') AND user_id IS NOT NULL""")
+def q_src_sliding_reread(spark, sf):
+    return ingest.extract(_events(spark, sf), REREAD, WATERMARKS["events_reread"], today=RUN_DAY)
+
+
+WM_FILTER_SQL = {
+    "events_by_id": "event_id > 4000",
+    "events_by_ts": "ts > TIMESTAMP '2024-01-15 00:00:00'",
+    "events_by_type": "event_type > 'purchase'",
+    "events_caught_up": "event_id > 99999999",
+}
+WM_TYPE = {"events_by_id": "int", "events_by_ts": "datetime", "events_by_type": "text", "events_caught_up": "int"}
+
+
+@register("wm_typed_cast", "A11", sql=" UNION ALL ".join(
+    f"SELECT '{n}' AS source_table, '{WM_TYPE[n]}' AS watermark_type, count(*) AS rows_read FROM events "
+    f"WHERE {w} AND user_id IS NOT NULL" for n, w in WM_FILTER_SQL.items()))
+def q_wm_typed_cast(spark, sf):
+    out = None
+    for cfg in TYPED:
+        ex = ingest.extract(_events(spark, sf), cfg, WATERMARKS[cfg.name])
+        row = ex.agg(F.count(F.lit(1)).alias("rows_read")).select(
+            F.lit(cfg.name).alias("source_table"), F.lit(cfg.watermark_type).alias("watermark_type"), "rows_read")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+WM_NEW_SQL = {
+    "events_by_id": ("event_id", "CAST(coalesce(greatest(max(event_id), 4000), 4000) AS VARCHAR)"),
+    "events_by_ts": ("ts", "strftime(coalesce(greatest(max(ts), TIMESTAMP '2024-01-15 00:00:00'), "
+                           "TIMESTAMP '2024-01-15 00:00:00'), '%Y-%m-%dT%H:%M:%S.%f')"),
+    "events_by_type": ("event_type", "coalesce(greatest(max(event_type), 'purchase'), 'purchase')"),
+    "events_caught_up": ("event_id", "CAST(coalesce(greatest(max(event_id), 99999999), 99999999) AS VARCHAR)"),
+}
+
+
+@register("wm_advance", "A6,A12", sql=" UNION ALL ".join(
+    f"SELECT '{n}' AS source_table, '{c}' AS watermark_column, {v} AS watermark_value FROM events "
+    f"WHERE {WM_FILTER_SQL[n]} AND user_id IS NOT NULL" for n, (c, v) in WM_NEW_SQL.items()))
+def q_wm_advance(spark, sf):
+    out = None
+    for cfg in TYPED:
+        ex = ingest.extract(_events(spark, sf), cfg, WATERMARKS[cfg.name])
+        row = ingest.advance_watermark(ex, cfg, WATERMARKS[cfg.name])
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("run_log", "A13", sql=" UNION ALL ".join(
+    f"SELECT 'bronze_incremental' AS pipeline_name, '{n}' AS source_table, 'success' AS status, "
+    f"count(*) AS rows_read, count(DISTINCT event_id) AS rows_written, CAST(NULL AS VARCHAR) AS error_message "
+    f"FROM events WHERE {w} AND user_id IS NOT NULL" for n, w in WM_FILTER_SQL.items()))
+def q_run_log(spark, sf):
+    out = None
+    for cfg in TYPED:
+        ex = ingest.extract(_events(spark, sf), cfg, WATERMARKS[cfg.name])
+        # rows_written: rows left after the keyed last-wins reduction of the batch
+        counts = ex.agg(F.count(F.lit(1)).alias("rows_read"), F.count_distinct(*cfg.key).alias("rows_written"))
+        row = ingest.run_log_rows(spark, "bronze_incremental", counts.select(F.lit(cfg.name).alias("source_table"),
+                                                                             "rows_read", "rows_written"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("seed_if_absent", "A12", sql="""SELECT * FROM region WHERE r_regionkey < 3
+UNION ALL SELECT * FROM region s WHERE NOT EXISTS (SELECT 1 FROM region t WHERE t.r_regionkey = s.r_regionkey
+                                                   AND t.r_regionkey < 3)""")
+def q_seed_if_absent(spark, sf):
+    region = read_table(spark, sf, "region")
+    return ingest.seed_if_absent(region.filter(F.col("r_regionkey") < 3), region, ["r_regionkey"])
+
+
+@register("upsert_last_wins", "A7", sql=with_adapters(["agents_players_src"], """
+SELECT DISTINCT ON (membership, datechange) membership, idagent, datechange, created, seq
+FROM agents_players_src ORDER BY membership, datechange, seq DESC"""))
+def q_upsert_last_wins(spark, sf):
+    src = _b(spark, sf).agents_players_src
+    cut = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    key = ["membership", "datechange"]
+    target = latest_per_key(src.filter(F.col("datechange") < cut), key, [F.col("seq")])
+    batch = src.filter(F.col("datechange") >= cut)
+    return upsert_last_wins(target, batch, key, F.col("seq"))
+
+
+@register("upsert_null_key", "A8", sql="""
+SELECT DISTINCT ON (coalesce(k1, -1), coalesce(k2, -1), o_orderdate) k1, k2, o_orderdate, o_orderkey, o_totalprice
+FROM (SELECT nullif(o_custkey % 7, 0) AS k1, nullif(o_orderkey % 5, 0) AS k2, o_orderdate, o_orderkey, o_totalprice
+      FROM orders)
+ORDER BY coalesce(k1, -1), coalesce(k2, -1), o_orderdate, o_orderkey DESC""")
+def q_upsert_null_key(spark, sf):
+    o = read_table(spark, sf, "orders", "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    o = o.select(F.nullif(F.col("o_custkey") % 7, F.lit(0)).alias("k1"),
+                 F.nullif(F.col("o_orderkey") % 5, F.lit(0)).alias("k2"), "o_orderdate", "o_orderkey", "o_totalprice")
+    key = [F.coalesce(F.col("k1"), F.lit(-1)), F.coalesce(F.col("k2"), F.lit(-1)), F.col("o_orderdate")]
+    return ingest.dedupe_batch(o, key, F.col("o_orderkey"))
+
+
+@register("append_only", "A9", sql=with_adapters(["visits"], "SELECT * FROM visits"))
+def q_append_only(spark, sf):
+    v = _b(spark, sf).visits
+    half = F.col("datework") < F.lit("2024-01-15").cast("date")
+    cfg = ingest.SourceConfig("visits", tuple(v.columns), "created", "datetime")
+    return ingest.load(v.filter(half), v.filter(~half), cfg, F.lit(0))
+
+
+@register("coerce_bool", "A10", sql="""
+SELECT doc_id, CAST(quality AS BOOLEAN) AS quality, CAST(toxic AS BOOLEAN) AS toxic FROM labels""")
+def q_coerce_bool(spark, sf):
+    cfg = ingest.SourceConfig("labels", ("doc_id", "quality", "toxic"), bool_columns=("quality", "toxic"))
+    return ingest.project(read_table(spark, sf, "labels"), cfg)
+
+
+VISITS_EVOLVED = T.StructType([
+    T.StructField("datework", T.DateType()), T.StructField("membership", T.LongType()),
+    T.StructField("time_in", T.TimestampNTZType()), T.StructField("time_out", T.TimestampNTZType()),
+    T.StructField("created", T.TimestampNTZType()), T.StructField("minutes_played", T.DecimalType(19, 4)),
+])
+
+
+@register("schema_conform", "A24", sql=with_adapters(["visits"], f"""
+SELECT datework, membership, time_in, time_out, created, CAST(0 AS {DEC}) AS minutes_played FROM visits"""))
+def q_schema_conform(spark, sf):
+    return sinks.conform(_b(spark, sf).visits, VISITS_EVOLVED, {"minutes_played": 0})
+
+
+@register("dim_upsert", "A20,F8", sql=with_adapters(["agent_groups", "agents"], """
+SELECT g.idagentgroup, g.idagent, a.nameagent, g.datebegin, g.dateend, g.modified
+FROM agent_groups g LEFT JOIN agents a ON a.idagent = g.idagent"""))
+def q_dim_upsert(spark, sf):
+    b = _b(spark, sf)
+    a = b.agents.withColumnRenamed("idagent", "_aid")
+    g = b.agent_groups
+    rows = g.join(a, g["idagent"] == a["_aid"], "left").select(
+        "idagentgroup", "idagent", "nameagent", "datebegin", "dateend", "modified")
+    return upsert_last_wins(rows.filter(F.lit(False)), rows, ["idagentgroup"], F.col("modified"))
+
+
+# ---------------------------------------------------------------- refresh states
+REMOVED_DAY = "2024-01-10"     # the day whose source rows are gone in the recomputation
+
+
+def visit_day_aggregate(visits):
+    return visits.filter(silver.known_member("membership")).groupBy(
+        F.col("datework").alias("gamingday"), "membership").agg(
+        F.count(F.lit(1)).alias("visits"), F.min(F.coalesce("time_in", "created")).alias("first_in"))
+
+
+SQL_VISIT_DAY = f"""
+old_state AS (
+  SELECT datework AS gamingday, membership, count(*) AS visits, min(coalesce(time_in, created)) AS first_in
+  FROM visits WHERE {known('membership')} GROUP BY ALL),
+new_state AS (
+  SELECT datework AS gamingday, membership, count(*) AS visits, min(coalesce(time_in, created)) AS first_in
+  FROM visits WHERE {known('membership')} AND datework <> DATE '{REMOVED_DAY}' GROUP BY ALL)"""
+
+
+def _visit_states(spark, sf):
+    v = _b(spark, sf).visits
+    return visit_day_aggregate(v), visit_day_aggregate(v.filter(F.col("datework") != F.lit(REMOVED_DAY).cast("date")))
+
+
+@register("range_refresh", "A17", sql=with_adapters(["visits"], f"""
+SELECT * FROM old_state WHERE NOT (gamingday {RANGE}) OR gamingday IS NULL
+UNION ALL SELECT * FROM new_state WHERE gamingday {RANGE}""", SQL_VISIT_DAY))
+def q_range_refresh(spark, sf):
+    old, new = _visit_states(spark, sf)
+    return sinks.refresh_range_state(old, new, "gamingday", FROM_DAY, TO_DAY)
+
+
+@register("full_refresh", "A19", sql=with_adapters(["visits"], "SELECT * FROM new_state", SQL_VISIT_DAY))
+def q_full_refresh(spark, sf):
+    return sinks.full_refresh_state(_visit_states(spark, sf)[1])
+
+
+SQL_AGENT_STATES = SQL_VISIT_DAY + f""",
+old_agent AS (SELECT o.*, CAST(nullif(pl.idagent, 0) AS INT) AS idagent FROM old_state o
+              LEFT JOIN players pl ON pl.membership = o.membership),
+new_agent AS (SELECT n.gamingday, n.membership, n.visits, n.first_in,
+                     CAST({SQL_ASOF.format(p='n', t='first_in')} AS INT) AS idagent
+              FROM new_state n LEFT JOIN players pl ON pl.membership = n.membership),
+new_scoped AS (SELECT * FROM new_agent WHERE gamingday {RANGE} AND idagent = 3)"""
+
+
+@register("range_refresh_agent", "A18", sql=with_adapters(["visits", "players", "agents_players"], """
+SELECT * FROM old_agent o
+WHERE NOT coalesce(o.gamingday BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND o.idagent = 3, false)
+  AND NOT EXISTS (SELECT 1 FROM new_scoped n WHERE n.gamingday = o.gamingday AND n.membership = o.membership)
+UNION ALL SELECT * FROM new_scoped""", SQL_AGENT_STATES))
+def q_range_refresh_agent(spark, sf):
+    b = _b(spark, sf)
+    old, new = _visit_states(spark, sf)
+    pl = b.players.select(F.col("membership").alias("_pm"), F.nullif(F.col("idagent"), F.lit(0)).alias("idagent"))
+    old_a = old.join(pl, old["membership"] == pl["_pm"], "left").drop("_pm") \
+        .withColumn("idagent", F.col("idagent").cast("int"))
+    new_a = agent_at(new, b.agents_players, b.players.select("membership", "idagent"), "membership", "first_in") \
+        .withColumn("idagent", F.col("idagent").cast("int"))
+    return sinks.refresh_scoped_state(old_a, new_a, "gamingday", FROM_DAY, TO_DAY, "idagent", 3,
+                                      ["gamingday", "membership"])
+
+
+# ---------------------------------------------------------------- archive / purge
+CUTOFF = dt.date(2024, 1, 10)
+PURGE_TABLES_SQL = {
+    "bronze.person_visits_raw": ("visits", "datework"),
+    "bronze.cashdesk_transactions_raw": ("cashdesk_tx", "datework"),
+    "bronze.casino_players_tracking_raw": ("players_tracking", "datework"),
+    "bronze.manage_player_sessions_raw": ("player_sessions", "CAST(timestart AS DATE)"),
+}
+
+
+def _purge_sql() -> str:
+    parts = []
+    for mode in sinks.ARCHIVE_MODES:
+        for name, (tbl, day) in PURGE_TABLES_SQL.items():
+            archived = "count(*) FILTER (WHERE {d} < DATE '2024-01-10')".format(d=day) if mode == "archive_delete" \
+                else "CAST(0 AS BIGINT)"
+            parts.append(f"SELECT '{mode}' AS mode, '{name}' AS table_name, {archived} AS archived_rows, "
+                         f"count(*) FILTER (WHERE {day} < DATE '2024-01-10') AS deleted_rows FROM {tbl}")
+    return with_adapters(["visits", "cashdesk_tx", "players_tracking", "player_sessions"], " UNION ALL ".join(parts))
+
+
+@register("archive_purge", "A23", sql=_purge_sql())
+def q_archive_purge(spark, sf):
+    b = _b(spark, sf)
+    tables = {
+        "bronze.person_visits_raw": (b.visits, F.col("datework")),
+        "bronze.cashdesk_transactions_raw": (b.cashdesk_tx, F.col("datework")),
+        "bronze.casino_players_tracking_raw": (b.players_tracking, F.col("datework")),
+        "bronze.manage_player_sessions_raw": (b.player_sessions, F.to_date("timestart")),
+    }
+    out = None
+    for mode in sinks.ARCHIVE_MODES:
+        c = sinks.archive_purge_counts(tables, CUTOFF, mode).select(F.lit(mode).alias("mode"), "*")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+# ---------------------------------------------------------------- run window and checks
+LAST_LOADED = "2024-01-17"
+YESTERDAY = dt.date(2024, 1, 20)
+
+
+@register("refresh_window", "K1,D18", sql=f"""
+WITH d AS ({MEMBERSHIP_DAY_SQL}),
+t AS (SELECT max(gamingday) AS last_loaded_day FROM d WHERE gamingday <= DATE '{LAST_LOADED}')
+SELECT last_loaded_day,
+  CASE WHEN last_loaded_day IS NOT NULL AND last_loaded_day < DATE '2024-01-20' THEN last_loaded_day
+       ELSE DATE '2024-01-20' END AS from_day,
+  DATE '2024-01-20' AS to_day,
+  CASE WHEN last_loaded_day IS NOT NULL AND last_loaded_day < DATE '2024-01-20' THEN 'catchup' ELSE 'daily' END AS mode
+FROM t
+UNION ALL SELECT last_loaded_day, DATE '2024-01-17', DATE '2024-01-20', 'lookback' FROM t""")
+def q_refresh_window(spark, sf):
+    d = silver.membership_day(_b(spark, sf), FROM_DAY, TO_DAY)
+    loaded = d.filter(F.col("gamingday") <= F.lit(LAST_LOADED).cast("date"))
+    a = quality.refresh_window(loaded, "gamingday", YESTERDAY)
+    b = quality.refresh_window(loaded, "gamingday", YESTERDAY, lookback_days=3, anchor=YESTERDAY)
+    return a.unionByName(b)
+
+
+@register("health_check", "K2", sql=f"""
+WITH d AS ({MEMBERSHIP_DAY_SQL})
+SELECT DATE '2024-01-20' AS day, count(*) FILTER (WHERE gamingday = DATE '2024-01-20') > 0 AS has_rows FROM d
+UNION ALL SELECT DATE '2024-01-21', count(*) FILTER (WHERE gamingday = DATE '2024-01-21') > 0 FROM d""")
+def q_health_check(spark, sf):
+    d = silver.membership_day(_b(spark, sf), FROM_DAY, TO_DAY)
+    return quality.health_check(d, "gamingday", YESTERDAY).unionByName(
+        quality.health_check(d, "gamingday", YESTERDAY + dt.timedelta(days=1)))
+
+
+@register("row_count_snapshot", "D17", sql=with_adapters(
+    ["visits", "cashdesk_tx", "drgt"] + PS_ADAPTERS, f"""
+SELECT 'bronze.person_visits_raw' AS table_name, count(*) AS rows FROM visits WHERE datework {RANGE}
+UNION ALL SELECT 'bronze.cashdesk_transactions_raw', count(*) FROM cashdesk_tx WHERE datework {RANGE}
+UNION ALL SELECT 'bronze.drgt_sessions_raw', count(*) FROM drgt WHERE gamingday {RANGE}
+UNION ALL SELECT 'silver.fact_player_session', count(*) FROM ps
+UNION ALL SELECT 'silver.fact_membership_day', count(*) FROM md
+UNION ALL SELECT 'gold.fact_membership_day', count(*) FROM md""",
+    "ps AS (" + SQL_PLAYER_SESSION.strip() + "),\nmd AS (" + MEMBERSHIP_DAY_SQL + ")"))
+def q_row_count_snapshot(spark, sf):
+    b = _b(spark, sf)
+    md = silver.membership_day(b, FROM_DAY, TO_DAY)
+    return quality.row_count_snapshot({
+        "bronze.person_visits_raw": b.visits.filter(F.col("datework").between(F.lit(FROM_DAY), F.lit(TO_DAY))),
+        "bronze.cashdesk_transactions_raw": b.cashdesk_tx.filter(F.col("datework").between(F.lit(FROM_DAY),
+                                                                                           F.lit(TO_DAY))),
+        "bronze.drgt_sessions_raw": b.drgt_sessions.filter(F.col("gamingday").between(F.lit(FROM_DAY), F.lit(TO_DAY))),
+        "silver.fact_player_session": silver.player_session(b, FROM_DAY, TO_DAY),
+        "silver.fact_membership_day": md,
+        "gold.fact_membership_day": md,
+    })

@@ -39,6 +39,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         SparkSession.builder.master(master or f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("PITBOSS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.default.parallelism", str(shuffle_partitions or int(cpus)))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import gold, silver
-from ..sources.adapters import FROM_DAY, TO_DAY, Bronze
+from ..sources.adapters import FROM_DAY, TO_DAY, bronze_for
 from .adapter_sql import with_adapters
 from .entries_silver import (DEC, MEMBERSHIP_DAY_SQL, PS_ADAPTERS, RANGE, SQL_ASOF, SQL_PLAYER_SESSION, known)
 from .registry import register
 
 
 def _b(spark, sf):
-    return Bronze(spark, sf)
+    return bronze_for(spark, sf)
 
 
 def _sql_scale_down(int_expr: str, scale: int) -> str:

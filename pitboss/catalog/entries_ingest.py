@@ -16,7 +16,7 @@ from ..operators.asof import agent_at
 from ..operators.dedupe import latest_per_key, upsert_last_wins
 from ..plans import quality, silver
 from ..sources import ingest, sinks
-from ..sources.adapters import FROM_DAY, TO_DAY, Bronze
+from ..sources.adapters import FROM_DAY, TO_DAY, bronze_for
 from ..sources.tables import read_table
 from .adapter_sql import with_adapters
 from .entries_silver import DEC, MEMBERSHIP_DAY_SQL, PS_ADAPTERS, RANGE, SQL_ASOF, SQL_PLAYER_SESSION, known
@@ -24,7 +24,7 @@ from .registry import register
 
 
 def _b(spark, sf):
-    return Bronze(spark, sf)
+    return bronze_for(spark, sf)
 
 
 EVENT_COLS = ("event_id", "ts", "user_id", "event_type", "value")
@@ -208,6 +208,20 @@ def q_dim_upsert(spark, sf):
     return upsert_last_wins(rows.filter(F.lit(False)), rows, ["idagentgroup"], F.col("modified"))
 
 
+@register("load_reference_dims", "A20,F8", sql=with_adapters(["games", "agent_groups"], """
+SELECT 'silver.dim_game' AS dimension, count(*) AS rows, CAST(max(idgame) AS BIGINT) AS max_key FROM games
+UNION ALL SELECT 'silver.dim_agent_group_scd', count(*), CAST(max(idagentgroup) AS BIGINT) FROM agent_groups"""))
+def q_load_reference_dims(spark, sf):
+    dims = silver.load_reference_dims(_b(spark, sf))
+    keys = {"silver.dim_game": "idgame", "silver.dim_agent_group_scd": "idagentgroup"}
+    out = None
+    for name, df in dims.items():
+        row = df.agg(F.count(F.lit(1)).alias("rows"), F.max(keys[name]).cast("long").alias("max_key")) \
+            .select(F.lit(name).alias("dimension"), "rows", "max_key")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ---------------------------------------------------------------- refresh states
 REMOVED_DAY = "2024-01-10"     # the day whose source rows are gone in the recomputation
 

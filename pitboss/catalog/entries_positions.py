@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedupe import upsert_last_wins
 from ..plans import positions as pos
-from ..sources.adapters import Bronze
+from ..sources.adapters import bronze_for
 from .adapter_sql import with_adapters
 from .registry import register
 
@@ -17,7 +17,7 @@ AS_OF_LATE = dt.date(2024, 6, 1)
 
 
 def _b(spark, sf):
-    return Bronze(spark, sf)
+    return bronze_for(spark, sf)
 
 
 def _activity(b):

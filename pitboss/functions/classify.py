@@ -43,8 +43,16 @@ EXPENSE_TYPES = (
 NO_AGENT = "NO AGENT"
 
 
-def matches_any(text: Column, patterns: Sequence[str]) -> Column:
+def matches_any_sql(text: str, patterns: Sequence[str]) -> str:
+    """SQL form of ``matches_any`` over a column name: one expression string."""
+    parts = [f"{text} ILIKE '%{p.replace(chr(39), chr(39) * 2)}%'" for p in patterns]
+    return "(" + " OR ".join(parts) + ")"
+
+
+def matches_any(text: Column | str, patterns: Sequence[str]) -> Column:
     """``text ILIKE '%p1%' OR text ILIKE '%p2%' ...``; NULL text gives NULL (not true)."""
+    if isinstance(text, str):
+        return F.expr(matches_any_sql(text, patterns))
     cond = None
     for p in patterns:
         c = text.ilike(f"%{p}%")
@@ -52,9 +60,20 @@ def matches_any(text: Column, patterns: Sequence[str]) -> Column:
     return cond
 
 
-def expense_flags(comment: Column) -> dict[str, Column]:
+def expense_flags_sql(comment: str) -> dict[str, str]:
+    """Overlapping category flags of the day fact (B9) as SQL over a column name."""
+    air = matches_any_sql(comment, AIR_TICKET_PATTERNS)
+    disc = matches_any_sql(comment, DISCOUNT_PLUS_PATTERNS)
+    hotel = matches_any_sql(comment, HOTEL_PATTERNS)
+    return {"air": air, "discount_plus": disc, "hotel": hotel,
+            "other": f"(NOT {air} AND NOT {disc} AND NOT {hotel})"}
+
+
+def expense_flags(comment: Column | str) -> dict[str, Column]:
     """Overlapping category flags of the day fact (B9): a comment may be both
     air and hotel; 'other' is none of the three."""
+    if isinstance(comment, str):
+        return {k: F.expr(v) for k, v in expense_flags_sql(comment).items()}
     air = matches_any(comment, AIR_TICKET_PATTERNS)
     disc = matches_any(comment, DISCOUNT_PLUS_PATTERNS)
     hotel = matches_any(comment, HOTEL_PATTERNS)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import (ACC_AGENT_CREDIT, ACC_AGENT_TRANSFER, ACC_CASHDESK, ACC_LG_DISCOUNT,
                                   ACC_OPERATING_EXPENSE, ACC_PRIVATE_DEPOSIT, ACC_SLOT_DISCOUNT,
                                   ACC_TABLE_CASH, DROP_ACCOUNTS, EXPENSE_ACCOUNTS, MONEY_ACCOUNTS,
-                                  agent_label_strict, expense_flags)
+                                  agent_label_strict, expense_flags_sql)
 from ..functions.predicates import (OPEN_END, clean_text, day_between, gaming_day, is_true, known_member,
                                     not_deleted, sign_split)
 from ..operators.asof import agent_at
@@ -32,17 +32,26 @@ DEC = "decimal(19,4)"
 KEYS = ["gamingday", "membership"]
 
 
+ZERO = "CAST(0 AS DECIMAL(19,4))"
+
+
 def _zero() -> Column:
-    return F.lit(0).cast(DEC)
+    return F.expr(ZERO)
+
+
+def _sum(c: str) -> Column:
+    return F.expr(f"coalesce(sum({c}), {ZERO})")
 
 
-def _sum(c: Column | str) -> Column:
-    return F.coalesce(F.sum(c), _zero())
+def _cond_sql(cond: str, value: str) -> str:
+    return f"CASE WHEN {cond} THEN {value} ELSE {ZERO} END"
 
 
-def _cond(cond: Column, value: Column | str) -> Column:
-    v = F.col(value) if isinstance(value, str) else value
-    return F.when(cond, v).otherwise(_zero())
+def _cond(cond: str, value: str) -> Column:
+    """``CASE WHEN cond THEN value ELSE 0 END``.  Measure definitions are
+    Spark SQL expression strings: one expression per measure to build, the
+    same plan as the equivalent Column chain."""
+    return F.expr(_cond_sql(cond, value))
 
 
 # --------------------------------------------------------------------------- visits
@@ -106,8 +115,8 @@ def money_tx(b, f, t) -> DataFrame:
 def drop_events(b, f, t) -> DataFrame:
     m = money_tx(b, f, t).filter(F.col("idaccount").isin(*DROP_ACCOUNTS))
     return m.select(*KEYS, "timeoper", "idoper",
-                    _cond(F.col("idaccount").isin(*DROP_ACCOUNTS), "inamt").cast(DEC).alias("buyamt"),
-                    _cond(F.col("idaccount") == ACC_CASHDESK, "outamtabs").cast(DEC).alias("outamt"))
+                    _cond(f"idaccount IN ({', '.join(str(a) for a in DROP_ACCOUNTS)})", "inamt").alias("buyamt"),
+                    _cond(f"idaccount = {ACC_CASHDESK}", "outamtabs").alias("outamt"))
 
 
 def clean_drop_day(b, f, t, keys=KEYS) -> DataFrame:
@@ -120,32 +129,33 @@ def drop_trace(b, f, t) -> DataFrame:
     return pool_trace(drop_events(b, f, t), KEYS, "timeoper", "idoper")
 
 
-def _money_measures(acc: Column) -> dict[str, Column]:
-    """Row-level money measures; the day value is the sum of each."""
+def _money_measures() -> dict[str, str]:
+    """Row-level money measures (SQL over money_tx columns); the day value is the sum of each."""
+    drop = ", ".join(str(a) for a in DROP_ACCOUNTS)
     return {
-        "cashdesk_in": _cond(acc == ACC_CASHDESK, "inamt"),
-        "cashdesk_out": _cond(acc == ACC_CASHDESK, "outamtabs"),
-        "tablecash_in": _cond(acc == ACC_TABLE_CASH, "inamt"),
-        "totalexchange_in": _cond(acc.isin(*DROP_ACCOUNTS), "inamt"),
-        "agenttransfer_net": _cond(acc == ACC_AGENT_TRANSFER, "totalmoneyue"),
-        "privatedeposit_net": _cond(acc == ACC_PRIVATE_DEPOSIT, "deposit"),
-        "privatedeposit_add": _cond((acc == ACC_PRIVATE_DEPOSIT) & (F.col("deposit") > 0), "deposit"),
-        "privatedeposit_withdraw": _cond((acc == ACC_PRIVATE_DEPOSIT) & (F.col("deposit") < 0), "deposit"),
+        "cashdesk_in": _cond_sql(f"idaccount = {ACC_CASHDESK}", "inamt"),
+        "cashdesk_out": _cond_sql(f"idaccount = {ACC_CASHDESK}", "outamtabs"),
+        "tablecash_in": _cond_sql(f"idaccount = {ACC_TABLE_CASH}", "inamt"),
+        "totalexchange_in": _cond_sql(f"idaccount IN ({drop})", "inamt"),
+        "agenttransfer_net": _cond_sql(f"idaccount = {ACC_AGENT_TRANSFER}", "totalmoneyue"),
+        "privatedeposit_net": _cond_sql(f"idaccount = {ACC_PRIVATE_DEPOSIT}", "deposit"),
+        "privatedeposit_add": _cond_sql(f"idaccount = {ACC_PRIVATE_DEPOSIT} AND deposit > 0", "deposit"),
+        "privatedeposit_withdraw": _cond_sql(f"idaccount = {ACC_PRIVATE_DEPOSIT} AND deposit < 0", "deposit"),
     }
 
 
 def money_day(b, f, t) -> DataFrame:
     """Conditional sums by account per member-day."""
     m = money_tx(b, f, t)
-    meas = _money_measures(F.col("idaccount"))
-    aggs = [F.sum(v).cast(DEC).alias(k) for k, v in meas.items()]
+    aggs = [F.expr(f"CAST(sum({v}) AS {DEC})").alias(k) for k, v in _money_measures().items()]
     out = m.groupBy(*KEYS).agg(*aggs)
     return out.withColumn("totalexchange_net", (F.col("totalexchange_in") - F.col("cashdesk_out")).cast(DEC))
 
 
 def _system_drop_value() -> Column:
-    return _cond((F.col("directionoper") == 1) & is_true("iscalculatedindrop") & F.col("idaccount").isin(*DROP_ACCOUNTS),
-                 F.abs(F.coalesce(F.col("chipsue"), _zero())))
+    drop = ", ".join(str(a) for a in DROP_ACCOUNTS)
+    return _cond(f"directionoper = 1 AND coalesce(iscalculatedindrop, false) AND idaccount IN ({drop})",
+                 f"abs(coalesce(chipsue, {ZERO}))")
 
 
 def system_drop(b, f, t) -> DataFrame:
@@ -163,28 +173,29 @@ def expense_tx(b, f, t) -> DataFrame:
                     F.coalesce(F.col("comment"), F.lit("")).alias("comment"))
 
 
-def _expense_measures() -> dict[str, Column]:
-    acc, d = F.col("idaccount"), F.col("directionoper")
-    fl = expense_flags(F.col("comment"))
-    opex = acc == ACC_OPERATING_EXPENSE
+def _expense_measures() -> dict[str, str]:
+    """Row-level expense measures (SQL over expense_tx columns)."""
+    fl = expense_flags_sql("comment")
+    opex = f"idaccount = {ACC_OPERATING_EXPENSE}"
+    credit = f"idaccount = {ACC_AGENT_CREDIT}"
     return {
-        "expense_total": _cond(opex, "summoney"),
-        "expense_airtickets": _cond(opex & fl["air"], "summoney"),
-        "expense_discount_plus": _cond(opex & fl["discount_plus"], "summoney"),
-        "expense_hotel": _cond(opex & fl["hotel"], "summoney"),
-        "expense_other": _cond(opex & fl["other"], "summoney"),
-        "discount_lg": _cond(acc == ACC_LG_DISCOUNT, "summoney"),
-        "discount_slot": _cond(acc == ACC_SLOT_DISCOUNT, "summoney"),
-        "agent_credit_out": _cond((acc == ACC_AGENT_CREDIT) & (d == 1), "summoney"),
-        "agent_credit_void": _cond((acc == ACC_AGENT_CREDIT) & (d == -1), "summoney"),
-        "agent_credit_net": _cond(acc == ACC_AGENT_CREDIT, "summoney"),
+        "expense_total": _cond_sql(opex, "summoney"),
+        "expense_airtickets": _cond_sql(f"{opex} AND {fl['air']}", "summoney"),
+        "expense_discount_plus": _cond_sql(f"{opex} AND {fl['discount_plus']}", "summoney"),
+        "expense_hotel": _cond_sql(f"{opex} AND {fl['hotel']}", "summoney"),
+        "expense_other": _cond_sql(f"{opex} AND {fl['other']}", "summoney"),
+        "discount_lg": _cond_sql(f"idaccount = {ACC_LG_DISCOUNT}", "summoney"),
+        "discount_slot": _cond_sql(f"idaccount = {ACC_SLOT_DISCOUNT}", "summoney"),
+        "agent_credit_out": _cond_sql(f"{credit} AND directionoper = 1", "summoney"),
+        "agent_credit_void": _cond_sql(f"{credit} AND directionoper = -1", "summoney"),
+        "agent_credit_net": _cond_sql(credit, "summoney"),
     }
 
 
 def expense_day(b, f, t) -> DataFrame:
     """Ten conditional sums over the overlapping category flags."""
     e = expense_tx(b, f, t)
-    return e.groupBy(*KEYS).agg(*[F.sum(v).cast(DEC).alias(k) for k, v in _expense_measures().items()])
+    return e.groupBy(*KEYS).agg(*[F.expr(f"CAST(sum({v}) AS {DEC})").alias(k) for k, v in _expense_measures().items()])
 
 
 # --------------------------------------------------------------------------- table sessions
@@ -303,11 +314,11 @@ def _stacked_branches(b, f, t) -> DataFrame:
         F.coalesce(F.col("deposit"), _zero()).cast(DEC).alias("deposit"),
         F.coalesce(F.col("summoney"), _zero()).cast(DEC).alias("summoney"),
         F.coalesce(F.col("comment"), F.lit("")).alias("comment"))
-    money = {k: F.when(F.col("_in_money"), v) for k, v in _money_measures(acc).items()}
-    expense = {k: F.when(F.col("_in_expense"), v) for k, v in _expense_measures().items()}
     cash = c.select(*KEYS, _system_drop_value().alias("_sysdrop"),
-                    *[v.alias(f"_m_{k}") for k, v in money.items()],
-                    *[v.alias(f"_e_{k}") for k, v in expense.items()])
+                    *[F.expr(f"CASE WHEN _in_money THEN {v} END").alias(f"_m_{k}")
+                      for k, v in _money_measures().items()],
+                    *[F.expr(f"CASE WHEN _in_expense THEN {v} END").alias(f"_e_{k}")
+                      for k, v in _expense_measures().items()])
 
     sess = sessions_tracked(b, f, t).select(
         *KEYS, F.lit(1).alias("_sess"),
@@ -422,3 +433,19 @@ def fx_rate_daily(b, f, t) -> DataFrame:
     """FX rates of the day range (F7), from the upserted source."""
     r = b.fx_rates.filter(day_between("datechange", f, t))
     return r.select("idcasino", "datechange", "idcurrency", "exchrate", "row_version")
+
+
+def load_reference_dims(b) -> dict[str, DataFrame]:
+    """Reference dimensions after their keyed upserts (F8/A20): never deletes,
+    every non-key column replaced by the latest source row."""
+    from ..operators.dedupe import upsert_last_wins
+    games = b.games
+    a = b.agents.select(F.col("idagent").alias("_aid"), "nameagent")
+    g = b.agent_groups
+    groups = g.join(a, g["idagent"] == a["_aid"], "left").select(
+        "idagentgroup", "idagent", "nameagent", "datebegin", "dateend", "modified")
+    return {
+        "silver.dim_game": upsert_last_wins(games.filter(F.lit(False)), games, ["idgame"], F.lit(0)),
+        "silver.dim_agent_group_scd": upsert_last_wins(groups.filter(F.lit(False)), groups, ["idagentgroup"],
+                                                       F.col("modified")),
+    }

@@ -16,6 +16,7 @@ Fixed fixture values (they define the test inputs and must stay as written):
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -347,29 +348,44 @@ def player_session_v7(spark: SparkSession, sf: str) -> DataFrame:
 
 
 class Bronze:
-    """Lazy accessor for all bronze shapes of one table directory."""
+    """Lazy accessor for all bronze shapes of one table directory.
+
+    Each shape is built once per accessor and then reused: DataFrames are
+    immutable plans, so sharing them is safe, saves the Python-side plan
+    construction, and lets Spark reuse identical sub-plans (exchange reuse)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
         fn = globals().get(name)
-        if fn is None or name.startswith("_") or not callable(fn):
+        if fn is None or name.startswith("_") or not callable(fn) or name == "Bronze":
             raise AttributeError(name)
-        return fn(self.spark, self.sf)
+        df = fn(self.spark, self.sf)
+        self.__dict__[name] = df
+        return df
 
-    @property
+    @cached_property
     def agents_players(self) -> DataFrame:
         """Agent history after the keyed upsert (last copy per key wins)."""
         from ..operators.dedupe import latest_per_key
         return latest_per_key(agents_players_src(self.spark, self.sf), ["membership", "datechange"],
                               [F.col("seq")]).drop("seq")
 
-    @property
+    @cached_property
     def fx_rates(self) -> DataFrame:
         from ..operators.dedupe import latest_per_key
         return latest_per_key(fx_rates_src(self.spark, self.sf), ["idcasino", "datechange", "idcurrency"],
                               [F.col("row_version")])
 
 
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "dt", "F", "T")]
+_ACCESSORS: dict[tuple[int, str], Bronze] = {}
+
+
+def bronze_for(spark: SparkSession, sf_dir: str) -> Bronze:
+    """The shared accessor of one session and table directory."""
+    key = (id(spark), sf_dir)
+    b = _ACCESSORS.get(key)
+    if b is None or b.spark is not spark:
+        b = _ACCESSORS[key] = Bronze(spark, sf_dir)
+    return b

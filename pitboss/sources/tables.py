@@ -10,7 +10,19 @@ DRIVER_TABLES = (
 )
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Parquet scan of one table; naming the columns keeps the scan pruned."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one table; naming the columns keeps the scan pruned.
+
+    The unprojected scan is created once per session and path (file listing
+    and footer schema are read once); every caller projects its own columns
+    from it, and Catalyst prunes each scan to the columns actually used."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
     return df.select(*columns) if columns else df

@@ -12,7 +12,7 @@ from ..functions.classify import EXPENSE_ACCOUNTS, EXPENSE_TYPES, agent_label_lo
 from ..functions.decimals import adt_product, avg_half_up
 from ..functions.predicates import day_between, known_member, not_deleted, unknown_key
 from ..operators.asof import agent_at
-from ..operators.overlap import overlap_left_join
+from ..operators.overlap import overlap_left_join_bucketed
 from ..operators.reconcile import multiset_difference
 from ..operators.scan import chunked_row_number
 from . import silver
@@ -209,7 +209,8 @@ def visit_sessions(b, f, t) -> DataFrame:
     """One row per visit x overlapping table session."""
     v = numbered_visits(b, f, t)
     s = game_sessions(b, f, t)
-    j = overlap_left_join(v, s, ["gaming_day", "membership"], "time_in", "time_out", "timestart", "timefinish")
+    j = overlap_left_join_bucketed(v, s, ["gaming_day", "membership"], ["gaming_day", "membership", "visit_no"],
+                                   "time_in", "time_out", "timestart", "timefinish")
     return j.select("gaming_day", "membership", "visit_no",
                     time_text("time_in").alias("casino_entry_time"), time_text("time_out").alias("casino_exit_time"),
                     time_text("timestart").alias("session_start"), time_text("timefinish").alias("session_finish"),

@@ -63,3 +63,26 @@ def test_upsert_null_key_matches(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (1, 3, "c")], "k int, seq int, val string")
     got = latest_per_key(df, [F.coalesce(F.col("k"), F.lit(-1))], [F.col("seq")]).collect()
     assert sorted(r["val"] for r in got) == ["b", "c"]
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_bucketed_overlap_equals_plain(spark, seed):
+    from pitboss.operators.overlap import overlap_left_join, overlap_left_join_bucketed
+    rnd = random.Random(seed)
+    base = dt.datetime(2024, 1, 5)
+    day = dt.date(2024, 1, 5)
+
+    def t():
+        return None if rnd.random() < 0.1 else base + dt.timedelta(minutes=rnd.randint(0, 2000))
+
+    visits = [(day, rnd.randint(1, 3), i, t(), t()) for i in range(60)]
+    sessions = [(day, rnd.randint(1, 3), j, t(), t()) for j in range(120)]
+    v = spark.createDataFrame(visits, "gaming_day date, membership long, visit_no int, time_in timestamp_ntz, time_out timestamp_ntz")
+    s = spark.createDataFrame(sessions, "gaming_day date, membership long, sid int, timestart timestamp_ntz, timefinish timestamp_ntz")
+    args = ("time_in", "time_out", "timestart", "timefinish")
+    plain = sorted((r["visit_no"], r["sid"] if r["sid"] is not None else -1)
+                   for r in overlap_left_join(v, s, ["gaming_day", "membership"], *args).collect())
+    bucketed = sorted((r["visit_no"], r["sid"] if r["sid"] is not None else -1)
+                      for r in overlap_left_join_bucketed(v, s, ["gaming_day", "membership"],
+                                                          ["gaming_day", "membership", "visit_no"], *args).collect())
+    assert plain == bucketed

@@ -38,6 +38,10 @@ def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_tim
     with NULL time matches nothing.
     """
     tb = list(hist_tiebreak)
+    # Only history of keys that are probed can match: semi-join first, so a
+    # one-day run does not sort the whole history (the probe key set of a
+    # short run is small and can be broadcast after the planner measures it).
+    history = history.join(probe.select(*by), list(by), "left_semi")
     h = history.filter(F.col(hist_time).isNotNull()).select(
         *[F.col(k) for k in by],
         F.col(hist_time).cast("timestamp_ntz").alias("_t"),

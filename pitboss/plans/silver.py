@@ -94,9 +94,19 @@ def cashdesk_in_range(b, f, t) -> DataFrame:
                                 & not_deleted("isdeleted"))
 
 
-def money_per_oper(b) -> DataFrame:
-    """Money rows pre-aggregated per operation."""
-    return b.tx_money.groupBy("idoper").agg(F.sum("summoney").alias("summoney"))
+def money_per_oper(b, opers: DataFrame | None = None) -> DataFrame:
+    """Money rows pre-aggregated per operation.
+
+    The money table has no day column, so a range filter cannot reach it.
+    With ``opers`` (the operation ids of the in-range cashdesk rows) the money
+    rows are semi-joined to those ids before aggregating: a one-day refresh
+    then aggregates one day of money rows, not the whole history.  The id set
+    of a short range is small, so the planner can broadcast it (after
+    measuring it) and filter the money scan without shuffling it."""
+    m = b.tx_money
+    if opers is not None:
+        m = m.join(opers.select("idoper"), "idoper", "left_semi")
+    return m.groupBy("idoper").agg(F.sum("summoney").alias("summoney"))
 
 
 def money_tx(b, f, t) -> DataFrame:
@@ -167,7 +177,7 @@ def system_drop(b, f, t) -> DataFrame:
 
 def expense_tx(b, f, t) -> DataFrame:
     c = cashdesk_in_range(b, f, t).filter(F.col("idaccount").isin(*EXPENSE_ACCOUNTS))
-    c = c.join(money_per_oper(b), "idoper", "left")
+    c = c.join(money_per_oper(b, c), "idoper", "left")
     return c.select(F.col("datework").alias("gamingday"), "membership", "idaccount", "directionoper",
                     F.coalesce(F.col("summoney"), _zero()).cast(DEC).alias("summoney"),
                     F.coalesce(F.col("comment"), F.lit("")).alias("comment"))
@@ -300,7 +310,8 @@ def _stacked_branches(b, f, t) -> DataFrame:
 
     # One cashdesk scan feeds the money, system-drop and expense measures.
     c = cashdesk_in_range(b, f, t)
-    c = c.join(b.tx_calculated, "idoper", "left").join(money_per_oper(b), "idoper", "left")
+    expense_opers = c.filter(F.col("idaccount").isin(*EXPENSE_ACCOUNTS))
+    c = c.join(b.tx_calculated, "idoper", "left").join(money_per_oper(b, expense_opers), "idoper", "left")
     acc = F.col("idaccount")
     in_money = acc.isin(*MONEY_ACCOUNTS) & is_true("iscalculatedindrop")
     in_expense = acc.isin(*EXPENSE_ACCOUNTS)

@@ -50,18 +50,53 @@ def clean_drop(events: DataFrame, keys: Sequence[str], time_col: str, id_col: st
 
 
 def pool_trace(events: DataFrame, keys: Sequence[str], time_col: str, id_col: str,
-               buy: str = "buyamt", out: str = "outamt") -> DataFrame:
+               buy: str = "buyamt", out: str = "outamt", split_hot_groups: bool = True) -> DataFrame:
     """Row-level pool: running sum ``s``, running min ``mins``, pool after and before.
 
-    All three windows share one partitioning and ordering, so Spark evaluates
-    them after a single exchange and sort.
+    One-level form: the three windows share one partitioning and ordering, so
+    Spark evaluates them after a single exchange and sort.  Two-level form
+    (default): the windows run per (group, hour); per hour the total and the
+    minimum running sum are kept; a scan over the hours gives each hour its
+    offset (sum of the earlier hours) and the minimum reached before it:
+
+        s    = offset + local_s
+        mins = least(min_before, offset + local_min)
+        pool_before of an hour's first row = offset - least(min_before, 0)
     """
-    w = (Window.partitionBy(*keys).orderBy(F.col(time_col).asc_nulls_last(), F.col(id_col).asc()))
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    d = events.withColumn("s", F.sum(F.col(out) - F.col(buy)).over(run).cast(DEC))
-    d = d.withColumn("mins", F.min("s").over(run))
-    d = d.withColumn("poolafter", (F.col("s") - F.least(F.col("mins"), F.lit(0))).cast(DEC))
-    d = d.withColumn("poolbefore", F.lag("poolafter", 1, 0).over(w).cast(DEC))
-    clean = F.when(F.col(buy) > 0, F.col(buy) - F.when(F.col("poolbefore") > 0, F.least(F.col(buy), F.col("poolbefore")))
-                   .otherwise(F.lit(0))).otherwise(F.lit(0))
+    order = [F.col(time_col).asc_nulls_last(), F.col(id_col).asc()]
+    d = events.withColumn("_d", (F.col(out) - F.col(buy)).cast(DEC))
+    if not split_hot_groups:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        d = d.withColumn("s", F.sum("_d").over(run).cast(DEC))
+        d = d.withColumn("mins", F.min("s").over(run))
+        d = d.withColumn("poolafter", (F.col("s") - F.least(F.col("mins"), F.lit(0))).cast(DEC))
+        d = d.withColumn("poolbefore", F.lag("poolafter", 1, 0).over(w).cast(DEC))
+        return _with_clean(d.drop("_d"), buy)
+    d = d.withColumn("_chunk", hour_chunk(time_col))
+    w1 = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    run1 = w1.rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_ls", F.sum("_d").over(run1)).withColumn("_lmin", F.min("_ls").over(run1)) \
+         .withColumn("_first", F.row_number().over(w1) == 1) \
+         .withColumn("_lprev", F.lag("_ls", 1).over(w1)).withColumn("_lprevmin", F.lag("_lmin", 1).over(w1))
+    seg = d.groupBy(*keys, "_chunk").agg(F.sum("_d").alias("_tot"), F.min("_ls").alias("_cmin"))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
+    seg = seg.withColumn("_minb", F.min(F.col("_off") + F.col("_cmin")).over(before))
+    j = d.join(seg.select(*keys, "_chunk", "_off", "_minb"), [*keys, "_chunk"], "inner")
+    s_ = F.col("_off") + F.col("_ls")
+    mins = F.least(F.col("_minb"), F.col("_off") + F.col("_lmin"))          # least skips NULL _minb
+    prev_s = F.col("_off") + F.col("_lprev")
+    prev_min = F.least(F.col("_minb"), F.col("_off") + F.col("_lprevmin"))
+    first_before = F.when(F.col("_minb").isNull(), F.lit(0)).otherwise(F.col("_off") - F.least(F.col("_minb"), F.lit(0)))
+    j = j.select(*events.columns, s_.cast(DEC).alias("s"), mins.cast(DEC).alias("mins"),
+                 (s_ - F.least(mins, F.lit(0))).cast(DEC).alias("poolafter"),
+                 F.when(F.col("_first"), first_before).otherwise(prev_s - F.least(prev_min, F.lit(0)))
+                 .cast(DEC).alias("poolbefore"))
+    return _with_clean(j, buy)
+
+
+def _with_clean(d: DataFrame, buy: str) -> DataFrame:
+    b, before = F.col(buy), F.col("poolbefore")
+    clean = F.when(b > 0, b - F.when(before > 0, F.least(b, before)).otherwise(F.lit(0))).otherwise(F.lit(0))
     return d.withColumn("clean", clean.cast(DEC))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,3 +27,14 @@ def multiset_difference(left: DataFrame, right: DataFrame, cols: Sequence[str],
 def summary(diff: DataFrame) -> DataFrame:
     """Exit status of a reconciliation as one row per side: rows and copies."""
     return diff.groupBy("side").agg(F.count(F.lit(1)).alias("distinct_rows"), F.sum("n").alias("copies"))
+
+
+def multiset_difference_of_copies(df: DataFrame, cols: Sequence[str], left_copies: Column, right_copies: Column,
+                                  left_label: str = "only_in_left", right_label: str = "only_in_right") -> DataFrame:
+    """``multiset_difference`` when both sides are views of one source: each row
+    stands for ``left_copies`` rows on the left and ``right_copies`` on the
+    right.  One pass over the source instead of evaluating it per side."""
+    net = (df.select(*cols, (left_copies - right_copies).cast("long").alias("_w"))
+           .groupBy(*cols).agg(F.sum("_w").alias("_net")).filter(F.col("_net") != 0))
+    return net.select(F.when(F.col("_net") > 0, F.lit(left_label)).otherwise(F.lit(right_label)).alias("side"),
+                      *cols, F.abs("_net").cast("long").alias("n"))

@@ -5,6 +5,8 @@ All functions build lazy plans over ``Bronze`` inputs (see ``plans.silver``).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from ..functions.decimals import adt_product, avg_half_up
 from ..functions.predicates import day_between, known_member, not_deleted, unknown_key
 from ..operators.asof import agent_at
 from ..operators.overlap import overlap_left_join_bucketed
-from ..operators.reconcile import multiset_difference
+from ..operators.reconcile import multiset_difference, multiset_difference_of_copies
 from ..operators.scan import chunked_row_number
 from . import silver
 
@@ -240,7 +242,7 @@ REPORT_COLS = ("gaming_day", "membership", "visit_no", "casino_entry_time", "cas
                "session_finish", "averbet")
 
 
-def normalize_report(df: DataFrame) -> DataFrame:
+def normalize_report(df: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
     """Normalise a report side before comparing (H4): 'NULL' text -> NULL,
     times to whole seconds, amounts to 4 digits; the column set must match."""
     missing = [c for c in REPORT_COLS if c not in df.columns]
@@ -255,7 +257,7 @@ def normalize_report(df: DataFrame) -> DataFrame:
     return df.select("gaming_day", F.col("membership").cast("long").alias("membership"),
                      F.col("visit_no").cast("int").alias("visit_no"),
                      *[txt(c).alias(c) for c in REPORT_COLS[3:7]],
-                     F.round(F.col("averbet").cast(DEC), 4).cast(DEC).alias("averbet"))
+                     F.round(F.col("averbet").cast(DEC), 4).cast(DEC).alias("averbet"), *extra)
 
 
 def reconcile(legacy: DataFrame, generated: DataFrame) -> DataFrame:
@@ -265,6 +267,15 @@ def reconcile(legacy: DataFrame, generated: DataFrame) -> DataFrame:
                                "only_in_legacy", "only_in_generated")
 
 
+def reconcile_copies(report: DataFrame, generated_copies: Column) -> DataFrame:
+    """Reconcile a report with a generated version that holds
+    ``generated_copies`` copies of each report row (0 = dropped, 2 = doubled):
+    the same result as ``reconcile`` in one pass over the report."""
+    norm = normalize_report(report, extra=[generated_copies.alias("_copies")])
+    return multiset_difference_of_copies(norm, list(REPORT_COLS), F.lit(1), F.col("_copies"),
+                                         "only_in_legacy", "only_in_generated")
+
+
 def reconcile_top(diff: DataFrame, n: int = 15) -> DataFrame:
     """The n most repeated differing rows per side (G3); ties by the row values.
 

@@ -374,7 +374,7 @@ def _fold(stacked: DataFrame) -> DataFrame:
     return g.filter(F.col("_has_visit") | F.col("_has_slot")).drop("_has_visit", "_has_slot")
 
 
-def membership_day(b, f, t, agent_id: int | None = None, split_hot_members: bool = False) -> DataFrame:
+def membership_day(b, f, t, agent_id: int | None = None, split_hot_members: bool = True) -> DataFrame:
     """The 41-column member-day fact (F1)."""
     folded = _fold(_stacked_branches(b, f, t))
     players = b.players.select("membership", "idagent", "surname", "forename", "idcountry")

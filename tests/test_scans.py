@@ -86,3 +86,36 @@ def test_bucketed_overlap_equals_plain(spark, seed):
                       for r in overlap_left_join_bucketed(v, s, ["gaming_day", "membership"],
                                                           ["gaming_day", "membership", "visit_no"], *args).collect())
     assert plain == bucketed
+
+
+def test_reconcile_two_sided_equals_copies(spark, bronze):
+    from pitboss.plans import gold
+    from pitboss.sources.adapters import FROM_DAY, TO_DAY
+    rep = gold.visit_sessions(bronze, FROM_DAY, TO_DAY)
+    kept = rep.filter(F.col("membership") % 17 != 0)
+    generated = kept.unionByName(kept.filter(F.col("membership") % 19 == 0))
+    m = F.col("membership")
+    a = gold.reconcile(rep, generated)
+    b = gold.reconcile_copies(rep, F.when(m % 17 == 0, 0).when(m % 19 == 0, 2).otherwise(1))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_pool_trace_chunked_equals_plain(spark, seed):
+    from decimal import Decimal
+    from pitboss.operators.pool import pool_trace
+    rnd = random.Random(seed)
+    base = dt.datetime(2024, 1, 5)
+    rows = []
+    for i in range(300):
+        t = None if rnd.random() < 0.05 else base + dt.timedelta(minutes=rnd.randint(0, 1500))
+        buy = Decimal(rnd.randint(0, 100)) if rnd.random() < 0.5 else Decimal(0)
+        out = Decimal(0) if buy else Decimal(rnd.randint(0, 100))
+        rows.append((dt.date(2024, 1, 5), rnd.randint(1, 3), t, i, buy, out))
+    ev = spark.createDataFrame(rows, "gamingday date, membership long, timeoper timestamp_ntz, idoper long, "
+                                     "buyamt decimal(19,4), outamt decimal(19,4)")
+    cols = ["idoper", "s", "mins", "poolafter", "poolbefore", "clean"]
+    keys = ["gamingday", "membership"]
+    a = sorted(tuple(r) for r in pool_trace(ev, keys, "timeoper", "idoper", split_hot_groups=True).select(cols).collect())
+    b = sorted(tuple(r) for r in pool_trace(ev, keys, "timeoper", "idoper", split_hot_groups=False).select(cols).collect())
+    assert a == b

@@ -135,7 +135,8 @@ def machine_history(cfg: DataFrame, chunk_revs: int = 4096) -> DataFrame:
     # carry_last needs plain ascending columns, so the reverse order is
     # encoded by negating each key (a negated NULL still sorts first).
     c = c.withColumn("_o1", -F.col("rev")).withColumn("_o2", -F.datediff(F.col("gamingday"), F.lit("1970-01-01").cast("date"))) \
-         .withColumn("_o3", -F.unix_micros(F.col("generated").cast("timestamp")))
+         .withColumn("_o3", -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                               F.col("generated")))
     chunk = -F.floor(F.col("rev") / F.lit(chunk_revs))
     s = carry_last(c, ["macaddr"], [F.col("_o1"), F.col("_o2"), F.col("_o3")], "_next", "_lead",
                    chunk=chunk, inclusive=False)

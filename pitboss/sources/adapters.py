@@ -231,7 +231,7 @@ def agent_groups(spark: SparkSession, sf: str) -> DataFrame:
         F.col("s_suppkey").cast("int").alias("idagent"),
         F.date_add(start, F.col("r") * 6).alias("datebegin"),
         _null_when(F.col("r") == 4, F.date_add(start, F.col("r") * 6 + 7)).alias("dateend"),
-        F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("modified"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("modified"),
     )
 
 
@@ -383,9 +383,20 @@ _ACCESSORS: dict[tuple[int, str], Bronze] = {}
 
 
 def bronze_for(spark: SparkSession, sf_dir: str) -> Bronze:
-    """The shared accessor of one session and table directory."""
+    """The shared accessor of one session and table directory.
+
+    Its DataFrames keep the file listing of their first use; after the input
+    folders change, ``reset_accessors`` makes the next call list them again."""
     key = (id(spark), sf_dir)
     b = _ACCESSORS.get(key)
     if b is None or b.spark is not spark:
         b = _ACCESSORS[key] = Bronze(spark, sf_dir)
     return b
+
+
+def reset_accessors(spark: SparkSession | None = None) -> None:
+    """Forget shared accessors and remembered scans (of one session, or all)."""
+    from .tables import forget_scans
+    for key in [k for k in _ACCESSORS if spark is None or k[0] == id(spark)]:
+        del _ACCESSORS[key]
+    forget_scans(spark)

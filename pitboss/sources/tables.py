@@ -18,7 +18,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
 
     The unprojected scan is created once per session and path (file listing
     and footer schema are read once); every caller projects its own columns
-    from it, and Catalyst prunes each scan to the columns actually used."""
+    from it, and Catalyst prunes each scan to the columns actually used.
+    The file listing is taken when the scan is first created: a long-lived
+    session whose input folders change calls ``forget_scans`` first."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     df = _SCANS.get(key)
@@ -26,3 +28,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
         df = spark.read.parquet(path)
         _SCANS[key] = df
     return df.select(*columns) if columns else df
+
+
+def forget_scans(spark: SparkSession | None = None) -> None:
+    """Drop remembered scans (of one session, or all) so the next read lists files again."""
+    for key in [k for k in _SCANS if spark is None or k[0] == id(spark)]:
+        del _SCANS[key]

@@ -11,8 +11,8 @@ rewrite:
 * **scoped refresh** (A18) rewrites the touched days as (old rows outside the
   scope and not re-keyed) + (new rows), materialised with ``checkpoint()`` in
   the shared checkpoint folder before the same path is overwritten;
-* **archive/purge** (A23) appends old rows to the archive and rewrites what
-  is kept.
+* **archive/purge** (A23) writes old rows to a per-cutoff archive folder and
+  swaps in a staging copy of what is kept.
 
 The ``*_state`` functions return the resulting table state as a DataFrame
 (used by the named queries and the tests); the ``write_*`` functions apply it
@@ -156,23 +156,67 @@ def archive_or_purge(spark: SparkSession, tables: Mapping[str, tuple[str, Column
                      mode: str = "archive_delete", archive_root: str | None = None) -> DataFrame:
     """Archive (optionally) and remove rows before ``cutoff`` from parquet tables.
 
-    ``tables``: name -> (path, day expression).  Kept rows are checkpointed
-    before the table path is overwritten.  Returns the count rows."""
+    ``tables``: name -> (path, day expression).  Archived rows go to
+    ``archive_root/<name>/cutoff=<day>``; kept rows are written to a staging
+    folder that then replaces the table.  A repeated run (after a failure at
+    any step, or after success) ends in the same state: tables with nothing
+    before the cutoff are not touched, an archive batch is rewritten whole.
+    Returns the count rows."""
     if mode not in ARCHIVE_MODES:
         raise ValueError(f"invalid mode {mode!r}: use archive_delete or delete_only")
-    ensure_checkpoint_dir(spark)
+    if mode == "archive_delete" and archive_root is None:
+        raise ValueError("archive_delete needs archive_root")
     cut = F.lit(cutoff.isoformat()).cast("date")
     frames = {}
     for name, (path, day) in tables.items():
-        df = spark.read.parquet(path)
-        frames[name] = (df, day)
+        _finish_swap(spark, path)
+        frames[name] = (spark.read.parquet(path), day)
+    # One small row per table; it decides below which tables need work.
     counts = archive_purge_counts(frames, cutoff, mode).checkpoint(eager=True)
+    todo = {r["table_name"] for r in counts.collect() if r["deleted_rows"] > 0}
     for name, (path, day) in tables.items():
+        if name not in todo:        # nothing before the cutoff (also a repeated run): leave table and archive
+            continue
         df = frames[name][0]
         if mode == "archive_delete":
-            if archive_root is None:
-                raise ValueError("archive_delete needs archive_root")
-            df.filter(day < cut).write.mode("append").parquet(f"{archive_root.rstrip('/')}/{name}")
-        kept = df.filter(~F.coalesce(day < cut, F.lit(False))).checkpoint(eager=True)
-        kept.write.mode("overwrite").parquet(path)
+            # One archive folder per table and cutoff, written with overwrite:
+            # a run that failed after this step rewrites the same batch.
+            target = f"{archive_root.rstrip('/')}/{name}/cutoff={cutoff.isoformat()}"
+            df.filter(day < cut).write.mode("overwrite").parquet(target)
+        kept = df.filter(~F.coalesce(day < cut, F.lit(False)))
+        _replace_table(spark, kept, path)
     return counts
+
+
+def _staging(path: str) -> str:
+    return path.rstrip("/") + "._staging"
+
+
+def _finish_swap(spark: SparkSession, path: str) -> None:
+    """Complete a swap interrupted between removing the table and renaming its staging copy."""
+    staging = _staging(path)
+    if not path_exists(spark, path) and path_exists(spark, staging):
+        fs, src = _fs_path(spark, staging)
+        fs.rename(src, _fs_path(spark, path)[1])
+
+
+def _replace_table(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Write ``rows`` (computed from ``path``) to a staging folder, then swap it
+    in: the table is never read and overwritten by the same job, and a failure
+    leaves either the old table or a complete staging copy."""
+    staging = _staging(path)
+    rows.write.mode("overwrite").parquet(staging)
+    delete_path(spark, path)
+    fs, src = _fs_path(spark, staging)
+    fs.rename(src, _fs_path(spark, path)[1])
+
+
+def write_report(report: DataFrame, path: str, day_col: str = "GamingDay", fmt: str = "csv") -> None:
+    """Distributed report extract (A25): one folder per gaming day, written by
+    the executors (no rows pass through the driver); CSV with a header row or
+    parquet.  Overwriting a day's folder makes a re-run idempotent."""
+    w = report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col)
+    if fmt == "csv":
+        w.option("header", True).csv(path)
+    else:
+        w.format(fmt).save(path)

@@ -55,6 +55,15 @@ def test_archive_or_purge(spark):
     assert [(r["table_name"], r["archived_rows"], r["deleted_rows"]) for r in counts] == [("v", 2, 2)]
     assert spark.read.parquet(path).count() == 2          # day 4 and the NULL day stay
     assert spark.read.parquet(os.path.join(arch, "v")).count() == 2
+    # a repeated run after success changes nothing (the archive batch is kept)
+    again = sinks.archive_or_purge(spark, {"v": (path, F.col("gamingday"))}, D[2], "archive_delete", arch).collect()
+    assert again[0]["deleted_rows"] == 0
+    assert spark.read.parquet(path).count() == 2
+    assert spark.read.parquet(os.path.join(arch, "v")).count() == 2
+    # a run repeated after failing between archive and rewrite archives nothing twice
+    df.write.mode("overwrite").parquet(path)
+    sinks.archive_or_purge(spark, {"v": (path, F.col("gamingday"))}, D[2], "archive_delete", arch)
+    assert spark.read.parquet(os.path.join(arch, "v")).count() == 2
     with pytest.raises(ValueError):
         sinks.archive_or_purge(spark, {"v": (path, F.col("gamingday"))}, D[2], "drop_all")
 
@@ -72,3 +81,14 @@ def test_streaming_upsert_available_now(spark):
     q.awaitTermination()
     got = {r["k"]: r["val"] for r in spark.read.parquet(target).collect()}
     assert got == {1: "a2", 2: "b", 3: "c"}
+
+
+def test_write_report_per_day(spark, bronze):
+    from pitboss.plans import gold
+    from pitboss.sources.adapters import FROM_DAY, TO_DAY
+    out = os.path.join(_tmp(), "report")
+    rep = gold.visit_report_extract(gold.visit_sessions(bronze, FROM_DAY, TO_DAY))
+    sinks.write_report(rep, out)
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == rep.count()
+    assert back.select("GamingDay").distinct().count() == rep.select("GamingDay").distinct().count()

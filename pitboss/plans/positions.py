@@ -98,13 +98,25 @@ def all_positions(activity: DataFrame, cfg: DataFrame) -> DataFrame:
 CFG_FIELDS = ("inventorynr", "manufacturer", "model")
 
 
+def cfg_summary(cfg: DataFrame) -> DataFrame:
+    """Latest configuration (E6) and the counts (D13) per position in one
+    aggregation: one pass and one shuffle over the configuration table."""
+    c = cfg.filter(F.col("ipaddr").isNotNull())
+    latest = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(_cfg_order())],
+                      F.struct(*[F.col(x) for x in CFG_FIELDS]).alias("_row"))
+    g = c.groupBy("ipaddr").agg(F.max(latest).alias("_latest"), F.count(F.lit(1)).alias("cfg_revisions"),
+                                F.countDistinct("macaddr").alias("machine_turnover"))
+    return g.select("ipaddr", *[F.col(f"_latest._row.{x}").alias(x) for x in CFG_FIELDS], "cfg_revisions",
+                    "machine_turnover")
+
+
 def dim_position(activity: DataFrame, cfg: DataFrame, as_of: dt.date) -> DataFrame:
-    """Position dimension."""
-    a = all_positions(activity, cfg)
-    c = latest_cfg(cfg).select(F.col("ipaddr").alias("_cip"), *CFG_FIELDS)
-    cc = cfg_counts(cfg)
-    d = (a.join(activity, "ipaddr", "left").join(c, F.col("ipaddr") == F.col("_cip"), "left")
-         .join(cc, "ipaddr", "left"))
+    """Position dimension (F9): all positions from activity and configuration,
+    with the latest configuration, the counts and the status as of ``as_of``."""
+    cs = cfg_summary(cfg)
+    a = activity.select("ipaddr").union(cs.select("ipaddr")).distinct()
+    c = cs.withColumnRenamed("ipaddr", "_cip")
+    d = a.join(activity, "ipaddr", "left").join(c, F.col("ipaddr") == F.col("_cip"), "left")
     last_any = F.coalesce(F.col("last_seen_meter"), F.col("last_seen_session"))
     return d.select(
         "ipaddr", ip_readable("ipaddr").alias("ipaddr_readable"), floor_zone("ipaddr").alias("floor_zone"),

@@ -16,7 +16,6 @@ chunks are days, so a key with a third of all rows is spread over its days.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame

@@ -20,7 +20,6 @@ form for callers that need the per-row pool.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window

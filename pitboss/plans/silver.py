@@ -25,7 +25,6 @@ from ..functions.classify import (ACC_AGENT_CREDIT, ACC_AGENT_TRANSFER, ACC_CASH
 from ..functions.predicates import (OPEN_END, clean_text, day_between, gaming_day, is_true, known_member,
                                     not_deleted, sign_split)
 from ..operators.asof import agent_at
-from ..operators.dedupe import latest_per_key
 from ..operators.pool import clean_drop as _clean_drop, pool_trace
 
 DEC = "decimal(19,4)"

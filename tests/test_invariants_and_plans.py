@@ -68,3 +68,16 @@ def test_membership_day_scans_are_pruned(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props" \
         not in plan   # the unused props column is never read
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)" in plan
+
+
+def test_key_checks(spark, bronze):
+    from pitboss.operators.keys import assert_key, assert_not_null, key_violations, orphans
+    md = silver.membership_day(bronze, FROM_DAY, TO_DAY)
+    assert_key(md, ["gamingday", "membership"], "fact_membership_day")
+    assert_not_null(md, ["totaldrop_clean", "sessionscnt"], "fact_membership_day")
+    dup = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k int, v string")
+    assert key_violations(dup, ["k"]).count() == 2
+    with pytest.raises(ValueError):
+        assert_key(dup, ["k"])
+    fact = spark.createDataFrame([(1,), (9,)], "k int")
+    assert [r["k"] for r in orphans(fact, dup, ["k"]).collect()] == [9]

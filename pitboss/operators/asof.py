@@ -28,7 +28,7 @@ EARLY_DAY = "0001-01-01"
 
 def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_time: str, hist_time: str,
               payload: Sequence[str], out: str = "asof", hist_tiebreak: Sequence[Column] = (),
-              split_by_day: bool = False) -> DataFrame:
+              split_by_day: bool = False, history_keys: DataFrame | None = None) -> DataFrame:
     """Probe rows plus ``out``: struct of ``payload`` from the latest history row
     with ``hist_time <= probe_time`` (NULL when there is none).
 
@@ -40,7 +40,10 @@ def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_tim
     # Only history of keys that are probed can match: semi-join first, so a
     # one-day run does not sort the whole history (the probe key set of a
     # short run is small and can be broadcast after the planner measures it).
-    history = history.join(probe.select(*by), list(by), "left_semi")
+    # ``history_keys`` may name a cheaper superset of the probe keys when the
+    # probe itself is the result of a large plan.
+    keys = (history_keys if history_keys is not None else probe).select(*by)
+    history = history.join(keys, list(by), "left_semi")
     h = history.filter(F.col(hist_time).isNotNull()).select(
         *[F.col(k) for k in by],
         F.col(hist_time).cast("timestamp_ntz").alias("_t"),
@@ -58,7 +61,8 @@ def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_tim
 
 
 def agent_at(probe: DataFrame, agent_history: DataFrame, players: DataFrame, member: str, probe_time: str,
-             split_by_day: bool = False, player_cols: Sequence[str] = ()) -> DataFrame:
+             split_by_day: bool = False, player_cols: Sequence[str] = (),
+             member_keys: DataFrame | None = None) -> DataFrame:
     """Agent of a member at a time (C5): latest history row (ties: later
     ``created`` first, NULL ``created`` first of all), else the player's own
     agent with 0 read as none.  A history agent 0 stays 0.  ``player_cols``
@@ -66,7 +70,7 @@ def agent_at(probe: DataFrame, agent_history: DataFrame, players: DataFrame, mem
     hist = agent_history.select(F.col("membership").alias(member), "datechange", "created", "idagent")
     tiebreak = [F.col("created").isNull(), F.col("created")]
     hit = asof_last(probe, hist, [member], probe_time, "datechange", ["idagent"], "_agent", tiebreak,
-                    split_by_day=split_by_day)
+                    split_by_day=split_by_day, history_keys=member_keys)
     pl = players.select(F.col("membership").alias("_pm"), F.col("idagent").alias("_pagent"), *player_cols)
     joined = hit.join(pl, hit[member] == pl["_pm"], "left")
     return joined.withColumn("idagent", F.coalesce(F.col("_agent.idagent"), F.nullif(F.col("_pagent"), F.lit(0)))) \

@@ -377,8 +377,13 @@ def membership_day(b, f, t, agent_id: int | None = None, split_hot_members: bool
     """The 41-column member-day fact (F1)."""
     folded = _fold(_stacked_branches(b, f, t))
     players = b.players.select("membership", "idagent", "surname", "forename", "idcountry")
+    # Members of the range straight from the visit and slot scans: a cheap key
+    # set for pruning the agent history (the folded rows are a large plan).
+    members = visits_in_range(b, f, t).select("membership").unionByName(
+        slots_in_range(b, f, t).select(F.col("playerid").alias("membership")))
     with_agent = agent_at(folded, b.agents_players, players, "membership", "visittime",
-                          split_by_day=split_hot_members, player_cols=("surname", "forename", "idcountry"))
+                          split_by_day=split_hot_members, player_cols=("surname", "forename", "idcountry"),
+                          member_keys=members)
     ag = b.agents.select(F.col("idagent").alias("_aid"), F.col("nameagent"))
     cc = b.countries.select(F.col("idcountry").alias("_cid"), F.col("namecountry"))
     d = (with_agent.join(ag, F.col("idagent") == F.col("_aid"), "left")

@@ -16,34 +16,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column],
-                   key_names: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the row with the greatest ``order`` (ascending NULLs first).
-
-    ``keys`` may be expressions (e.g. ``coalesce(a, -1)``) so NULL keys match;
-    the grouping expressions are kept under ``key_names`` only when given.
-    To order descending or NULLs-last, pass a transformed column (``-x``,
-    ``x.isNull()``) in ``order``.
+def latest_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
+    """One row per key: the row with the greatest ``order`` (ascending, NULLs first).
+
+    ``keys`` may be expressions (e.g. ``coalesce(a, -1)``) so NULL keys match.
+    To prefer NULLs last or a descending value, pass a transformed column
+    (``x.isNotNull()``, ``-x``) in ``order``.  Returns the columns of ``df``.
     """
     key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    grouped_names = key_names or [f"_k{i}" for i in range(len(key_cols))]
-    payload_cols = list(df.columns)
     ordered = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
-                       F.struct(*[F.col(c) for c in payload_cols]).alias("_row"))
-    best = (df.groupBy(*[k.alias(n) for k, n in zip(key_cols, grouped_names)])
+                       F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
+    best = (df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(key_cols)])
             .agg(F.max(ordered).alias("_best")))
-    out = best.select(*([F.col(n) for n in grouped_names] if key_names else []), F.col("_best._row.*"))
-    if key_names:
-        out = out.drop(*[n for n in grouped_names if n in payload_cols and n not in key_names])
-    return out
-
-
-def latest_by_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """``row_number() = 1`` form of the same selection, for rows that must keep
-    the window's exact tie order (``order`` given as sort expressions)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    return best.select(F.col("_best._row.*"))
 
 
 def upsert_last_wins(target: DataFrame, batch: DataFrame, keys: Sequence[str | Column],

@@ -1,0 +1 @@
+"""Column expressions (JVM-side, no Python UDFs): predicates, classification, decimals, positions."""

@@ -232,3 +232,33 @@ def write_report(report: DataFrame, path: str, day_col: str = "GamingDay", fmt:
         w.option("header", True).csv(path)
     else:
         w.format(fmt).save(path)
+
+
+def write_upsert(batch: DataFrame, path: str, key: Sequence[str], seq: Column,
+                 partition_by: Sequence[str] = ()) -> None:
+    """Keyed last-wins upsert of ``batch`` into the parquet table at ``path``.
+
+    With ``partition_by`` only the partitions the batch touches are read and
+    rewritten (dynamic overwrite); the rebuilt partitions are checkpointed in
+    the shared checkpoint folder first, since they are computed from the files
+    they replace.  Without partitions the whole table goes through a staging
+    swap.  Repeating the same batch gives the same table."""
+    from ..operators.dedupe import upsert_last_wins
+    spark = batch.sparkSession
+    _finish_swap(spark, path)
+    if not path_exists(spark, path):
+        state = upsert_last_wins(batch.filter(F.lit(False)), batch, list(key), seq)
+        w = state.write.mode("overwrite")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        return
+    target = spark.read.parquet(path)
+    batch = batch.select(*target.columns)
+    if partition_by:
+        ensure_checkpoint_dir(spark)
+        touched = batch.select(*partition_by).distinct()
+        state = upsert_last_wins(target.join(touched, list(partition_by), "left_semi"), batch, list(key), seq)
+        state = state.checkpoint(eager=True)
+        _layout(state, partition_by[0], [k for k in key if k not in partition_by]).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    else:
+        _replace_table(spark, upsert_last_wins(target, batch, list(key), seq), path)

@@ -18,35 +18,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedupe import upsert_last_wins
 from ..session import ensure_checkpoint_dir
-from ..sources.sinks import path_exists
-
-
-def _apply_upsert(batch: DataFrame, target_path: str, key: Sequence[str], seq: str,
-                  partition_by: Sequence[str]) -> None:
-    spark = batch.sparkSession
-    if not path_exists(spark, target_path):
-        empty = batch.filter(F.lit(False))
-        state = upsert_last_wins(empty, batch, list(key), F.col(seq))
-        w = state.write.mode("overwrite")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(target_path)
-        return
-    target = spark.read.parquet(target_path)
-    if partition_by:
-        touched = batch.select(*partition_by).distinct()
-        target = target.join(touched, list(partition_by), "left_semi")
-    state = upsert_last_wins(target, batch.select(*target.columns), list(key), F.col(seq)).checkpoint(eager=True)
-    w = state.write.mode("overwrite")
-    if partition_by:
-        w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(target_path)
-    else:
-        w.parquet(target_path)
+from ..sources.sinks import write_upsert
 
 
 def incremental_upsert(spark: SparkSession, source_path: str, schema: T.StructType, target_path: str,
@@ -60,7 +38,7 @@ def incremental_upsert(spark: SparkSession, source_path: str, schema: T.StructTy
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_path)
     return (stream.writeStream
-            .foreachBatch(lambda df, _epoch: _apply_upsert(df, target_path, key, seq, partition_by))
+            .foreachBatch(lambda df, _epoch: write_upsert(df, target_path, key, F.col(seq), partition_by))
             .option("checkpointLocation", ckpt)
             .trigger(availableNow=True)
             .start())

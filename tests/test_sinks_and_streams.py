@@ -92,3 +92,24 @@ def test_write_report_per_day(spark, bronze):
     back = spark.read.option("header", True).csv(out)
     assert back.count() == rep.count()
     assert back.select("GamingDay").distinct().count() == rep.select("GamingDay").distinct().count()
+
+
+def test_run_incremental_twice(spark):
+    import datetime as dtm
+    from pitboss.sources import ingest
+    root = _tmp()
+    target, control, log = (os.path.join(root, n) for n in ("target", "control", "log"))
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", "ts", "user_id", "value")
+    cfg = ingest.SourceConfig("events", ("event_id", "ts", "user_id", "value"), "event_id", "int",
+                              key=("event_id",), member_column="user_id")
+    first = ev.filter(F.col("event_id") <= 5000)
+    r1 = ingest.run_incremental(spark, first, cfg, target, control, log, F.col("event_id"), dtm.datetime(2024, 2, 1))
+    assert r1.collect()[0]["rows_read"] == first.count()
+    assert ingest.read_watermark(spark, control, "events") == str(first.agg(F.max("event_id")).collect()[0][0])
+    r2 = ingest.run_incremental(spark, ev, cfg, target, control, log, F.col("event_id"), dtm.datetime(2024, 2, 2))
+    assert r2.collect()[0]["rows_read"] == ev.count() - first.count()      # only rows past the watermark
+    assert spark.read.parquet(target).count() == ev.count()
+    r3 = ingest.run_incremental(spark, ev, cfg, target, control, log, F.col("event_id"), dtm.datetime(2024, 2, 3))
+    assert r3.collect()[0]["rows_read"] == 0                                # caught up: nothing re-read
+    assert spark.read.parquet(log).count() == 3
+    assert spark.read.parquet(control).count() == 1

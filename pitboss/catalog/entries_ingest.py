@@ -355,24 +355,35 @@ def q_health_check(spark, sf):
         quality.health_check(d, "gamingday", YESTERDAY + dt.timedelta(days=1)))
 
 
-@register("row_count_snapshot", "D17", sql=with_adapters(
-    ["visits", "cashdesk_tx", "drgt"] + PS_ADAPTERS, f"""
-SELECT 'bronze.person_visits_raw' AS table_name, count(*) AS rows FROM visits WHERE datework {RANGE}
-UNION ALL SELECT 'bronze.cashdesk_transactions_raw', count(*) FROM cashdesk_tx WHERE datework {RANGE}
-UNION ALL SELECT 'bronze.drgt_sessions_raw', count(*) FROM drgt WHERE gamingday {RANGE}
-UNION ALL SELECT 'silver.fact_player_session', count(*) FROM ps
+def _snapshot_sql() -> str:
+    from .entries_positions import ACT_ADAPTERS, SQL_ACTIVITY, SQL_CFG, _dim_sql
+    extra = ("md AS (" + MEMBERSHIP_DAY_SQL + "),\n" + SQL_ACTIVITY.strip() + ",\n" + SQL_CFG.strip() + ",\n"
+             + _dim_sql("2024-01-31").strip())
+    return with_adapters(["cashdesk_tx", "drgt", "tx_money", "egd_cfg"] + ACT_ADAPTERS, """
+SELECT 'bronze.cashdesk_transactions_raw' AS table_name, count(*) AS rows FROM cashdesk_tx
+UNION ALL SELECT 'bronze.drgt_sessions_raw', count(*) FROM drgt
+UNION ALL SELECT 'bronze.casino_transaction_money_raw', count(*) FROM tx_money
 UNION ALL SELECT 'silver.fact_membership_day', count(*) FROM md
-UNION ALL SELECT 'gold.fact_membership_day', count(*) FROM md""",
-    "ps AS (" + SQL_PLAYER_SESSION.strip() + "),\nmd AS (" + MEMBERSHIP_DAY_SQL + ")"))
+UNION ALL SELECT 'gold.fact_membership_day', count(*) FROM md
+UNION ALL SELECT 'gold.dim_egd_position', count(*) FROM dim
+UNION ALL SELECT 'gold.dim_egd_position.active', count(*) FROM dim WHERE is_active""", extra)
+
+
+@register("row_count_snapshot", "D17", sql=_snapshot_sql())
 def q_row_count_snapshot(spark, sf):
+    """The run snapshot: three whole bronze tables, the member-day fact of the
+    range (silver and gold are one table here), all and active positions."""
+    from ..plans import positions as pos
+    from .entries_positions import AS_OF
     b = _b(spark, sf)
     md = silver.membership_day(b, FROM_DAY, TO_DAY)
+    dim = pos.dim_position(pos.egd_activity(b.meter_day, b.player_session_v7), b.egd_cfg, AS_OF)
     return quality.row_count_snapshot({
-        "bronze.person_visits_raw": b.visits.filter(F.col("datework").between(F.lit(FROM_DAY), F.lit(TO_DAY))),
-        "bronze.cashdesk_transactions_raw": b.cashdesk_tx.filter(F.col("datework").between(F.lit(FROM_DAY),
-                                                                                           F.lit(TO_DAY))),
-        "bronze.drgt_sessions_raw": b.drgt_sessions.filter(F.col("gamingday").between(F.lit(FROM_DAY), F.lit(TO_DAY))),
-        "silver.fact_player_session": silver.player_session(b, FROM_DAY, TO_DAY),
+        "bronze.cashdesk_transactions_raw": b.cashdesk_tx,
+        "bronze.drgt_sessions_raw": b.drgt_sessions,
+        "bronze.casino_transaction_money_raw": b.tx_money,
         "silver.fact_membership_day": md,
         "gold.fact_membership_day": md,
+        "gold.dim_egd_position": dim,
+        "gold.dim_egd_position.active": dim.filter(F.col("is_active")),
     })

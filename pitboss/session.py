@@ -55,16 +55,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is read as given.  Only
-    when it is unset (local tests) a fresh local folder is made and set.
+    On a cluster this setting names shared storage and is read as given (and
+    is required).  Only in local mode, when it is unset (tests), a fresh local
+    folder is made and set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = (spark.conf.get("spark.checkpoint.dir", None)
+               or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+               or spark.sparkContext.getCheckpointDir())
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        # On a cluster a machine-local folder is not visible to the executors
+        # and disappears with the driver: the shared folder must be configured.
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (e.g. on HDFS or object "
+                           "storage) in the session configuration")
     local = tempfile.mkdtemp(prefix="pitboss-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

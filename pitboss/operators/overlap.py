@@ -45,8 +45,20 @@ def _hour_index(ts: Column) -> Column:
     return F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) * 24 + F.hour(ts)
 
 
+def _inner_overlap(visits: DataFrame, sessions: DataFrame, keys: Sequence[str], v_in: str, v_out: str,
+                   s_start: str, s_finish: str) -> DataFrame:
+    s = sessions.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *[c for c in sessions.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = visits[k] == s[f"_s_{k}"]
+        cond = c if cond is None else cond & c
+    cond = cond & overlap_condition(visits[v_in], visits[v_out], s[s_start], s[s_finish])
+    return visits.join(s, cond, "inner").drop(*[f"_s_{k}" for k in keys])
+
+
 def overlap_left_join_bucketed(visits: DataFrame, sessions: DataFrame, keys: Sequence[str], visit_id: Sequence[str],
-                               v_in: str, v_out: str, s_start: str, s_finish: str) -> DataFrame:
+                               v_in: str, v_out: str, s_start: str, s_finish: str,
+                               max_span_hours: int = 48) -> DataFrame:
     """The same result as ``overlap_left_join``, without comparing every visit
     with every session of a key.
 
@@ -59,18 +71,26 @@ def overlap_left_join_bucketed(visits: DataFrame, sessions: DataFrame, keys: Seq
 
     Intervals are normalised to (min, max) for bucketing: the three-branch
     condition implies the normalised intervals intersect, so the first common
-    hour always exists."""
+    hour always exists.  Intervals spanning more than ``max_span_hours`` (bad
+    or unusual data) are not spread over hours: every pair that involves one
+    goes through the plain equi-join, so the spreading stays bounded and the
+    result stays exact."""
     vi, vo = F.col(v_in), F.col(v_out)
     v = visits.withColumn("_vlo", _hour_index(F.least(vi, vo))).withColumn("_vhi", _hour_index(F.greatest(vi, vo)))
-    vb = v.filter(vi.isNotNull() & vo.isNotNull()).withColumn("_hour", F.explode(F.sequence("_vlo", "_vhi")))
+    v_ok = vi.isNotNull() & vo.isNotNull()
+    v_short = v.filter(v_ok & (F.col("_vhi") - F.col("_vlo") <= max_span_hours))
+    v_long = v.filter(v_ok & (F.col("_vhi") - F.col("_vlo") > max_span_hours)).drop("_vlo", "_vhi")
+    vb = v_short.withColumn("_hour", F.explode(F.sequence("_vlo", "_vhi")))
 
     ss, sf = F.col(s_start), F.col(s_finish)
-    s = sessions.select(*[F.col(k).alias(f"_s_{k}") for k in keys],
-                        *[c for c in sessions.columns if c not in keys])
     lo = _hour_index(F.coalesce(F.least(ss, sf), ss, sf))
     hi = _hour_index(F.coalesce(F.greatest(ss, sf), ss, sf))
-    sb = (s.filter(ss.isNotNull() | sf.isNotNull())
-          .withColumn("_slo", lo).withColumn("_s_hour", F.explode(F.sequence(lo, hi))))
+    s_any = sessions.filter(ss.isNotNull() | sf.isNotNull())
+    s_short = s_any.filter(hi - lo <= max_span_hours)
+    s_long = s_any.filter(hi - lo > max_span_hours)
+    s = s_short.select(*[F.col(k).alias(f"_s_{k}") for k in keys],
+                       *[c for c in sessions.columns if c not in keys])
+    sb = s.withColumn("_slo", lo).withColumn("_s_hour", F.explode(F.sequence(lo, hi)))
 
     cond = None
     for k in keys:
@@ -80,5 +100,9 @@ def overlap_left_join_bucketed(visits: DataFrame, sessions: DataFrame, keys: Seq
     cond = cond & overlap_condition(vb[v_in], vb[v_out], sb[s_start], sb[s_finish])
     matched = vb.join(sb, cond, "inner").drop("_vlo", "_vhi", "_hour", "_slo", "_s_hour",
                                                *[f"_s_{k}" for k in keys])
+    # Pairs with a long interval on either side: plain equi-join + condition.
+    matched = matched.unionByName(_inner_overlap(v_long, s_any, keys, v_in, v_out, s_start, s_finish))
+    matched = matched.unionByName(_inner_overlap(v_short.drop("_vlo", "_vhi"), s_long, keys, v_in, v_out,
+                                                 s_start, s_finish))
     unmatched = visits.join(matched.select(*visit_id), list(visit_id), "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -73,7 +73,10 @@ def test_bucketed_overlap_equals_plain(spark, seed):
     day = dt.date(2024, 1, 5)
 
     def t():
-        return None if rnd.random() < 0.1 else base + dt.timedelta(minutes=rnd.randint(0, 2000))
+        if rnd.random() < 0.1:
+            return None
+        span = 2000 if rnd.random() < 0.9 else 9000      # some intervals longer than 48 hours
+        return base + dt.timedelta(minutes=rnd.randint(0, span))
 
     visits = [(day, rnd.randint(1, 3), i, t(), t()) for i in range(60)]
     sessions = [(day, rnd.randint(1, 3), j, t(), t()) for j in range(120)]
@@ -84,7 +87,8 @@ def test_bucketed_overlap_equals_plain(spark, seed):
                    for r in overlap_left_join(v, s, ["gaming_day", "membership"], *args).collect())
     bucketed = sorted((r["visit_no"], r["sid"] if r["sid"] is not None else -1)
                       for r in overlap_left_join_bucketed(v, s, ["gaming_day", "membership"],
-                                                          ["gaming_day", "membership", "visit_no"], *args).collect())
+                                                          ["gaming_day", "membership", "visit_no"], *args,
+                                                          max_span_hours=24).collect())
     assert plain == bucketed
 
 

@@ -28,7 +28,8 @@ EARLY_DAY = "0001-01-01"
 
 def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_time: str, hist_time: str,
               payload: Sequence[str], out: str = "asof", hist_tiebreak: Sequence[Column] = (),
-              split_by_day: bool = False, history_keys: DataFrame | None = None) -> DataFrame:
+              split_by_day: bool = False, history_keys: DataFrame | None = None,
+              chunk_unit: str = "day") -> DataFrame:
     """Probe rows plus ``out``: struct of ``payload`` from the latest history row
     with ``hist_time <= probe_time`` (NULL when there is none).
 
@@ -54,7 +55,8 @@ def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_tim
     p = probe.withColumn("_t", F.col(probe_time).cast("timestamp_ntz")).withColumn("_side", F.lit(1))
     u = p.unionByName(h, allowMissingColumns=True)
     order = [F.col("_t"), F.col("_side"), *[F.col(f"_tb{i}") for i in range(len(tb))]]
-    chunk = F.coalesce(F.to_date("_t"), F.lit(EARLY_DAY).cast("date")) if split_by_day else None
+    early = F.lit(EARLY_DAY).cast("timestamp_ntz")
+    chunk = F.coalesce(F.date_trunc(chunk_unit, F.col("_t")), early) if split_by_day else None
     res = carry_last(u, list(by), order, "_payload", out, chunk=chunk, keep=F.col("_side") == 1)
     res = res.withColumn(out, F.when(F.col("_t").isNotNull(), F.col(out)))
     return res.drop("_t", "_side", "_payload", *[f"_tb{i}" for i in range(len(tb))])
@@ -62,7 +64,7 @@ def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_tim
 
 def agent_at(probe: DataFrame, agent_history: DataFrame, players: DataFrame, member: str, probe_time: str,
              split_by_day: bool = False, player_cols: Sequence[str] = (),
-             member_keys: DataFrame | None = None) -> DataFrame:
+             member_keys: DataFrame | None = None, chunk_unit: str = "day") -> DataFrame:
     """Agent of a member at a time (C5): latest history row (ties: later
     ``created`` first, NULL ``created`` first of all), else the player's own
     agent with 0 read as none.  A history agent 0 stays 0.  ``player_cols``
@@ -70,7 +72,7 @@ def agent_at(probe: DataFrame, agent_history: DataFrame, players: DataFrame, mem
     hist = agent_history.select(F.col("membership").alias(member), "datechange", "created", "idagent")
     tiebreak = [F.col("created").isNull(), F.col("created")]
     hit = asof_last(probe, hist, [member], probe_time, "datechange", ["idagent"], "_agent", tiebreak,
-                    split_by_day=split_by_day, history_keys=member_keys)
+                    split_by_day=split_by_day, history_keys=member_keys, chunk_unit=chunk_unit)
     pl = players.select(F.col("membership").alias("_pm"), F.col("idagent").alias("_pagent"), *player_cols)
     joined = hit.join(pl, hit[member] == pl["_pm"], "left")
     return joined.withColumn("idagent", F.coalesce(F.col("_agent.idagent"), F.nullif(F.col("_pagent"), F.lit(0)))) \

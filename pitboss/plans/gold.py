@@ -84,10 +84,12 @@ def dim_expense_type(spark) -> DataFrame:
 
 
 def _member_dims(b, df: DataFrame, time_col: str) -> DataFrame:
-    """As-of agent at ``time_col`` (split by day for hot members), loose label, country."""
+    """As-of agent at ``time_col`` (split by hour for hot members), loose label, country."""
     players = b.players.select("membership", "idagent", "idcountry")
+    # Transaction probes: a member may hold a large share of one day's rows,
+    # so the split scan chunks by hour.
     d = agent_at(df, b.agents_players, players, "membership", time_col, split_by_day=True,
-                 player_cols=("idcountry",))
+                 player_cols=("idcountry",), chunk_unit="hour")
     ag = b.agents.select(F.col("idagent").alias("_aid"), "nameagent")
     cc = b.countries.select(F.col("idcountry").alias("_cid"), "namecountry")
     d = d.join(ag, F.col("idagent") == F.col("_aid"), "left").join(cc, F.col("idcountry") == F.col("_cid"), "left")

@@ -123,3 +123,24 @@ def test_pool_trace_chunked_equals_plain(spark, seed):
     a = sorted(tuple(r) for r in pool_trace(ev, keys, "timeoper", "idoper", split_hot_groups=True).select(cols).collect())
     b = sorted(tuple(r) for r in pool_trace(ev, keys, "timeoper", "idoper", split_hot_groups=False).select(cols).collect())
     assert a == b
+
+
+@pytest.mark.parametrize("unit", ["day", "hour"])
+def test_asof_split_equals_plain(spark, unit):
+    from pitboss.operators.asof import agent_at
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 5)
+    hist = []
+    for m in (1, 2, 3):
+        for _ in range(60 if m == 1 else 5):           # member 1 is hot
+            t = base + dt.timedelta(minutes=rnd.randint(0, 4000))
+            hist.append((m, t, t, rnd.choice([None, 0, 1, 2, 3])))
+    probes = [(i, rnd.choice([1, 1, 1, 2, 3, 4]), None if rnd.random() < 0.05 else
+               base + dt.timedelta(minutes=rnd.randint(-200, 4200))) for i in range(300)]
+    h = spark.createDataFrame(hist, "membership long, datechange timestamp_ntz, created timestamp_ntz, idagent int")
+    p = spark.createDataFrame(probes, "pid int, membership long, ts timestamp_ntz")
+    pl = spark.createDataFrame([(1, 7), (2, 0), (3, None), (4, 5)], "membership long, idagent int")
+    a = {r["pid"]: r["idagent"] for r in agent_at(p, h, pl, "membership", "ts", split_by_day=True,
+                                                  chunk_unit=unit).collect()}
+    b = {r["pid"]: r["idagent"] for r in agent_at(p, h, pl, "membership", "ts").collect()}
+    assert a == b and len(a) == 300

@@ -132,8 +132,9 @@ def test_asof_split_equals_plain(spark, unit):
     base = dt.datetime(2024, 1, 5)
     hist = []
     for m in (1, 2, 3):
-        for _ in range(60 if m == 1 else 5):           # member 1 is hot
-            t = base + dt.timedelta(minutes=rnd.randint(0, 4000))
+        # member 1 is hot; (member, datechange) is unique, as after the upsert
+        for minute in rnd.sample(range(4000), 60 if m == 1 else 5):
+            t = base + dt.timedelta(minutes=minute)
             hist.append((m, t, t, rnd.choice([None, 0, 1, 2, 3])))
     probes = [(i, rnd.choice([1, 1, 1, 2, 3, 4]), None if rnd.random() < 0.05 else
                base + dt.timedelta(minutes=rnd.randint(-200, 4200))) for i in range(300)]

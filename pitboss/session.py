@@ -25,6 +25,10 @@ SESSION_CONF = {
     # its measured size is below this threshold and falls back to a shuffled
     # join beyond it, so no data-dependent table is broadcast unchecked.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Tables without a day column (money rows, session details, detail chips)
+    # are joined to one day's keys: a runtime bloom filter built from the small
+    # side pre-filters the large side before its shuffle.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
     "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",

@@ -59,3 +59,25 @@ def load_dim_position(b, as_of: dt.date, tables: Mapping[str, str]) -> None:
     activity = positions.egd_activity(b.meter_day, b.player_session_v7)
     sinks.write_full_refresh(positions.dim_position(activity, b.egd_cfg, as_of), tables["dim_egd_position"])
     sinks.write_full_refresh(positions.machine_history(b.egd_cfg), tables["bridge_egd_machine_history"])
+
+
+def daily_refresh(b, tables: Mapping[str, str], yesterday: dt.date):
+    """One daily run (the flow without its scheduler): resolve the window from
+    the stored member-day fact (K1: catch up from the last loaded day, else
+    yesterday only), load the facts and marts for it, and return the health
+    check of ``yesterday`` (K2) as a one-row DataFrame.  Only the window's two
+    dates reach the driver."""
+    from ..sources.sinks import path_exists
+    from . import quality
+    spark = b.spark
+    md_path = tables["fact_membership_day"]
+    if path_exists(spark, md_path):
+        w = quality.refresh_window(spark.read.parquet(md_path), DAY, yesterday).collect()[0]
+        f, t = w["from_day"], w["to_day"]
+    else:
+        f, t = yesterday, yesterday
+    load_membership_day(b, f, t, md_path)
+    load_session_marts(b, f, t, tables)
+    load_player_expenses(b, f, t, tables["fact_player_expenses"])
+    load_player_bonuses(b, f, t, tables["fact_player_bonuses"])
+    return quality.health_check(spark.read.parquet(md_path), DAY, yesterday)

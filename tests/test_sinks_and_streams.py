@@ -141,3 +141,19 @@ def test_load_session_marts(spark, bronze):
     cols = sorted(want.columns)
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
     assert got.count() == want.count()
+
+
+def test_daily_refresh_catches_up(spark, bronze):
+    from pitboss.plans import loads
+    root = _tmp()
+    names = ("fact_membership_day", "fact_player_session", "fact_session_day_by_table_game",
+             "fact_session_day_by_agent_group", "fact_player_expenses", "fact_player_bonuses")
+    tables = {n: os.path.join(root, n) for n in names}
+    h1 = loads.daily_refresh(bronze, tables, dt.date(2024, 1, 17)).collect()[0]
+    assert h1["has_rows"]
+    days1 = {r[0] for r in spark.read.parquet(tables["fact_membership_day"]).select("gamingday").distinct().collect()}
+    assert days1 == {dt.date(2024, 1, 17)}
+    h2 = loads.daily_refresh(bronze, tables, dt.date(2024, 1, 20)).collect()[0]   # catch-up 17..20
+    assert h2["has_rows"]
+    days2 = {r[0] for r in spark.read.parquet(tables["fact_membership_day"]).select("gamingday").distinct().collect()}
+    assert days2 == {dt.date(2024, 1, d) for d in range(17, 21)}

@@ -65,5 +65,9 @@ def money(c: Column | str) -> Column:
 
 def sign_split(direction: Column | str, amount: Column | str, sign: int) -> Column:
     """In/out split by direction (B7): ``abs(coalesce(x, 0))`` on the matching side, else 0."""
+    if isinstance(direction, str) and isinstance(amount, str):
+        # one SQL expression: the same plan, built with a single JVM call
+        return F.expr(f"CAST(CASE WHEN {direction} = {int(sign)} THEN abs(coalesce(CAST({amount} AS DECIMAL(19,4)), "
+                      f"CAST(0 AS DECIMAL(19,4)))) ELSE CAST(0 AS DECIMAL(19,4)) END AS DECIMAL(19,4))")
     return F.when(_c(direction) == sign, F.abs(F.coalesce(money(amount), F.lit(0).cast("decimal(19,4)")))) \
         .otherwise(F.lit(0).cast("decimal(19,4)")).cast("decimal(19,4)")

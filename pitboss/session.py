@@ -89,3 +89,24 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
         except Exception:  # static configs cannot change on a live session
             pass
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
+               min_partitions: int = 200) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of (compressed) input.
+
+    Scan splits and the initial shuffle fan-out are sized so one partition is
+    about ``target_partition_bytes``; AQE then coalesces small shuffle
+    partitions towards half of it and splits skewed ones.  At 100 TB with the
+    default target this gives ~400,000 initial shuffle partitions, which AQE
+    reduces per stage to what the stage's real output needs.  Apply with
+    ``for k, v in scale_conf(n).items(): spark.conf.set(k, v)``."""
+    parts = max(min_partitions, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }

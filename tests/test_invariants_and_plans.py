@@ -81,3 +81,12 @@ def test_key_checks(spark, bronze):
         assert_key(dup, ["k"])
     fact = spark.createDataFrame([(1,), (9,)], "k int")
     assert [r["k"] for r in orphans(fact, dup, ["k"]).collect()] == [9]
+
+
+def test_scale_conf_sizes_partitions():
+    from pitboss.session import scale_conf
+    small = scale_conf(10 * 1024 ** 2)
+    big = scale_conf(100 * 1024 ** 4)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"

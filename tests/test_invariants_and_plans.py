@@ -90,3 +90,13 @@ def test_scale_conf_sizes_partitions():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+
+
+def test_forked_inputs_reuse_their_shuffles(spark):
+    """The overlap join reads the numbered visits in three branches; AQE must
+    reuse their shuffle stages rather than recompute them."""
+    from __spark_entry__ import queries
+    df = queries()["overlap_join"](spark, "/root/testdata/sf0.01")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") > 0

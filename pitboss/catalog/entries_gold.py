@@ -318,3 +318,12 @@ WHERE rk <= 15""", RECON_SQL))
 def q_reconcile_top(spark, sf):
     diff = gold.reconcile_copies(gold.visit_sessions(_b(spark, sf), FROM_DAY, TO_DAY), _generated_copies())
     return gold.reconcile_top(diff, 15)
+
+
+@register("reconcile_status", "K4", sql=with_adapters(VISIT_ADAPTERS, """
+SELECT (SELECT count(*) FROM legacy) AS legacy_rows, (SELECT count(*) FROM generated) AS generated_rows,
+  CAST(coalesce((SELECT sum(n) FROM diff WHERE side = 'only_in_legacy'), 0) AS BIGINT) AS only_in_legacy,
+  CAST(coalesce((SELECT sum(n) FROM diff WHERE side = 'only_in_generated'), 0) AS BIGINT) AS only_in_generated,
+  CASE WHEN coalesce((SELECT sum(n) FROM diff), 0) = 0 THEN 0 ELSE 1 END AS status""", RECON_SQL))
+def q_reconcile_status(spark, sf):
+    return gold.reconcile_status(gold.visit_sessions(_b(spark, sf), FROM_DAY, TO_DAY), _generated_copies())

@@ -286,3 +286,20 @@ def reconcile_top(diff: DataFrame, n: int = 15) -> DataFrame:
     order = [F.col("n").desc(), *[F.col(c).asc_nulls_first() for c in REPORT_COLS]]
     parts = [diff.filter(F.col("side") == s).orderBy(*order).limit(n) for s in ("only_in_legacy", "only_in_generated")]
     return parts[0].unionByName(parts[1])
+
+
+def reconcile_status(report: DataFrame, generated_copies: Column) -> DataFrame:
+    """Exit status of a reconciliation (K4), one row: rows per side, surplus
+    copies per side and ``status`` 0 (full match) or 1 (differences)."""
+    diff = reconcile_copies(report, generated_copies)
+    sides = report.agg(F.count(F.lit(1)).cast("long").alias("legacy_rows"),
+                       F.sum(generated_copies).cast("long").alias("generated_rows"))
+    extra = diff.agg(F.coalesce(F.sum(F.when(F.col("side") == "only_in_legacy", F.col("n"))), F.lit(0))
+                     .cast("long").alias("only_in_legacy"),
+                     F.coalesce(F.sum(F.when(F.col("side") == "only_in_generated", F.col("n"))), F.lit(0))
+                     .cast("long").alias("only_in_generated"))
+    # two one-row aggregates side by side: stacked and folded, no join
+    both = sides.unionByName(extra, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("legacy_rows", "generated_rows", "only_in_legacy", "only_in_generated")])
+    return both.withColumn("status", F.when((F.col("only_in_legacy") == 0) & (F.col("only_in_generated") == 0), 0)
+                           .otherwise(1))

@@ -48,3 +48,27 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert len(df.columns) == 41
+
+
+def _duck_type(dt) -> str:
+    from pyspark.sql import types as T
+    simple = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.ShortType: "SMALLINT", T.StringType: "VARCHAR",
+              T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP", T.TimestampType: "TIMESTAMP WITH TIME ZONE",
+              T.BooleanType: "BOOLEAN", T.DoubleType: "DOUBLE"}
+    if isinstance(dt, T.DecimalType):
+        return f"DECIMAL({dt.precision},{dt.scale})"
+    return simple.get(type(dt), str(dt))
+
+
+def test_column_types_agree(spark, con):
+    """Same column types on both sides (no INT vs BIGINT, no decimal scale drift)."""
+    q, o = queries(), oracle_sql()
+    bad = {}
+    for name in NAMES:
+        sp = {f.name: _duck_type(f.dataType) for f in q[name](spark, SF).schema.fields}
+        rel = con.sql(f"SELECT * FROM ({o[name]}) LIMIT 0")
+        dk = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        diff = {c: (sp[c], dk.get(c)) for c in sp if sp[c] != dk.get(c)}
+        if diff:
+            bad[name] = diff
+    assert bad == {}

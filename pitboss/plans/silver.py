@@ -404,8 +404,10 @@ def agent_at_visit(b, f, t, split_hot_members: bool = False) -> DataFrame:
     """As-of agent per visit day."""
     vb = visits_base(b, f, t).select(*KEYS, "visittime")
     players = b.players.select("membership", "idagent")
-    return agent_at(vb, b.agents_players, players, "membership", "visittime",
-                    split_by_day=split_hot_members).select(*KEYS, F.col("idagent").cast("int").alias("idagent"))
+    members = visits_in_range(b, f, t).select("membership").unionByName(
+        slots_in_range(b, f, t).select(F.col("playerid").alias("membership")))
+    return agent_at(vb, b.agents_players, players, "membership", "visittime", split_by_day=split_hot_members,
+                    member_keys=members).select(*KEYS, F.col("idagent").cast("int").alias("idagent"))
 
 
 # --------------------------------------------------------------------------- player-session fact

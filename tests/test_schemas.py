@@ -17,3 +17,16 @@ def test_adapter_matches_bronze_schema(bronze, adapter):
     conformed = conform(df, declared)
     assert [f.name for f in conformed.schema.fields] == [f.name for f in declared.fields]
     assert conformed.limit(5).count() >= 0
+
+
+def test_plans_run_on_conformed_bronze(spark, bronze):
+    """The README quick start: plans on conformed bronze shapes give the same fact."""
+    import datetime as dt
+    from types import SimpleNamespace
+    from pitboss.plans import silver
+    b = SimpleNamespace(**{n: conform(getattr(bronze, n), schemas.schema(t))
+                           for n, t in schemas.ADAPTER_TABLE.items()})
+    f, t = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
+    a = silver.membership_day(b, f, t)
+    e = silver.membership_day(bronze, f, t)
+    assert a.exceptAll(e).count() == 0 and e.exceptAll(a).count() == 0

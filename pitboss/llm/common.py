@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from pitboss.session import ensure_checkpoint_dir
 
-# Rows of one Arrow batch handed to a task.  Texts can be long, so the default
-# of 10,000 rows would let a batch grow to gigabytes.
+# Rows and bytes of one Arrow batch handed to a task.  Texts can be long, so
+# the default of 10,000 rows would let a batch grow to gigabytes.
 BATCH_ROWS = 500
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,8 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of Python tasks by rows (see BATCH_ROWS)."""
+    """Session settings of the text operators: bounded Arrow batches, and a
+    query's shuffle files go when the query ends (results that are used again
+    are written tables, see ``materialize``)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def materialize(df: DataFrame) -> DataFrame:

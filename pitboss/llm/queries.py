@@ -6,10 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, decontaminate, hilbert, jaccard_join, lattice_lm, mtree, quality, suffix_dedup, toxicity
 from .common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shards(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op6_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return lattice_lm.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -18,6 +54,14 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_jaccard_join": op2_jaccard_join,
+    "op3_hilbert_shards": op3_hilbert_shards,
+    "op4_toxicity": op4_toxicity,
+    "op5_mtree_top_k": op5_mtree_top_k,
+    "op6_lattice_lm": op6_lattice_lm,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
 }
 

@@ -93,7 +93,8 @@ class Chunk:
         np.subtract.at(valid, last[some], 1)
         valid = np.cumsum(valid[:-1], dtype=np.int8) > 0
         if not valid.any():
-            self.start = self.end = self.key = self.run_rank = np.zeros(0, np.int64)
+            self.start = self.end = self.run_rank = np.zeros(0, np.int64)
+            self.key = np.zeros(0, np.uint64)
             return
         # least name of the strings of ``sample`` bytes inside each window
         least, width, reach = names(self.data, sample), 1, threshold - sample + 1
@@ -249,7 +250,7 @@ def suffix_dedup(docs: DataFrame, threshold: int = 50, with_text: bool = False)
         return materialize(exchange.answer(asked_, fact, respond).withColumn("round", F.lit(k)))
 
     def round_1(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        keys = _first_names(Chunk(rows, threshold))[0].astype(np.uint64)
+        keys = _first_names(Chunk(rows, threshold))[0]
         return keys, np.zeros(0, np.uint8)
 
     def round_2(c: Chunk, known: pa.Table) -> tuple[np.ndarray, np.ndarray]:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, hilbert, jaccard_join, lattice_lm, mtree, quality, suffix_dedup, toxicity
+from . import (bpe, decontaminate, hilbert, jaccard_join, lattice_lm, mtree, paragraph_dedup, quality, suffix_dedup,
+               toxicity)
 from .common import table
 
 
@@ -53,6 +54,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.paragraph_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_paragraph_dedup": op10_paragraph_dedup,
 }
 
 SQL: dict[str, str] = {}

@@ -33,6 +33,7 @@ from .hashing import BYTES, Spans, mix, parts, text_bytes
 MASKS = ("11101101011", "11011001111", "10110111011")
 MIN_TOKENS = 5
 MIN_BITS, MAX_BITS = 16, 27
+SPARSE = 4096  # bits of the bitmap a test window
 # Test windows that may be broadcast for the join; more are shuffled.
 BROADCAST_WINDOWS = 500_000
 
@@ -97,7 +98,9 @@ def _test_windows(items: DataFrame, short: list[int]) -> DataFrame:
 
 
 def _bitmap(test: DataFrame, windows: int) -> tuple[np.ndarray, int]:
-    bits = int(min(MAX_BITS, max(MIN_BITS, np.ceil(np.log2(16 * max(1, windows))))))
+    """Bits of the test hashes' leading bits, packed: SPARSE bits a window, so
+    that few training windows pass by chance, up to 2**MAX_BITS."""
+    bits = int(min(MAX_BITS, max(MIN_BITS, np.ceil(np.log2(SPARSE * max(1, windows))))))
     place = F.shiftrightunsigned("hash", 64 - bits)
     rows = (test.select(F.shiftright(place, 6).alias("word"),
                         F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - bits}) & 63 AS INT))").alias("bit"))
@@ -105,7 +108,15 @@ def _bitmap(test: DataFrame, windows: int) -> tuple[np.ndarray, int]:
     words = np.zeros(1 << (bits - 6), np.int64)
     for word, bit in rows:
         words[word] = bit
-    return np.unpackbits(words.view(np.uint8), bitorder="little"), bits
+    return words.view(np.uint8), bits
+
+
+def _marked(table: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
+    """Positions of the hashes whose bit is set."""
+    place = (h >> np.uint64(64 - bits)).astype(np.int64)
+    near = np.flatnonzero(table[place >> 3])
+    place = place[near]
+    return near[(table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0]
 
 
 SEGMENTS = "doc_id long, row_key long, start int, tokens binary, hashes array<long>, ats array<int>"
@@ -127,7 +138,7 @@ def _segments(docs: DataFrame, short: list[int], bitmap, bits: int, reach: int)
             found, where = [], []
             for seed in seeds:
                 h = _windows(tokens, seed)
-                hit = np.flatnonzero(table[(h >> np.uint64(64 - bits)).astype(np.int64)])
+                hit = _marked(table, h, bits)
                 row = np.searchsorted(at, hit, "right") - 1
                 hit = hit[hit + _span(seed) <= at[row + 1]]  # a window lies in one document
                 found.append(h[hit])

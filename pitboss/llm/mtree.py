@@ -176,7 +176,8 @@ def top_k(rows: DataFrame, k: int = 20, every: int = 20, scale: int = 64, exclud
     first = dict(zip(parts, np.cumsum([0, *parts.values()][:-1]).tolist(), strict=True))
     split = F.create_map(*[F.lit(x) for item in parts.items() for x in item])[F.col("region")]
     start = F.create_map(*[F.lit(x) for item in first.items() for x in item])[F.col("region")]
-    tree = placed.withColumn("subtree", (start + F.pmod(F.xxhash64("copy"), split)).cast("int"))
+    tree = placed.select((start + F.pmod(F.xxhash64("copy"), split)).cast("int").alias("subtree"),
+                         F.col("vec_id").alias("member_id"), F.col("vector").alias("member"))
     n_subtrees = sum(parts.values())
     queries = placed.where(F.col("vec_id") % every == 0)
     n_blocks = max(1, math.ceil(queries.count() / BLOCK))
@@ -184,9 +185,9 @@ def top_k(rows: DataFrame, k: int = 20, every: int = 20, scale: int = 64, exclud
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {c: np.zeros(0, np.int64) for c in ("query_id", "copy", "vec_id", "score")}
         if left.num_rows and right.num_rows:
-            queries, members = _matrix(left.column("vector"), width), _matrix(right.column("vector"), width)
+            queries, members = _matrix(left.column("vector"), width), _matrix(right.column("member"), width)
             ids = left.column("vec_id").to_numpy()
-            found = search(queries, ids, left.column("floor").to_numpy(), members, right.column("vec_id").to_numpy(),
+            found = search(queries, ids, left.column("floor").to_numpy(), members, right.column("member_id").to_numpy(),
                            bound, k)
             out = {"query_id": ids[found[0]], "copy": left.column("copy").to_numpy()[found[0]],
                    "vec_id": found[1], "score": found[2]}

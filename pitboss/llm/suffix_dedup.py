@@ -5,13 +5,13 @@ starts in a document with a smaller doc_id.
 
 Positions get names (ranks up to renaming): the name of the 2k bytes at a
 position is made of the pair of names at the position and k further on, from
-8 bytes up, the last pair overlapping so that it ends at the threshold.  After
+8 bytes up, the last pair overlapping so that it ends at the wanted length.  After
 each round all chunks' names meet, sorted, in buckets; positions whose name no
 other document has are unique and drop out, the others go on:
 
-1. 16 bytes.  Of a threshold-long window only its least 16-byte name is
-   sorted (equal windows have equal least names), which stands for the whole
-   run of windows that share it: about one name in eighteen positions.
+1. SAMPLE bytes.  Of a threshold-long window only its least name of that length
+   is sorted (equal windows have equal least names), which stands for the whole
+   run of windows that share it: about one name in fourteen positions.
    Windows whose least name is in no document with a smaller doc_id end here.
 2. Runs.  The string that a run of such windows covers is named as a whole.
    If a smaller document has the whole run, so are all its windows.
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,42 +43,60 @@ from . import exchange
 from .common import documents_of, map_batches, materialize, small_batches
 from .hashing import Spans, mix, text_bytes
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
+# Bytes of the names of round 1.  Longer ones are rarer by chance (less work in
+# round 3) but there are more of them (round 1).
+SAMPLE = 24
 SMALLER, LARGER = 1, 2  # bits of the first answers
 OPEN = 2
 
 
+# Positions named at a time: the temporary arrays stay in the processor's cache.
+BLOCK = 1 << 16
+
+
 def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Name of the pair of two names."""
-    return mix(mix(first) * np.uint64(0x9E3779B97F4A7C15) + second)
+    name = first * np.uint64(0x9E3779B97F4A7C15)
+    name += second
+    name ^= name >> np.uint64(32)
+    name *= np.uint64(0xD6E8FEB86659FD93)
+    return name
 
 
 def names(data: np.ndarray, size: int) -> np.ndarray:
-    """Name of the ``size`` bytes (a power of two from 8 up) at every position that has them."""
+    """Name of the ``size`` bytes (8 or more) at every position that has them."""
     name = data.astype(np.uint64)
     width = 1
     while width < 8:  # up to eight bytes the bytes are the name
         name = name[:max(0, len(name) - width)] | (name[width:] << np.uint64(8 * width))
         width *= 2
-    while width < size:
-        name = _pair(name[:max(0, len(name) - width)], name[width:])
-        width *= 2
+    while width < size:  # twice as long, or to the end with an overlap
+        step = min(width, size - width)
+        name = _pair(name[:max(0, len(name) - step)], name[step:])
+        width += step
+    name ^= name >> np.uint64(29)
     return name
 
 
-def window_names(data: np.ndarray, at: np.ndarray, threshold: int) -> np.ndarray:
-    """Names of the windows of ``threshold`` bytes that start at ``at``."""
-    width = 8
-    while 2 * width <= threshold:
-        width *= 2
-    name = names(data, width)
-    return _pair(name[at], name[at + threshold - width])
+def least_names(data: np.ndarray, threshold: int) -> np.ndarray:
+    """For every window of ``threshold`` bytes the least name of a string of SAMPLE bytes inside it."""
+    out = np.empty(max(0, len(data) - threshold + 1), np.uint64)
+    for at in range(0, len(out), BLOCK):
+        least, width, reach = names(data[at:at + BLOCK + threshold - 1], SAMPLE), 1, threshold - SAMPLE + 1
+        while 2 * width <= reach:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        if width < reach:
+            least = np.minimum(least[:len(least) - reach + width], least[reach - width:])
+        out[at:at + BLOCK] = least
+    return out
 
 
 class Chunk:
     """One chunk's documents by doc_id, and the runs of their windows."""
 
-    def __init__(self, rows: pa.Table, threshold: int, sample: int = 16):
+    def __init__(self, rows: pa.Table, threshold: int):
         rows = rows.sort_by("doc_id")
         self.rows = rows
         self.number = rows.column("chunk")[0].as_py()
@@ -85,34 +104,37 @@ class Chunk:
         self.data, self.offsets = text_bytes(rows.column("text"))
         # order of the chunk's documents; equal ids are equal
         self.rank = np.unique(self.doc_id, return_inverse=True)[1]
-        n = len(self.data)
-        valid = np.zeros(n + 1, np.int8)
-        first, last = self.offsets[:-1], self.offsets[1:] - threshold + 1
-        some = last > first
-        valid[first[some]] += 1
-        np.subtract.at(valid, last[some], 1)
-        valid = np.cumsum(valid[:-1], dtype=np.int8) > 0
-        if not valid.any():
-            self.start = self.end = self.run_rank = np.zeros(0, np.int64)
-            self.key = np.zeros(0, np.uint64)
+        self.threshold = threshold
+        self.start = self.end = self.run_rank = np.zeros(0, np.int64)
+        self.key = np.zeros(0, np.uint64)
+        # windows: none begins in the last bytes of a document
+        least = least_names(self.data, threshold)
+        if not len(least):
             return
-        # least name of the strings of ``sample`` bytes inside each window
-        least, width, reach = names(self.data, sample), 1, threshold - sample + 1
-        while 2 * width <= reach:
-            least = np.minimum(least[:-width], least[width:])
-            width *= 2
-        if width < reach:
-            least = np.minimum(least[:len(least) - reach + width], least[reach - width:])
-        at = np.flatnonzero(valid)
-        least = least[at]
-        doc = np.searchsorted(self.offsets, at, "right") - 1
-        new = np.ones(len(at), bool)
-        new[1:] = (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
-        begin = np.flatnonzero(new)
-        self.start = at[begin]  # first and behind the last window of each run
-        self.end = at[np.append(begin[1:], len(at)) - 1] + 1
-        self.key = least[begin]
-        self.run_rank = self.rank[doc[begin]]
+        valid = np.zeros(len(least) + threshold + 1, np.int8)
+        some = np.diff(self.offsets) >= threshold
+        valid[self.offsets[:-1][some]] = 1
+        valid[self.offsets[1:][some] - threshold + 1] -= 1
+        valid = np.cumsum(valid[:len(least)], dtype=np.int8).view(bool)
+        change = np.ones(len(least), bool)
+        np.not_equal(least[1:], least[:-1], out=change[1:])
+        # a run begins where the name changes or windows begin, and ends before the next change or gap
+        begin = valid.copy()
+        begin[1:] &= change[1:] | ~valid[:-1]
+        last = valid.copy()
+        last[:-1] &= change[1:] | ~valid[1:]
+        self.start = np.flatnonzero(begin)
+        self.end = np.flatnonzero(last) + 1  # behind the last window of each run
+        self.key = least[self.start]
+        self.run_rank = self.rank[np.searchsorted(self.offsets, self.start, "right") - 1]
+
+    @cached_property
+    def spans(self) -> Spans:
+        return Spans(self.data)
+
+    def content(self, at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+        """Names of the strings of ``size`` bytes at positions."""
+        return mix(self.spans.raw(at, at + size) + np.asarray(size).astype(np.uint64))
 
 
 def _lowest(group: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,8 +173,8 @@ def _entries(key: np.ndarray, name: np.ndarray, rank: np.ndarray):
 
 
 def _run_entries(c: Chunk, runs: np.ndarray, threshold: int):
-    content = Spans(c.data).raw(c.start[runs], c.end[runs] + threshold - 1)
-    return _entries(c.key[runs], mix(content + (c.end - c.start)[runs].astype(np.uint64)), c.run_rank[runs])
+    size = (c.end - c.start)[runs] + threshold - 1
+    return _entries(c.key[runs], c.content(c.start[runs], size), c.run_rank[runs])
 
 
 def _second_answer(number: np.ndarray, name: np.ndarray, chunk: np.ndarray) -> np.ndarray:
@@ -184,8 +206,7 @@ def _open_windows(c: Chunk, runs: np.ndarray, threshold: int):
     length = (c.end - c.start)[runs]
     at = np.repeat(c.start[runs] - np.cumsum(length) + length, length) + np.arange(length.sum())
     run = np.repeat(runs, length)
-    name = window_names(c.data, at, threshold) if len(at) else np.zeros(0, np.uint64)
-    return at, _entries(c.key[run], name, c.run_rank[run]), c.run_rank[run]
+    return at, _entries(c.key[run], c.content(at, threshold), c.run_rank[run]), c.run_rank[run]
 
 
 def _round(rows: pa.Table, k: int, dtype: str = "u1") -> np.ndarray:
@@ -210,7 +231,8 @@ def copied_bytes(c: Chunk, answers: pa.Table, threshold: int) -> np.ndarray:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _results(doc_id: pa.Array, data: np.ndarray, offsets: np.ndarray, gone: np.ndarray, with_text: bool) -> pa.Table:
+def _results(rows: pa.Table | pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, gone: np.ndarray,
+             with_text: bool) -> pa.Table:
     removed, spans, digests, kept_texts = [], [], [], []
     for a, b in zip(offsets[:-1], offsets[1:], strict=True):
         own = gone[a:b]
@@ -221,24 +243,30 @@ def _results(doc_id: pa.Array, data: np.ndarray, offsets: np.ndarray, gone: np.n
         digests.append(hashlib.sha256(kept).hexdigest())
         if with_text:
             kept_texts.append(kept)
-    out = {"doc_id": doc_id, "n_bytes": pa.array(np.diff(offsets), pa.int64()),
+    out = {"doc_id": rows.column("doc_id"), "n_bytes": pa.array(np.diff(offsets), pa.int64()),
            "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
            "kept_sha256": pa.array(digests, pa.string())}
-    return pa.table(out | ({"kept": pa.array(kept_texts, pa.binary())} if with_text else {}))
+    if with_text:
+        out |= {"text_hash": rows.column("text_hash"), "kept": pa.array(kept_texts, pa.binary())}
+    return pa.table(out)
 
 
 def suffix_dedup(docs: DataFrame, threshold: int = 50, with_text: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept binary]) of every document."""
-    if threshold < 16:
-        raise ValueError("threshold must be at least 16 bytes")
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document; with
+    ``with_text`` also (text_hash, kept binary): xxhash64 of the text and what is left of it."""
+    if threshold < SAMPLE:
+        raise ValueError(f"threshold must be at least {SAMPLE} bytes")
     spark = docs.sparkSession
     small_batches(spark)
     texts = documents_of(docs)
+    columns = ["doc_id", "text"]
+    if with_text:
+        texts, columns = texts.withColumn("text_hash", F.xxhash64("text")), [*columns, "text_hash"]
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(math.ceil(total / CHUNK_BYTES), spark.sparkContext.defaultParallelism)
     bits = max(3, math.ceil(math.log2(n)) - 1)
     placed = materialize(texts.where("doc_id is not null").repartitionByRange(n, "doc_id")
-                         .select(F.spark_partition_id().alias("chunk"), "doc_id", "text"))
+                         .select(F.spark_partition_id().alias("chunk"), *columns))
 
     def asked(keys_of, answers):
         def run(rows: pa.Table, known: pa.Table) -> pa.Table:
@@ -262,17 +290,16 @@ def suffix_dedup(docs: DataFrame, threshold: int = 50, with_text: bool = False)
 
     def finish(rows: pa.Table, known: pa.Table) -> pa.Table:
         c = Chunk(rows, threshold)
-        return _results(c.rows.column("doc_id"), c.data, c.offsets, copied_bytes(c, known, threshold), with_text)
+        return _results(c.rows, c.data, c.offsets, copied_bytes(c, known, threshold), with_text)
 
     first = kept_answers(exchange.ask(placed, bits, round_1), "u1", _first_answer, 1)
     second = kept_answers(asked(round_2, first), "u8", _second_answer, 2)
     both = first.union(second)
     third = kept_answers(asked(round_3, both), "u8", _third_answer, 3)
-    schema = RESULT + (", kept binary" if with_text else "")
+    schema = RESULT + (", text_hash long, kept binary" if with_text else "")
     out = exchange.apply_answers(placed, both.union(third), finish, schema)
 
     def untouched(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = text_bytes(batch.column("text"))
-        rows = _results(batch.column("doc_id"), data, offsets, np.zeros(len(data), bool), with_text)
-        return rows.to_batches()[0]
+        return _results(batch, data, offsets, np.zeros(len(data), bool), with_text).to_batches()[0]
     return out.union(map_batches(texts.where("doc_id is null"), untouched, schema))

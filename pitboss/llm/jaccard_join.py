@@ -11,12 +11,13 @@ Links two documents when the Jaccard similarity of their sets of word
   prefix) is ordered by set size; for each node the block of sizes that can
   link is found by binary search and the rest skipped; within it, positions
   bound the overlap that is still possible.
-* Answer-level skipping: round one verifies every list against one leader.
+* Answer-level skipping: the first rounds verify every list against one leader.
   A node keeps its exact distance (size of the symmetric difference) to its
-  home leader; in round two the distance of two nodes with the same home is
-  bounded from both sides by these answers (it is a metric), so most pairs
-  are linked or dismissed without computing an overlap.  Pairs whose ends
-  are connected already are skipped as well: only connectivity is returned.
+  home, the nearest leader; from then on the distance of two nodes with the
+  same home is bounded from both sides by these answers (it is a metric), so
+  most pairs are linked or dismissed without computing an overlap.  Pairs
+  whose ends are connected already are skipped as well: only connectivity is
+  returned.
 
 Hashes of shingles have 64 bits; two different shingles of one pair of sets
 that share a hash would count as equal.  The counts only order the index and
@@ -30,6 +31,8 @@ they occur; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,6 +69,11 @@ def _rarity(number: np.ndarray, count: np.ndarray, chunk: np.ndarray) -> np.ndar
     return np.where(total < 2, 0, level).astype(np.uint8)[number]
 
 
+# Leader rounds before all pairs that are still open: which leader a list has.
+ROUNDS = (False, True)
+# Index entries of one bucket: bounds a task's memory.  A pair is found in every
+# bucket that holds one of its shared shingles, so there should be few buckets.
+BUCKET_ENTRIES = 1 << 20
 SETS = "doc_id long, n long, set_key long, tokens binary"
 
 
@@ -132,27 +140,40 @@ def _lists(rows: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
     return out, np.append(starts, len(order))
 
 
-def _leader_pairs(percent: int):
-    """Every list's nodes against the list's leader (least mixed node number)."""
+def _leader_pairs(percent: int, nearest: bool):
+    """Every list's nodes against one leader: the least mixed node number, or
+    with ``nearest`` the node nearest to its home, which in a group of copies
+    edited independently is close to all of them."""
     def run(rows: pa.Table) -> pa.Table:
         e, cuts = _lists(rows)
-        pairs = []
+        pairs, linked = [], []
         rank = mix(e["node"].view(np.uint64).copy())
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if b - a < 2:
+            label = e["label"][a:b]
+            if b - a < 2 or (label == label[0]).all():
                 continue
-            lead = a + int(np.argmin(rank[a:b]))
-            n, m = e["n"][a:b], e["n"][lead]
-            lo, hi = np.searchsorted(n, (_least_overlap(m, percent), m * 100 // percent + 1))  # block skip by size
-            other = e["node"][a + lo:a + hi]
-            pairs.append(np.stack([np.full(len(other), e["node"][lead]), other])[:, other != e["node"][lead]])
-        return _pair_table(pairs)
+            n, node, home, far = (e[k][a:b] for k in ("n", "node", "home", "far"))
+            if nearest:
+                lead = int(np.argmin(np.where((home >= 0) & (home != node), far, np.iinfo(np.int64).max)))
+                if home[lead] < 0 or home[lead] == node[lead]:
+                    continue
+            else:
+                lead = int(np.argmin(rank[a:b]))
+            lo, hi = np.searchsorted(n, (_least_overlap(n[lead], percent), n[lead] * 100 // percent + 1))  # block skip by size
+            j = np.arange(lo, hi)
+            j = j[label[j] != label[lead]]
+            limit = _max_distance(n[lead] + n[j], percent)
+            same = (home[j] == home[lead]) & (home[lead] >= 0)
+            j, same, limit = (x[~same | (np.abs(far[j] - far[lead]) <= limit)] for x in (j, same, limit))
+            pairs.append(np.stack([np.full(len(j), node[lead]), node[j]]))
+            linked.append(same & (far[j] + far[lead] <= limit))
+        return _pair_table(pairs, linked)
     return run
 
 
-def _pair_table(pairs: list[np.ndarray], linked: list[np.ndarray] | None = None) -> pa.Table:
+def _pair_table(pairs: list[np.ndarray], linked: list[np.ndarray]) -> pa.Table:
     pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
-    done = np.concatenate(linked) if linked else np.zeros(pairs.shape[1], bool)
+    done = np.concatenate(linked) if linked else np.zeros(0, bool)
     order = np.lexsort((pairs[1], pairs[0]))
     pairs, done = pairs[:, order], done[order]
     new = np.ones(len(order), bool)
@@ -213,6 +234,20 @@ def _verify(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                        "a long, b long, far long, linked boolean")
 
 
+def _placed(nodes: DataFrame, home: DataFrame | None, links: DataFrame | None) -> DataFrame:
+    """``nodes`` with what is known of them: home, distance to it, component so far."""
+    if home is None:
+        return nodes.select("*", F.lit(-1).cast("long").alias("home"), F.lit(0).cast("long").alias("far"),
+                            F.col("node").alias("label"))
+    labels = components(links).withColumnRenamed("node", "__label_node")
+    home = home.withColumnRenamed("node", "__home_node")
+    return (nodes.join(home, nodes["node"] == home["__home_node"], "left")
+            .join(labels, nodes["node"] == labels["__label_node"], "left")
+            .select("node", "n", "tokens", F.coalesce("home", F.lit(-1).cast("long")).alias("home"),
+                    F.coalesce("far", F.lit(0).cast("long")).alias("far"),
+                    F.coalesce("label", "node").alias("label")))
+
+
 def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id, set_id): set_id is the smallest doc_id
     with an equal set, component_id the smallest reachable by links."""
@@ -228,25 +263,24 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame
         (F.col("set_key") == F.col("__key")) & (F.col("doc_id") == F.col("node")))
     nodes = materialize(first.dropDuplicates(["node"]).select("node", "n", "tokens"))
 
-    blank = [F.lit(-1).cast("long").alias("home"), F.lit(0).cast("long").alias("far"), F.col("node").alias("label")]
-    lists = _postings(nodes.select("*", *blank), bits, percent)
-    pairs = lists.groupBy("bucket").applyInArrow(_leader_pairs(percent), PAIRS).select("a", "b").distinct()
-    tested = materialize(_verify(pairs, nodes, percent))
-    links = tested.where("linked").select("a", "b")
-    near = components(links)
-    # a node's home: the nearest leader it was verified against, itself for a leader
-    leaders = tested.select(F.col("a").alias("node")).distinct()
-    home = (tested.select(F.col("b").alias("node"), "far", F.col("a").alias("home"))
-            .unionByName(leaders.select("node", F.lit(0).cast("long").alias("far"), F.col("node").alias("home")))
-            .groupBy("node").agg(F.min(F.struct("far", "home")).alias("best"))
-            .select(F.col("node").alias("__node"), "best.far", "best.home"))
-    placed = (nodes.join(home, nodes["node"] == home["__node"], "left")
-              .join(near.withColumnRenamed("node", "__label_node"),
-                    nodes["node"] == F.col("__label_node"), "left")
-              .select("node", "n", "tokens", F.coalesce("home", F.lit(-1).cast("long")).alias("home"),
-                      F.coalesce("far", F.lit(0).cast("long")).alias("far"),
-                      F.coalesce("label", "node").alias("label")))
-    rest = materialize(_postings(placed, bits, percent).groupBy("bucket")
+    entries = nodes.agg(F.sum(F.octet_length("tokens") / 8)).first()[0] or 0
+    bits = max(3, math.ceil(math.log2(max(1, entries * (100 - percent) / 100 / BUCKET_ENTRIES))))
+    home = None  # (node, far, home) of the nodes verified so far: the nearest leader, itself for a leader
+    links = None
+    for nearest in ROUNDS:
+        lists = _postings(_placed(nodes, home, links), bits, percent)
+        pairs = materialize(lists.groupBy("bucket").applyInArrow(_leader_pairs(percent, nearest), PAIRS)
+                            .groupBy("a", "b").agg(F.max("linked").alias("linked")))
+        tested = materialize(_verify(pairs.where("not linked"), nodes, percent))
+        new = tested.where("linked").select("a", "b").union(pairs.where("linked").select("a", "b"))
+        links = new if links is None else links.union(new)
+        near = (tested.select(F.col("b").alias("node"), "far", F.col("a").alias("home"))
+                .unionByName(tested.select(F.col("a").alias("node"), F.lit(0).cast("long").alias("far"),
+                                           F.col("a").alias("home"))))
+        near = near if home is None else near.unionByName(home)
+        home = materialize(near.groupBy("node").agg(F.min(F.struct("far", "home")).alias("best"))
+                           .select("node", "best.far", "best.home"))
+    rest = materialize(_postings(_placed(nodes, home, links), bits, percent).groupBy("bucket")
                        .applyInArrow(_rest_pairs(percent), PAIRS).groupBy("a", "b")
                        .agg(F.max("linked").alias("linked")))
     more = (_verify(rest.where("not linked"), nodes, percent).where("linked").select("a", "b")

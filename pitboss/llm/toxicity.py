@@ -1,20 +1,22 @@
 """Toxicity: subsequence-kernel SVM on Nyström landmarks (operator 4).
 
-A sentence's spans are its words, letters only, and runs of one- and
-two-letter words joined together ("i d i o t").  A span is compared with
+A sentence's spans are its words, letters only, and runs of one-letter
+words joined together ("i d i o t").  A span is compared with
 landmark strings by the normalised string subsequence kernel: common
 subsequences of ORDER characters, each weighted by DECAY to the power of the
 length it takes up in both strings, so gaps and inserted characters lower the
-value but do not end the match.  The kernel is taken where the longest common
-subsequence covers three quarters of the landmark, else it counts as 0.  A
+value but do not end the match.  The kernel counts from FLOOR up, where the
+longest common subsequence covers SHARE of the landmark, else as 0.  A
 sentence's kernel value for a landmark is the best of its spans.
 
-Landmarks are words of toxic training texts, chosen greedily so that they
-explain the toxic documents and hardly occur in others.  The sentence's
-kernel values, mapped by the inverse root of the landmarks' kernel matrix
+Landmarks are words of toxic training texts, or beginnings of words, chosen
+greedily so that they explain the toxic documents and hardly occur in others.
+The sentence's kernel values and their POWERS (products of a kernel are
+kernels), mapped by the inverse root of the landmarks' kernel matrix
 (Nyström), are the features of a linear SVM.  It is trained on sentences: of
 a toxic document the sentence that scores highest is the labelled one, found
-anew in each round; of other documents all are.  A document's score is its
+anew in each round; of other documents all are.  Landmarks alone, and with an
+inserted character, are further toxic sentences.  A document's score is its
 worst sentence's, calibrated to (0, 1).
 
 Defined cases: null, empty and blank texts have the score of a sentence
@@ -35,11 +37,17 @@ from .common import documents_of, map_batches, materialize
 from .hashing import BYTES, Spans, mix, parts, text_bytes
 from .labels import held_out, sample
 
-FIT_DOCS = 6000
-LANDMARKS = 96
+FIT_DOCS = 12_000
+LANDMARKS = 192
 ORDER, DECAY = 3, 0.6
 SPAN, STEP = 24, 12
 SHORTEST, LONGEST = 4, 16
+STEMS = (5, 6, 7, 8, 9)  # bytes of the word beginnings that may be landmarks
+POWERS = (1, 16)  # of the kernel: a tolerant one and one for nearly exact matches
+RIDGE = 1e-4
+SHARE = 0.8  # of a landmark's characters that a span must hold in order
+FLOOR = 0.2  # kernel values up to this count as 0
+TOXIC_WEIGHT = 3.0  # of a toxic sentence against one of a clean document
 
 # Characters of a span: lower-cased letters; other ASCII is dropped.
 _FOLD = np.zeros(256, np.uint8)
@@ -122,12 +130,12 @@ class Landmarks:
         m = len(self.words)
         a, b = np.repeat(np.arange(m), m), np.tile(np.arange(m), m)
         k = subsequence_kernel(self.chars[a], self.chars[b]) / np.sqrt(self.norm[a] * self.norm[b])
-        return k.reshape(m, m).astype(np.float64)
+        return above_floor(k.reshape(m, m).astype(np.float64))
 
     def against(self, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(span, landmark, kernel) of the pairs that share enough."""
         found = []
-        masks, need = _masks(spans), -(-self.length * 3 // 4)
+        masks, need = _masks(spans), np.ceil(SHARE * self.length - 1e-9).astype(np.int64)
         for k in range(len(self.words)):
             near = np.flatnonzero(np.bitwise_count(self.mask[k] & ~masks) <= self.length[k] - need[k])
             if not len(near):
@@ -144,7 +152,12 @@ class Landmarks:
             s, t = spans[span[lo:lo + 20_000]], self.chars[mark[lo:lo + 20_000]]
             value[lo:lo + 20_000] = (subsequence_kernel(s, t)
                                      / np.sqrt(subsequence_kernel(s, s) * self.norm[mark[lo:lo + 20_000]]))
-        return span, mark, value
+        value = above_floor(value)
+        return span[value > 0], mark[value > 0], value[value > 0]
+
+
+def above_floor(kernel: np.ndarray) -> np.ndarray:
+    return np.maximum(0, (kernel - FLOOR) / (1 - FLOOR))
 
 
 def sentence_kernels(data: np.ndarray, offsets: np.ndarray, marks: Landmarks) -> tuple[np.ndarray, ...]:
@@ -169,8 +182,8 @@ def sentence_kernels(data: np.ndarray, offsets: np.ndarray, marks: Landmarks) ->
     letters, word = char[at], (np.cumsum(begin) - 1)[at]
     size = np.bincount(word, minlength=len(starts))
     first = np.concatenate([[0], np.cumsum(size)[:-1]])
-    # spans: words of SHORTEST letters or more, and runs of words of one or two
-    tiny = (size > 0) & (size <= 2)
+    # spans: words of SHORTEST letters or more, and runs of one-letter words
+    tiny = size == 1
     link = tiny[1:] & tiny[:-1] & (sentence[1:] == sentence[:-1])
     run_first = np.flatnonzero(tiny & ~np.concatenate([[False], link]))
     run_last = np.flatnonzero(tiny & ~np.concatenate([link, [False]]))
@@ -209,70 +222,101 @@ def sentence_kernels(data: np.ndarray, offsets: np.ndarray, marks: Landmarks) ->
     return row_of[where], where, mark[entry], value[entry]
 
 
+def stems(words: set[bytes]) -> set[bytes]:
+    """The words and their beginnings."""
+    return words | {w[:k] for w in words for k in STEMS if len(w) > k}
+
+
 def choose_landmarks(toxic: list[set[bytes]], clean: dict[bytes, int]) -> list[bytes]:
-    """Words that together explain the toxic documents and occur in few others."""
+    """Words and beginnings that together explain the toxic documents and occur in few others."""
     holders: dict[bytes, set[int]] = {}
     for i, words in enumerate(toxic):
         for word in words:
             holders.setdefault(word, set()).add(i)
-    holders = {w: d for w, d in holders.items() if len(d) >= 2 and clean.get(w, 0) <= 0.02 * len(d)}
+    holders = {w: d for w, d in holders.items() if len(d) >= 3 and clean.get(w, 0) <= 0.05 * len(d)}
     chosen, left = [], set(range(len(toxic)))
-    strong = sorted(holders, key=lambda w: (-len(holders[w]), w))
-    while len(chosen) < LANDMARKS and left:
-        best = max(strong, key=lambda w: (len(holders[w] & left), len(holders[w])), default=None)
-        if best is None or len(holders[best] & left) < 2:
+    strong = sorted(holders, key=lambda w: (-len(holders[w]), -len(w), w))
+    gain = {w: len(holders[w]) for w in strong}
+    while len(chosen) < LANDMARKS and left and strong:
+        best = max(strong, key=lambda w: (gain[w], -clean.get(w, 0), len(w)))
+        if gain[best] < 2:
             break
         chosen.append(best)
         left -= holders[best]
-    # frequent words beside them that are as pure: insults the cover did not need
+        gain = {w: len(holders[w] & left) for w in strong}
+    # as pure and frequent, but not needed to explain the documents
     often = max(3, len(toxic) // 20)
-    return chosen + [w for w in strong if len(holders[w]) >= often and w not in chosen][:LANDMARKS - len(chosen)]
+    rest = [w for w in strong if len(holders[w]) >= often and not any(c.startswith(w) for c in chosen)]
+    rest = [w for w in rest if not any(o.startswith(w) and o != w and holders[o] == holders[w] for o in rest)]
+    return chosen + rest[:LANDMARKS - len(chosen)]
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 300) -> np.ndarray:
-    """Linear SVM (squared hinge, bias last), by accelerated gradient steps."""
+def _variants(words: list[bytes]) -> list[bytes]:
+    """Each landmark alone, and longer ASCII ones with a character inserted, at three places."""
+    return words + [w[:k] + b"x" + w[k:] for w in words if len(w) >= 5 and w.isascii() for k in (2, len(w) // 2, len(w) - 2)]
+
+
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 30) -> np.ndarray:
+    """Linear SVM (squared hinge, bias last), by Newton steps on the rows inside the margin."""
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    w = v = np.zeros(x.shape[1])
     weight = weight / weight.sum()
-    ridge = np.full(x.shape[1], 1e-3)
-    ridge[-1] = 0
-    step = 1 / (2 * np.linalg.norm(x.T * weight @ x, 2) + 1e-3)
-    for k in range(rounds):
-        slack = np.maximum(0, 1 - y * (x @ v))
-        new = v - step * (ridge * v - 2 * x.T @ (weight * y * slack))
-        v = new + k / (k + 3) * (new - w)
-        w = new
+    ridge = np.full(x.shape[1], RIDGE)
+    ridge[-1] = 1e-9
+    w, inside = np.zeros(x.shape[1]), np.ones(len(x), bool)
+    for _ in range(rounds):
+        own = x[inside] * weight[inside][:, None]
+        w = np.linalg.solve(own.T @ x[inside] + np.diag(ridge), own.T @ y[inside])
+        now = y * (x @ w) < 1
+        if (now == inside).all():
+            break
+        inside = now
     return w
 
 
 def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a logistic curve over margins (balanced classes)."""
+    """Slope and intercept of a logistic curve over margins."""
     a, b = 1.0, 0.0
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum()))
-    for _ in range(2000):
+    weight = np.where(y > 0, TOXIC_WEIGHT, 1.0)
+    weight /= weight.sum()
+    for _ in range(3000):
         p = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
         d = (p - (y > 0)) * weight
-        a, b = max(0.1, a - 2 * ((d * margin).sum() + 0.001 * a)), b - 2 * d.sum()
+        a, b = max(0.1, a - 3 * (d * margin).sum()), b - 3 * d.sum()
     return a, b
 
 
-def fit(marks: Landmarks, docs: np.ndarray, y: np.ndarray, rows: tuple[np.ndarray, ...]) -> dict:
-    """Train on (document, sentence, landmark, kernel) entries; y: -1 or 1 a document."""
-    m = len(marks.words)
-    values, vectors = np.linalg.eigh(marks.gram() + 1e-3 * np.eye(m)) if m else (np.ones(0), np.zeros((0, 0)))
-    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T if m else np.zeros((0, 0))
+def features(roots: list[np.ndarray], k: np.ndarray) -> np.ndarray:
+    """Nyström features of rows of kernel values."""
+    return np.concatenate([k ** power @ root for power, root in zip(POWERS, roots, strict=True)], axis=1)
+
+
+def _by_sentence(rows: tuple[np.ndarray, ...], m: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, kernel values) of each sentence with a match."""
     doc, sentence, mark, value = rows
-    number, first = np.unique(sentence, return_index=True)
+    number, first, back = np.unique(sentence, return_index=True, return_inverse=True)
     k = np.zeros((len(number), m))
-    k[np.searchsorted(number, sentence), mark] = value
-    of = doc[first]
-    x = k @ root
-    # every document also has sentences without a match: one stands for them
-    zero = np.zeros((1, m))
-    w = np.zeros(m + 1)
+    k[back, mark] = value
+    return doc[first], k
+
+
+def fit(marks: Landmarks, y: np.ndarray, rows: tuple[np.ndarray, ...]) -> dict:
+    """Train on (document, sentence, landmark, kernel) entries; y: -1 or 1 a document."""
+    m = len(marks.words)
     if m == 0 or len(np.unique(y)) < 2:
         share = float((y > 0).mean()) if len(y) else 0.5
-        return {"root": root, "svm": w, "slope": 1.0, "shift": float(np.log((share + 1e-4) / (1 - share + 1e-4)))}
+        return {"roots": [np.zeros((m, 0))] * len(POWERS), "svm": np.zeros(1), "slope": 1.0,
+                "shift": float(np.log((share + 1e-4) / (1 - share + 1e-4)))}
+    roots = []
+    for power in POWERS:
+        values, vectors = np.linalg.eigh(marks.gram() ** power + 1e-3 * np.eye(m))
+        roots.append(vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T)
+    of, k = _by_sentence(rows, m)
+    x = features(roots, k)
+    changed = b". ".join(_variants(marks.words))
+    _, k_more = _by_sentence(sentence_kernels(np.frombuffer(changed, np.uint8), np.array([0, len(changed)]), marks), m)
+    more = features(roots, k_more)
+    # documents without a match: one row stands for them
+    bare = max(1, int((y < 0).sum()) - len(np.unique(of[y[of] < 0])))
     score = k.sum(axis=1)
     for _ in range(5):
         order = np.lexsort((-score, of))
@@ -281,18 +325,16 @@ def fit(marks: Landmarks, docs: np.ndarray, y: np.ndarray, rows: tuple[np.ndarra
         witness = order[top]
         witness = witness[y[of[witness]] > 0]
         other = np.flatnonzero(y[of] < 0)
-        xs = np.concatenate([x[witness], x[other], zero])
-        ys = np.concatenate([np.ones(len(witness)), -np.ones(len(other) + 1)])
-        # a document without a match counts like one sentence
-        bare = max(1, int((y < 0).sum()) - len(np.unique(of[other])))
-        weight = np.concatenate([np.full(len(witness), 1.0), np.full(len(other), 1.0), [float(bare)]])
-        weight = np.where(ys > 0, weight / weight[ys > 0].sum(), weight / weight[ys < 0].sum())
+        xs = np.concatenate([x[witness], more, x[other], np.zeros((1, x.shape[1]))])
+        ys = np.concatenate([np.ones(len(witness) + len(more)), -np.ones(len(other) + 1)])
+        weight = np.concatenate([np.full(len(witness), TOXIC_WEIGHT),
+                                 np.full(len(more), TOXIC_WEIGHT * len(witness) / max(1, len(more))), np.ones(len(other)), [bare]])
         w = _svm(xs, ys, weight)
         score = x @ w[:-1] + w[-1]
     margin = np.full(len(y), w[-1])
     np.maximum.at(margin, of, score)
     slope, shift = _calibrate(margin, y)
-    return {"root": root, "svm": w, "slope": slope, "shift": shift}
+    return {"roots": roots, "svm": w, "slope": slope, "shift": shift}
 
 
 KERNELS = "row long, sentence long, mark int, value double"
@@ -301,17 +343,23 @@ KERNELS = "row long, sentence long, mark int, value double"
 def train(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCS) -> dict:
     """Landmarks and SVM, from at most ``bound`` labelled documents."""
     rows = materialize(sample(docs, labels, "toxic", bound).withColumnRenamed("doc_id", "row"))
-    word = F.explode(F.array_distinct(F.split(F.lower("text"), r"[\s\p{Punct}\d]+")))
-    words = rows.select("row", "label", word.alias("word")).where(F.octet_length("word").between(SHORTEST, LONGEST))
-    toxic: dict[int, set[bytes]] = {}
-    bad = words.where("label > 0")
-    for r in bad.select("row", "word").collect():  # words of at most ``bound`` documents
-        toxic.setdefault(r["row"], set()).add(fold(r["word"]))
-    clean: dict[bytes, int] = {}
-    for r in (words.where("label <= 0").join(F.broadcast(bad.select("word").distinct()), "word")
-              .groupBy("word").count().collect()):
-        clean[fold(r["word"])] = clean.get(fold(r["word"]), 0) + r["count"]
-    marks = Landmarks([w for w in choose_landmarks([toxic[i] for i in sorted(toxic)], clean)
+    words = F.array_distinct(F.split(F.lower("text"), r"[\s\p{Punct}\d]+"))
+    words = F.filter(words, lambda w: F.octet_length(w).between(SHORTEST, LONGEST))
+    toxic = [stems({fold(w) for w in r["words"]} - {b""}) for r in
+             rows.where("label > 0").orderBy("row").select(words.alias("words")).collect()]  # at most ``bound`` documents
+    wanted = set().union(*toxic)
+
+    def count(batches):
+        seen: dict[bytes, int] = {}
+        for batch in batches:
+            for own in batch.column("words").to_pylist():
+                for w in stems({fold(w) for w in own}) & wanted:
+                    seen[w] = seen.get(w, 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
+                                         names=["word", "n"])
+    counted = rows.where("label <= 0").select(words.alias("words")).mapInArrow(count, "word binary, n long")
+    clean = {bytes(r["word"]): r["n"] for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    marks = Landmarks([w for w in choose_landmarks(toxic, clean)
                        if SHORTEST <= len(w) <= LONGEST])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -328,7 +376,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCS) -> dict:
     # sentences are numbered within a batch: number them over all documents
     entries = (entries[0], entries[0] * (1 << 32) + entries[1], entries[2], entries[3])
     y = np.array([1 if label > 0 else -1 for _, label in known], np.int64)
-    return fit(marks, np.arange(len(known)), y, entries) | {"marks": marks}
+    return fit(marks, y, entries) | {"marks": marks}
 
 
 def document_scores(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -340,10 +388,8 @@ def document_scores(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.nd
                                                       model["marks"])
         if not len(row):
             continue
-        number, first, back = np.unique(sentence, return_index=True, return_inverse=True)
-        k = np.zeros((len(number), len(model["marks"].words)))
-        k[back, mark] = value
-        np.maximum.at(margin, a + row[first], k @ model["root"] @ w[:-1] + w[-1])
+        of, k = _by_sentence((row, sentence, mark, value), len(model["marks"].words))
+        np.maximum.at(margin, a + of, features(model["roots"], k) @ w[:-1] + w[-1])
     return 1 / (1 + np.exp(-np.clip(model["slope"] * margin + model["shift"], -30, 30)))
 
 

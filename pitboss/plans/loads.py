@@ -11,12 +11,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
 from ..sources import sinks
-from . import gold, positions, silver
+from . import gold, positions, quality, silver
 
 DAY = "gamingday"
 
 
+def _session(b) -> SparkSession:
+    """Session of the bronze accessor, or the active one for a plain namespace of DataFrames."""
+    return getattr(b, "spark", None) or SparkSession.active()
+
+
 def load_membership_day(b, f: dt.date, t: dt.date, path: str, agent_id: int | None = None) -> None:
     """Member-day fact: range refresh, or agent-scoped refresh when ``agent_id`` is given.
     The gold copy of the reference is the same table here."""
@@ -38,7 +46,7 @@ def load_fx_rate_daily(b, f: dt.date, t: dt.date, path: str) -> None:
 def load_session_marts(b, f: dt.date, t: dt.date, tables: Mapping[str, str]) -> None:
     """Player-session fact, then both marts computed from the stored fact."""
     load_player_session(b, f, t, tables["fact_player_session"])
-    spark = b.spark
+    spark = _session(b)
     stored = spark.read.parquet(tables["fact_player_session"])
     sinks.write_range_refresh(gold.mart_table_game(b, f, t, sessions=stored), tables["fact_session_day_by_table_game"],
                               DAY, f, t)
@@ -61,23 +69,43 @@ def load_dim_position(b, as_of: dt.date, tables: Mapping[str, str]) -> None:
     sinks.write_full_refresh(positions.machine_history(b.egd_cfg), tables["bridge_egd_machine_history"])
 
 
-def daily_refresh(b, tables: Mapping[str, str], yesterday: dt.date):
+def load_reference_dims(b, tables: Mapping[str, str]) -> None:
+    """Keyed upsert of the reference dimensions that ``tables`` names: rows of the
+    source replace the stored rows of their key, stored rows without a source
+    row stay."""
+    for name, (_, key, _) in silver.REFERENCE_DIMS.items():
+        if name in tables:
+            sinks.write_upsert(silver.reference_dim(b, name), tables[name], list(key), F.lit(0))
+
+
+def daily_refresh(b, tables: Mapping[str, str], yesterday: dt.date, agent_id: int | None = None,
+                  lookback_days: int | None = None, as_of: dt.date | None = None):
     """One daily run (the flow without its scheduler): resolve the window from
     the stored member-day fact (K1: catch up from the last loaded day, else
-    yesterday only), load the facts and marts for it, and return the health
-    check of ``yesterday`` (K2) as a one-row DataFrame.  Only the window's two
-    dates reach the driver."""
-    from ..sources.sinks import path_exists
-    from . import quality
-    spark = b.spark
+    yesterday only; with ``lookback_days`` the fixed window before yesterday),
+    load the dimensions, facts and marts for it, and return the health check
+    of ``yesterday`` (K2) as a one-row DataFrame.  Only the window's two dates
+    reach the driver.
+
+    The member-day fact is written last: the window is read off it, so a run
+    that fails earlier leaves the window open and the next run fills every
+    table again.  Optional tables (dimensions, FX, positions) are loaded when
+    ``tables`` names them."""
+    spark = _session(b)
     md_path = tables["fact_membership_day"]
-    if path_exists(spark, md_path):
+    f, t = yesterday, yesterday
+    if lookback_days is not None:
+        f = yesterday - dt.timedelta(days=lookback_days)
+    elif sinks.path_exists(spark, md_path):
         w = quality.refresh_window(spark.read.parquet(md_path), DAY, yesterday).collect()[0]
         f, t = w["from_day"], w["to_day"]
-    else:
-        f, t = yesterday, yesterday
-    load_membership_day(b, f, t, md_path)
+    load_reference_dims(b, tables)
+    if "fact_fx_rate_daily" in tables:
+        load_fx_rate_daily(b, f, t, tables["fact_fx_rate_daily"])
     load_session_marts(b, f, t, tables)
     load_player_expenses(b, f, t, tables["fact_player_expenses"])
     load_player_bonuses(b, f, t, tables["fact_player_bonuses"])
+    if {"dim_egd_position", "bridge_egd_machine_history"} <= set(tables):
+        load_dim_position(b, as_of or yesterday, tables)
+    load_membership_day(b, f, t, md_path, agent_id)
     return quality.health_check(spark.read.parquet(md_path), DAY, yesterday)

@@ -29,7 +29,7 @@ class SourceConfig:
     columns: tuple[str, ...]
     watermark_column: str | None = None
     watermark_type: str = "text"
-    key: tuple[str, ...] = ()
+    key: tuple[str, ...] = ()              # column names; NULL keys match each other
     lookback_column: str | None = None
     lookback_days: int | None = None
     full_snapshot: bool = False
@@ -117,11 +117,14 @@ def seed_if_absent(target: DataFrame, seeds: DataFrame, key: Sequence[str]) -> D
 
 
 def run_log_rows(spark: SparkSession, pipeline: str, counts: DataFrame) -> DataFrame:
-    """Run-log rows (A13) from per-source counts ``(source_table, rows_read, rows_written)``."""
-    return counts.select(F.lit(pipeline).alias("pipeline_name"), "source_table", F.lit("success").alias("status"),
+    """Run-log rows (A13) from per-source counts ``(source_table, rows_read,
+    rows_written)``; with an ``error_message`` column, rows that have one failed."""
+    error = F.col("error_message") if "error_message" in counts.columns else F.lit(None)
+    return counts.select(F.lit(pipeline).alias("pipeline_name"), "source_table",
+                         F.when(error.isNull(), "success").otherwise("failed").alias("status"),
                          F.col("rows_read").cast("long").alias("rows_read"),
                          F.col("rows_written").cast("long").alias("rows_written"),
-                         F.lit(None).cast("string").alias("error_message"))
+                         error.cast("string").alias("error_message"))
 
 
 def load(target: DataFrame, extracted: DataFrame, cfg: SourceConfig, seq: Column) -> DataFrame:
@@ -157,27 +160,56 @@ def run_incremental(spark: SparkSession, source: DataFrame, cfg: SourceConfig, t
     the watermark in the control table and appends a run-log row, which is
     also returned.  The extract is checkpointed once in the shared checkpoint
     folder, so the target write, the new watermark and the counts all see the
-    same snapshot of the source and the source is read once.  A run that fails
-    before the watermark moves is repeated with the same extract; the keyed
-    upsert makes that repeat harmless."""
+    same snapshot of the source and the source is read once.
+
+    A run that fails before the watermark moves is repeated from the same
+    watermark.  The keyed upsert makes that harmless; appended rows go to a
+    partition ``loaded_from`` named after the watermark the run started from,
+    which a repeat overwrites.  A failure is logged and raised."""
     from ..session import ensure_checkpoint_dir
     from .sinks import write_upsert
     ensure_checkpoint_dir(spark)
-    old = read_watermark(spark, control_path, cfg.name)
-    extracted = extract(source, cfg, old, today).checkpoint(eager=True)
-    rows_read = extracted.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
     run_ts = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
-    if rows_read:
-        if cfg.key:
-            write_upsert(extracted, target_path, list(cfg.key), seq, partition_by)
-        else:
-            w = extracted.write.mode("append")
-            (w.partitionBy(*partition_by) if partition_by else w).parquet(target_path)
-        wm = advance_watermark(extracted, cfg, old, run_at).withColumn("updated_at_utc", run_ts)
-        write_upsert(wm, control_path, ["source_table"], F.col("updated_at_utc"))
-    written = extracted.select(*cfg.key).distinct().count() if (rows_read and cfg.key) else rows_read
-    counts = spark.range(1).select(F.lit(cfg.name).alias("source_table"), F.lit(rows_read).alias("rows_read"),
-                                   F.lit(written).alias("rows_written"))
-    log = run_log_rows(spark, "bronze_incremental", counts).withColumn("started_at_utc", run_ts)
-    log.write.mode("append").parquet(log_path)
-    return log
+    rows_read = 0
+
+    def logged(written: int, error: str | None) -> DataFrame:
+        counts = spark.range(1).select(F.lit(cfg.name).alias("source_table"), F.lit(rows_read).alias("rows_read"),
+                                       F.lit(written).alias("rows_written"),
+                                       F.lit(error).cast("string").alias("error_message"))
+        log = (run_log_rows(spark, "bronze_incremental", counts).withColumn("started_at_utc", run_ts)
+               .withColumn("finished_at_utc", F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+                                                    .isoformat(sep=" ")).cast("timestamp")))
+        log.write.mode("append").parquet(log_path)
+        return log
+
+    try:
+        old = read_watermark(spark, control_path, cfg.name)
+        extracted = extract(source, cfg, old, today).checkpoint(eager=True)
+        rows_read = extracted.count()
+        if rows_read:
+            if cfg.key:
+                write_upsert(extracted, target_path, list(cfg.key), seq, partition_by)
+            else:
+                (extracted.withColumn("loaded_from", F.lit(old if old is not None else "start"))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("loaded_from", *partition_by).parquet(target_path))
+            wm = advance_watermark(extracted, cfg, old, run_at).withColumn("updated_at_utc", run_ts)
+            write_upsert(wm, control_path, ["source_table"], F.col("updated_at_utc"))
+    except Exception as e:
+        logged(0, f"{type(e).__name__}: {e}"[:2000])
+        raise
+    return logged(rows_read, None)
+
+
+def run_sources(spark: SparkSession, jobs: Sequence[dict]) -> dict[str, str | None]:
+    """Load several sources one after another; each job holds the arguments of
+    ``run_incremental``.  A source that fails is logged and the next one goes
+    on; returns each source's error, None for success."""
+    errors: dict[str, str | None] = {}
+    for job in jobs:
+        try:
+            run_incremental(spark, **job)
+            errors[job["cfg"].name] = None
+        except Exception as e:  # logged by run_incremental; the caller sees it in the result
+            errors[job["cfg"].name] = f"{type(e).__name__}: {e}"
+    return errors

@@ -2,27 +2,33 @@
 archive/purge, schema conform.  Parquet tables partitioned by day.
 
 Parquet has no DELETE or MERGE, so every maintenance step is a partition
-rewrite:
-
-* **range refresh** (A17) overwrites each day partition of the range that has
-  new rows (dynamic partition overwrite) and removes the partitions of range
-  days that came out empty -- a dynamic overwrite alone would leave those
-  days' old rows in place;
-* **scoped refresh** (A18) rewrites the touched days as (old rows outside the
-  scope and not re-keyed) + (new rows), materialised with ``checkpoint()`` in
-  the shared checkpoint folder before the same path is overwritten;
-* **archive/purge** (A23) writes old rows to a per-cutoff archive folder and
-  swaps in a staging copy of what is kept.
+rewrite, in two steps that are the same for all of them: the new content of
+the affected partitions is written once to a staging folder beside the table
+(the plan runs once, and may read the table itself), then the table's affected
+partition folders are replaced by the staged ones.  An affected partition
+without staged rows is removed.  A run that fails before the swap leaves the
+table as it was; one that fails during it is repeated whole.
+
+* **range refresh** (A17): the affected partitions are the days of the range;
+* **scoped refresh** (A18): the same days, rebuilt as (old rows outside the
+  scope and not re-keyed) + (new rows);
+* **upsert** (A7): the partitions of the batch's rows, and those that hold
+  rows of its keys;
+* **archive/purge** (A23): the partitions that hold rows before the cutoff;
+  the rows leave for a per-cutoff archive folder first.
+
+A NULL partition value is a partition like any other.
 
 The ``*_state`` functions return the resulting table state as a DataFrame
 (used by the named queries and the tests); the ``write_*`` functions apply it
-to storage.  Only bounded metadata reaches the driver: the list of day
-partitions of the refreshed range and one count row per table.
+to storage.  Only bounded metadata reaches the driver: partition values and
+one count row per table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +36,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.predicates import day_between
-from ..session import ensure_checkpoint_dir
 
 ARCHIVE_MODES = ("archive_delete", "delete_only")
 
@@ -107,18 +112,83 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def _partition_dir(path: str, day_col: str, day: dt.date) -> str:
-    return f"{path.rstrip('/')}/{day_col}={day.isoformat()}"
+def _partition_path(spark: SparkSession, partition: Sequence[tuple[str, str | None]]) -> str:
+    """Relative folder of one partition, spelled as Spark's writer spells it."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join(name(col, value) for col, value in partition)
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of the table at ``path``, read off its folder names."""
+    fs, here = _fs_path(spark, path)
+    cols = []
+    while True:
+        step = next((x.getPath() for x in fs.listStatus(here)
+                     if x.isDirectory() and "=" in x.getPath().getName()), None)
+        if step is None:
+            return cols
+        cols.append(step.getName().split("=", 1)[0])
+        here = step
+
+
+def _values(rows: DataFrame, cols: Sequence[str]) -> list[tuple]:
+    """Distinct partition values (with NULLs) of ``rows``: raw values, then their text."""
+    pick = rows.select(*cols).distinct()
+    return [tuple(r) for r in pick.select(*cols, *[F.col(c).cast("string").alias(f"_text_{c}") for c in cols]).collect()]
+
+
+def _in_partitions(values: Sequence[tuple], cols: Sequence[str]) -> Column:
+    """Literal predicate on partition columns, so that other partitions are not read."""
+    if len(cols) == 1:
+        some = [v[0] for v in values if v[0] is not None]
+        cond = F.col(cols[0]).isin(some) if some else F.lit(False)
+        return cond | F.col(cols[0]).isNull() if len(some) < len(values) else cond
+    out = F.lit(False)
+    for v in values:
+        one = F.lit(True)
+        for c, x in zip(cols, v):
+            one = one & (F.col(c).isNull() if x is None else F.col(c) == F.lit(x))
+        out = out | one
+    return out
 
 
-def _layout(rows: DataFrame, day_col: str, cluster_by: Sequence[str]) -> DataFrame:
-    """File layout of a day-partitioned write: the ``rebalance`` hint lets AQE
-    size the write tasks per day (a large day is split, small ones are
+def _replace_partitions(rows: DataFrame, path: str, cols: Sequence[str], affected: Sequence[str],
+                        cluster_by: Sequence[str] = ()) -> set[str]:
+    """Write ``rows`` to a staging folder, then put its partition folders in the
+    place of the table's ``affected`` ones.  Returns the folders written."""
+    spark = rows.sparkSession
+    staging = f"{path.rstrip('/')}._staging-{uuid.uuid4().hex}"
+    _layout(rows, cols, cluster_by).write.partitionBy(*cols).parquet(staging)
+    fs, root = _fs_path(spark, staging)
+    level = [(x.getPath(), x.getPath().getName()) for x in fs.listStatus(root) if x.isDirectory()]
+    for _ in cols[1:]:
+        level = [(x.getPath(), f"{name}/{x.getPath().getName()}") for p, name in level for x in fs.listStatus(p)
+                 if x.isDirectory()]
+    staged = {name: p for p, name in level}
+    for name in sorted(set(affected) | set(staged)):
+        _, target = _fs_path(spark, f"{path.rstrip('/')}/{name}")
+        if fs.exists(target):
+            fs.delete(target, True)
+        if name in staged:
+            fs.mkdirs(target.getParent())
+            if not fs.rename(staged[name], target):
+                raise OSError(f"cannot move {staged[name]} to {target}")
+    delete_path(spark, staging)
+    return set(staged)
+
+
+def _layout(rows: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
+    """File layout of a partitioned write: the ``rebalance`` hint lets AQE
+    size the write tasks per partition (a large day is split, small ones are
     combined, no file per shuffle partition and day), and sorting within the
     tasks by ``cluster_by`` gives row groups tight min/max statistics, so a
     look-up by member skips most of a day's row groups."""
-    out = rows.hint("rebalance", day_col)
-    return out.sortWithinPartitions(day_col, *cluster_by) if cluster_by else out
+    out = rows.hint("rebalance", *partition_by)
+    return out.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else out
+
+
+def _days(f: dt.date, t: dt.date) -> list[dt.date]:
+    return [f + dt.timedelta(days=k) for k in range((t - f).days + 1)]
 
 
 def write_range_refresh(new: DataFrame, path: str, day_col: str, f: dt.date, t: dt.date,
@@ -126,33 +196,24 @@ def write_range_refresh(new: DataFrame, path: str, day_col: str, f: dt.date, t:
     """Apply a range refresh to a day-partitioned parquet table at ``path``.
 
     Returns the days of the range that ended up empty (their partitions were
-    removed).  The list of days with rows is bounded by the range length."""
+    removed).  The plan of ``new`` runs once; the list of days is bounded by
+    the range length."""
     spark = new.sparkSession
-    rows = new.filter(day_between(day_col, f, t))
-    days_with_rows = {r[0] for r in rows.select(day_col).distinct().collect()}
-    (_layout(rows, day_col, cluster_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(day_col).parquet(path))
-    emptied = []
-    d = f
-    while d <= t:
-        if d not in days_with_rows:
-            delete_path(spark, _partition_dir(path, day_col, d))
-            emptied.append(d)
-        d += dt.timedelta(days=1)
-    return emptied
+    folder = {d: _partition_path(spark, [(day_col, d.isoformat())]) for d in _days(f, t)}
+    staged = _replace_partitions(new.filter(day_between(day_col, f, t)), path, [day_col], list(folder.values()),
+                                 cluster_by)
+    return [d for d, name in folder.items() if name not in staged]
 
 
 def write_scoped_refresh(new: DataFrame, path: str, day_col: str, f: dt.date, t: dt.date, scope_col: str,
                          scope_value, key: Sequence[str]) -> None:
     """Apply an agent-scoped refresh: the range days are rebuilt from the old
-    rows of those days and the new scoped rows.  The rebuilt days are
-    checkpointed (shared checkpoint folder) before their partitions are
-    overwritten, since they are computed from the same files."""
+    rows of those days and the new scoped rows; a table that does not exist
+    yet starts with the new scoped rows."""
     spark = new.sparkSession
-    ensure_checkpoint_dir(spark)
-    old = spark.read.parquet(path).filter(day_between(day_col, f, t))
-    rebuilt = refresh_scoped_state(old, new, day_col, f, t, scope_col, scope_value, key)
-    rebuilt = rebuilt.checkpoint(eager=True)
+    old = spark.read.parquet(path) if path_exists(spark, path) else new.filter(F.lit(False))
+    rebuilt = refresh_scoped_state(old.filter(day_between(day_col, f, t)), new, day_col, f, t, scope_col, scope_value,
+                                   key)
     write_range_refresh(rebuilt, path, day_col, f, t, cluster_by=[k for k in key if k != day_col])
 
 
@@ -168,11 +229,13 @@ def archive_or_purge(spark: SparkSession, tables: Mapping[str, tuple[str, Column
     """Archive (optionally) and remove rows before ``cutoff`` from parquet tables.
 
     ``tables``: name -> (path, day expression).  Archived rows go to
-    ``archive_root/<name>/cutoff=<day>``; kept rows are written to a staging
-    folder that then replaces the table.  A repeated run (after a failure at
-    any step, or after success) ends in the same state: tables with nothing
-    before the cutoff are not touched, an archive batch is rewritten whole.
-    Returns the count rows."""
+    ``archive_root/<name>/cutoff=<day>``.  The table keeps its partitions:
+    those without rows before the cutoff are not touched, one whose rows all
+    leave is removed, a mixed one is rewritten.  An unpartitioned table goes
+    through a staging copy.  A repeated run (after a failure at any step, or
+    after success) ends in the same state: tables with nothing before the
+    cutoff are not touched, an archive batch is rewritten whole.  Returns the
+    count rows."""
     if mode not in ARCHIVE_MODES:
         raise ValueError(f"invalid mode {mode!r}: use archive_delete or delete_only")
     if mode == "archive_delete" and archive_root is None:
@@ -183,8 +246,8 @@ def archive_or_purge(spark: SparkSession, tables: Mapping[str, tuple[str, Column
         _finish_swap(spark, path)
         frames[name] = (spark.read.parquet(path), day)
     # One small row per table; it decides below which tables need work.
-    counts = archive_purge_counts(frames, cutoff, mode).checkpoint(eager=True)
-    todo = {r["table_name"] for r in counts.collect() if r["deleted_rows"] > 0}
+    counts = archive_purge_counts(frames, cutoff, mode).collect()
+    todo = {r["table_name"] for r in counts if r["deleted_rows"] > 0}
     for name, (path, day) in tables.items():
         if name not in todo:        # nothing before the cutoff (also a repeated run): leave table and archive
             continue
@@ -194,9 +257,15 @@ def archive_or_purge(spark: SparkSession, tables: Mapping[str, tuple[str, Column
             # a run that failed after this step rewrites the same batch.
             target = f"{archive_root.rstrip('/')}/{name}/cutoff={cutoff.isoformat()}"
             df.filter(day < cut).write.mode("overwrite").parquet(target)
-        kept = df.filter(~F.coalesce(day < cut, F.lit(False)))
-        _replace_table(spark, kept, path)
-    return counts
+        cols = partition_columns(spark, path)
+        kept = ~F.coalesce(day < cut, F.lit(False))
+        if cols:
+            values = _values(df.filter(day < cut), cols)
+            folders = [_partition_path(spark, list(zip(cols, v[len(cols):]))) for v in values]
+            _replace_partitions(df.filter(_in_partitions(values, cols)).filter(kept), path, cols, folders)
+        else:
+            _replace_table(spark, df.filter(kept), path)
+    return spark.createDataFrame(counts, "table_name string, archived_rows long, deleted_rows long")
 
 
 def _staging(path: str) -> str:
@@ -226,7 +295,7 @@ def write_report(report: DataFrame, path: str, day_col: str = "GamingDay", fmt:
     """Distributed report extract (A25): one folder per gaming day, written by
     the executors (no rows pass through the driver); CSV with a header row or
     parquet.  Overwriting a day's folder makes a re-run idempotent."""
-    w = _layout(report, day_col, ()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+    w = _layout(report, [day_col], ()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(day_col)
     if fmt == "csv":
         w.option("header", True).csv(path)
@@ -238,27 +307,36 @@ def write_upsert(batch: DataFrame, path: str, key: Sequence[str], seq: Column,
                  partition_by: Sequence[str] = ()) -> None:
     """Keyed last-wins upsert of ``batch`` into the parquet table at ``path``.
 
-    With ``partition_by`` only the partitions the batch touches are read and
-    rewritten (dynamic overwrite); the rebuilt partitions are checkpointed in
-    the shared checkpoint folder first, since they are computed from the files
-    they replace.  Without partitions the whole table goes through a staging
-    swap.  Repeating the same batch gives the same table."""
+    With ``partition_by`` the affected partitions are read and rewritten: those
+    of the batch's rows and, unless the partition columns belong to the key,
+    those that now hold rows of the batch's keys (found from the table's key
+    columns alone), so a row whose partition changes leaves the old one.
+    Without partitions the whole table goes through a staging swap.  NULL
+    partitions and NULL keys are values like others.  Repeating the same batch
+    gives the same table."""
     from ..operators.dedupe import upsert_last_wins
     spark = batch.sparkSession
+    cols = list(partition_by)
     _finish_swap(spark, path)
     if not path_exists(spark, path):
         state = upsert_last_wins(batch.filter(F.lit(False)), batch, list(key), seq)
         w = state.write.mode("overwrite")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        (w.partitionBy(*cols) if cols else w).parquet(path)
         return
     target = spark.read.parquet(path)
     batch = batch.select(*target.columns)
-    if partition_by:
-        ensure_checkpoint_dir(spark)
-        touched = batch.select(*partition_by).distinct()
-        state = upsert_last_wins(target.join(touched, list(partition_by), "left_semi"), batch, list(key), seq)
-        state = state.checkpoint(eager=True)
-        _layout(state, partition_by[0], [k for k in key if k not in partition_by]).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    if cols:
+        values = set(_values(batch, cols))
+        if not set(cols) <= set(key):
+            keys = batch.select(*[F.col(k).alias(f"_key_{k}") for k in key]).distinct()
+            same = F.lit(True)
+            for k in key:
+                same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+            values |= set(_values(target.join(keys, same, "left_semi"), cols))
+        if not values:
+            return
+        state = upsert_last_wins(target.filter(_in_partitions(sorted(values, key=str), cols)), batch, list(key), seq)
+        folders = [_partition_path(spark, list(zip(cols, v[len(cols):]))) for v in values]
+        _replace_partitions(state, path, cols, folders, [k for k in key if k not in cols])
     else:
         _replace_table(spark, upsert_last_wins(target, batch, list(key), seq), path)

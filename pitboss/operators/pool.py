@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import max_prefix_sum
+from .scan import join_back, max_prefix_sum
 
 DEC = "decimal(19,4)"
 # NULL operation times sort after every real time (ascending, NULLs last).
@@ -82,7 +82,7 @@ def pool_trace(events: DataFrame, keys: Sequence[str], time_col: str, id_col: st
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
     seg = seg.withColumn("_minb", F.min(F.col("_off") + F.col("_cmin")).over(before))
-    j = d.join(seg.select(*keys, "_chunk", "_off", "_minb"), [*keys, "_chunk"], "inner")
+    j = join_back(d, seg.select(*keys, "_chunk", "_off", "_minb"), [*keys, "_chunk"])
     s_ = F.col("_off") + F.col("_ls")
     mins = F.least(F.col("_minb"), F.col("_off") + F.col("_lmin"))          # least skips NULL _minb
     prev_s = F.col("_off") + F.col("_lprev")

@@ -15,8 +15,9 @@ time column, a range bucket of an id, ...).
    ``(keys, chunk)``.
 
 The results equal the one-level window exactly (the operations are
-associative).  The chunk value must not be NULL; callers map NULL order
-values to a sentinel that sorts where the one-level window would put them.
+associative), for NULL values and NULL keys too.  The chunk value must not be
+NULL (the scan raises on one); callers map NULL order values to a sentinel
+that sorts where the one-level window would put them.
 """
 
 from __future__ import annotations
@@ -33,20 +34,36 @@ def _prefix_before(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(F.col(_CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def with_chunk(df: DataFrame, chunk: Column) -> DataFrame:
+    """``df`` with the chunk column; a NULL chunk is an error of the caller."""
+    bad = F.raise_error(F.lit("chunk of an ordered scan is NULL: map NULL order values to a sentinel"))
+    return df.withColumn(_CHUNK, F.when(chunk.isNull(), bad).otherwise(chunk))
+
+
+def join_back(rows: DataFrame, summary: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Inner join on ``cols`` in which NULL keys match, as in a window partition."""
+    right = summary.withColumnsRenamed({c: f"_back_{c}" for c in cols})
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_back_{c}"))
+    return rows.join(right, same, "inner").drop(*[f"_back_{c}" for c in cols])
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str,
                 chunk: Column | None = None) -> DataFrame:
     """Inclusive running sum of ``value`` per key in ``order`` (ROWS frame)."""
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value).over(w))
-    d = df.withColumn(_CHUNK, chunk).withColumn("_v", value)
+    d = with_chunk(df, chunk).withColumn("_v", value)
     w1 = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_local", F.sum("_v").over(w1))
     summary = (d.groupBy(*keys, _CHUNK).agg(F.sum("_v").alias("_tot"))
                .withColumn("_off", F.sum("_tot").over(_prefix_before(keys)))
                .select(*keys, _CHUNK, "_off"))
-    joined = d.join(summary, [*keys, _CHUNK], "inner")
-    res = F.when(F.col("_off").isNull(), F.col("_local")).otherwise(F.col("_local") + F.col("_off"))
+    joined = join_back(d, summary, [*keys, _CHUNK])
+    # SUM skips NULLs: a part without values leaves the other as it is
+    res = F.coalesce(F.col("_local") + F.col("_off"), F.col("_local"), F.col("_off"))
     return joined.withColumn(out, res).drop(_CHUNK, "_v", "_local", "_off")
 
 
@@ -71,7 +88,7 @@ def max_prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         d = d.withColumn("_run", F.sum("_v").over(w))
         return d.groupBy(*keys).agg(F.greatest(F.max("_run"), F.lit(0)).alias(out))
-    d = d.withColumn(_CHUNK, chunk)
+    d = with_chunk(d, chunk)
     w1 = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     seg = (d.withColumn("_run", F.sum("_v").over(w1))
            .groupBy(*keys, _CHUNK).agg(F.sum("_v").alias("_tot"), F.max("_run").alias("_best")))
@@ -94,7 +111,7 @@ def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column], payl
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
         res = df.withColumn(out, F.last(payload, ignorenulls=True).over(w))
         return res if keep is None else res.filter(keep)
-    d = df.withColumn(_CHUNK, chunk)
+    d = with_chunk(df, chunk)
     w1 = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     d = d.withColumn("_local", F.last(payload, ignorenulls=True).over(w1))
     # Per chunk: the last non-null payload in chunk order.  ``order`` is
@@ -107,5 +124,5 @@ def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column], payl
     chunks = (chunks.withColumn("_chunk_prev", F.last("_last", ignorenulls=True).over(_prefix_before(keys)))
               .select(*keys, _CHUNK, "_chunk_prev"))
     rows = d if keep is None else d.filter(keep)
-    joined = rows.join(chunks, [*keys, _CHUNK], "inner")
+    joined = join_back(rows, chunks, [*keys, _CHUNK])
     return joined.withColumn(out, F.coalesce(F.col("_local"), F.col("_chunk_prev"))).drop(_CHUNK, "_local", "_chunk_prev")

@@ -15,7 +15,8 @@ from ..functions.decimals import adt_product, avg_half_up
 from ..functions.predicates import day_between, known_member, not_deleted, unknown_key
 from ..operators.asof import agent_at
 from ..operators.overlap import overlap_left_join_bucketed
-from ..operators.reconcile import multiset_difference, multiset_difference_of_copies
+from ..operators.reconcile import multiset_difference
+from ..operators.pool import hour_chunk
 from ..operators.scan import chunked_row_number
 from . import silver
 
@@ -185,15 +186,15 @@ def earned_bonuses(bonus_fact: DataFrame) -> DataFrame:
 
 def numbered_visits(b, f, t) -> DataFrame:
     """Visits with their number within the member-day (E5): order by
-    ``coalesce(time_in, created)``, then ``time_out`` NULLS LAST (then created,
-    time_in, for a total order).  The row number is chunked by hour, so a
-    member-day with very many visits is split over tasks."""
+    ``coalesce(time_in, created)`` NULLS LAST, then ``time_out`` NULLS LAST (then
+    created, time_in, for a total order).  The row number is chunked by hour, so
+    a member-day with very many visits is split over tasks."""
     v = silver.visits_in_range(b, f, t).select(
         F.col("datework").alias("gaming_day"), "membership", "time_in", "time_out", "created")
     first = F.coalesce("time_in", "created")
-    order = [first.asc(), F.col("time_out").asc_nulls_last(), F.col("created").asc_nulls_last(),
+    order = [first.asc_nulls_last(), F.col("time_out").asc_nulls_last(), F.col("created").asc_nulls_last(),
              F.col("time_in").asc_nulls_last()]
-    chunk = F.date_trunc("hour", first)
+    chunk = hour_chunk(first)
     return chunked_row_number(v, ["gaming_day", "membership"], order, "visit_no", chunk=chunk) \
         .withColumn("visit_no", F.col("visit_no").cast("int"))
 
@@ -269,15 +270,6 @@ def reconcile(legacy: DataFrame, generated: DataFrame) -> DataFrame:
                                "only_in_legacy", "only_in_generated")
 
 
-def reconcile_copies(report: DataFrame, generated_copies: Column) -> DataFrame:
-    """Reconcile a report with a generated version that holds
-    ``generated_copies`` copies of each report row (0 = dropped, 2 = doubled):
-    the same result as ``reconcile`` in one pass over the report."""
-    norm = normalize_report(report, extra=[generated_copies.alias("_copies")])
-    return multiset_difference_of_copies(norm, list(REPORT_COLS), F.lit(1), F.col("_copies"),
-                                         "only_in_legacy", "only_in_generated")
-
-
 def reconcile_top(diff: DataFrame, n: int = 15) -> DataFrame:
     """The n most repeated differing rows per side (G3); ties by the row values.
 
@@ -288,17 +280,18 @@ def reconcile_top(diff: DataFrame, n: int = 15) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def reconcile_status(report: DataFrame, generated_copies: Column) -> DataFrame:
+def reconcile_status(legacy: DataFrame, generated: DataFrame) -> DataFrame:
     """Exit status of a reconciliation (K4), one row: rows per side, surplus
     copies per side and ``status`` 0 (full match) or 1 (differences)."""
-    diff = reconcile_copies(report, generated_copies)
-    sides = report.agg(F.count(F.lit(1)).cast("long").alias("legacy_rows"),
-                       F.sum(generated_copies).cast("long").alias("generated_rows"))
+    diff = reconcile(legacy, generated)
+    count = F.count(F.lit(1)).cast("long")
+    sides = legacy.agg(count.alias("legacy_rows")).unionByName(generated.agg(count.alias("generated_rows")),
+                                                               allowMissingColumns=True)
     extra = diff.agg(F.coalesce(F.sum(F.when(F.col("side") == "only_in_legacy", F.col("n"))), F.lit(0))
                      .cast("long").alias("only_in_legacy"),
                      F.coalesce(F.sum(F.when(F.col("side") == "only_in_generated", F.col("n"))), F.lit(0))
                      .cast("long").alias("only_in_generated"))
-    # two one-row aggregates side by side: stacked and folded, no join
+    # one-row aggregates side by side: stacked and folded, no join
     both = sides.unionByName(extra, allowMissingColumns=True).agg(
         *[F.max(c).alias(c) for c in ("legacy_rows", "generated_rows", "only_in_legacy", "only_in_generated")])
     return both.withColumn("status", F.when((F.col("only_in_legacy") == 0) & (F.col("only_in_generated") == 0), 0)

@@ -17,7 +17,7 @@ SELECT CAST(ts AS DATE) AS datework, user_id AS membership,
        ts AS created
 FROM events WHERE event_type = 'signup'""",
     "drgt": """
-SELECT user_id AS playerid, 167837953 + event_id % 45 AS ipaddr, CAST(event_id AS INT) AS id_session,
+SELECT user_id AS playerid, 167837953 + event_id % 45 AS ipaddr, event_id AS id_session,
        CAST(ts AS DATE) AS gamingday, ts AS starttimelocal,
        ts + INTERVAL '1' MINUTE * CAST(event_id % 90 AS INT) AS endtimelocal,
        CAST(CAST(value AS DECIMAL(19,4)) * 100 AS DECIMAL(19,4)) AS totalbet,
@@ -72,9 +72,29 @@ SELECT c_custkey AS membership, CAST(c_custkey % 10 AS INT) AS idagent,
 FROM customer""",
     "agents": """
 SELECT CAST(s_suppkey AS INT) AS idagent, CASE CAST(s_suppkey AS INT) WHEN 3 THEN '' WHEN 4 THEN 'NO AGENT' ELSE s_name END AS nameagent
-FROM supplier WHERE s_suppkey < 9""",
+FROM supplier WHERE s_suppkey % 10 <> 9""",
     "countries": "SELECT n_nationkey AS idcountry, n_name AS namecountry FROM nation",
-    "games": "SELECT n_nationkey AS idgame, n_name AS namegame FROM nation WHERE n_nationkey < 8",
+    "games": """
+SELECT n_nationkey AS idgame, 'G' || CAST(n_nationkey AS VARCHAR) AS codegame, n_name AS namegame,
+       n_nationkey % 4 AS listorder_game, CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE n_nationkey % 3 END AS idbonussystem,
+       n_nationkey % 7 AS nmbboxes
+FROM nation WHERE n_nationkey % 9 <> 8""",
+    "table_types": """
+SELECT r_regionkey AS idtabletype, 'T' || CAST(r_regionkey AS VARCHAR) AS codetabletype, r_name AS nametabletype,
+       10 - r_regionkey AS listorder_tabletype, CASE WHEN r_regionkey = 2 THEN NULL ELSE r_regionkey % 3 END AS idgametype
+FROM region""",
+    "table_type_games": "SELECT n_regionkey AS idtabletype, n_nationkey AS idgame, n_nationkey % 5 AS listorder FROM nation",
+    "tables_ref": """
+SELECT s_suppkey AS idtable, s_nationkey % 5 AS idtabletype, s_name AS nametable, CAST(s_suppkey % 100 AS VARCHAR) AS snmbtable,
+       'TB' || CAST(s_suppkey AS VARCHAR) AS codetable, s_suppkey % 9 = 0 AS isvirtual,
+       CAST(s_suppkey % 50 AS INT) AS listorder_table,
+       CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE CAST(s_suppkey % 6 AS INT) END AS idbonusgame,
+       CAST(s_suppkey % 3 AS INT) AS idbonussystem, CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_suppkey % 2 = 0 END AS ismarketing,
+       s_nationkey % 5 AS idcurrency, CAST(s_acctbal AS DECIMAL(19,4)) AS mysteryguarantee,
+       CAST((s_suppkey % 50) * 0.01 AS DECIMAL(19,4)) AS ratemystery, CAST(0 AS DECIMAL(19,4)) AS lowerlimitmystery,
+       CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE CAST(s_suppkey % 50 AS DECIMAL(19,4)) END AS upperlimitmystery,
+       CAST(5 AS DECIMAL(19,4)) AS minplayingbet
+FROM supplier""",
     "agents_players_src": """
 SELECT o_custkey AS membership, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderkey % 10 AS INT) END AS idagent,
        o_orderdate + INTERVAL '26' YEAR AS datechange, o_orderdate + INTERVAL '26' YEAR AS created, o_orderkey AS seq
@@ -83,22 +103,27 @@ FROM orders""",
 SELECT DISTINCT ON (membership, datechange) membership, idagent, datechange, created
 FROM agents_players_src ORDER BY membership, datechange, seq DESC""",
     "agent_groups": """
-SELECT CAST(s.s_suppkey * 10 + r.r_regionkey AS INT) AS idagentgroup, CAST(s.s_suppkey AS INT) AS idagent,
+SELECT s.s_suppkey * 10 + r.r_regionkey AS idagentgroup, CAST(s.s_suppkey AS INT) AS idagent,
+       'Group ' || CAST(r.r_regionkey AS VARCHAR) AS nameagentgroup,
+       CASE WHEN r.r_regionkey = 1 THEN NULL ELSE 'memo ' || CAST(s.s_suppkey AS VARCHAR) END AS memoagentgroup,
+       s.s_suppkey + r.r_regionkey AS row_version,
        DATE '2024-01-01' + CAST(r.r_regionkey * 6 AS INT) AS datebegin,
        CASE WHEN r.r_regionkey = 4 THEN NULL ELSE DATE '2024-01-01' + CAST(r.r_regionkey * 6 + 7 AS INT) END AS dateend,
        TIMESTAMP '2024-01-01 00:00:00' AS modified
-FROM supplier s CROSS JOIN region r WHERE s.s_suppkey < 10 AND s.s_suppkey <> 7""",
-    "articles": "SELECT n_nationkey AS idarticle, n_name AS namearticle FROM nation WHERE n_nationkey < 12",
+FROM supplier s CROSS JOIN region r WHERE s.s_suppkey % 10 <> 7""",
+    "articles": "SELECT n_nationkey AS idarticle, n_name AS namearticle FROM nation WHERE n_nationkey % 14 < 12",
     "bonus_indicators": """
 SELECT r_regionkey AS idbonusindicator, 'C' || CAST(r_regionkey AS VARCHAR(10)) AS codebonusindicator, r_name AS namebonusindicator FROM region""",
     "fx_rates_src": """
 SELECT 1 AS idcasino, CAST(o_orderdate + INTERVAL '26' YEAR AS DATE) AS datechange, CAST(o_custkey % 5 AS INT) AS idcurrency,
-       CAST(1 + (o_orderkey % 1000) * 0.0001 AS DECIMAL(19,8)) AS exchrate, CAST(o_orderkey AS INT) AS row_version
+       CAST(1 + (o_orderkey % 1000) * 0.0001 AS DECIMAL(19,8)) AS exchrate, o_orderkey AS row_version,
+       o_orderkey + 7 AS idcurrencyexchrate, o_orderdate AS created,
+       CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderdate END AS modified
 FROM orders""",
     "fx_rates": """
 SELECT DISTINCT ON (idcasino, datechange, idcurrency) * FROM fx_rates_src
 ORDER BY idcasino, datechange, idcurrency, row_version DESC""",
-    "chips": "SELECT CAST(p_partkey AS INT) AS idchip, CAST(p_retailprice AS DECIMAL(19,4)) AS valuechip FROM part WHERE p_partkey < 50",
+    "chips": "SELECT CAST(p_partkey AS INT) AS idchip, CAST(p_retailprice AS DECIMAL(19,4)) AS valuechip FROM part WHERE p_partkey % 55 < 50",
     "session_details": """
 SELECT event_id * 10 + r_regionkey AS idplayersessiondetail, event_id AS idplayersession
 FROM events CROSS JOIN region WHERE event_type = 'view' AND r_regionkey < 2""",
@@ -107,7 +132,7 @@ SELECT event_id * 10 + r_regionkey AS idplayersessiondetail, CAST((event_id + r_
        CAST(event_id % 7 - 3 AS DECIMAL(19,4)) AS qntchips
 FROM events CROSS JOIN region WHERE event_type = 'view' AND r_regionkey < 2""",
     "bonuses": """
-SELECT CAST(event_id AS INT) AS idplayerbonus, CASE WHEN event_id % 9 = 0 THEN -1 ELSE 1 END AS typeoper,
+SELECT event_id AS idplayerbonus, CASE WHEN event_id % 9 = 0 THEN -1 ELSE 1 END AS typeoper,
        CAST(ts AS DATE) AS datework, ts AS timeoper, user_id AS membership, CAST(event_id % 9 AS INT) AS idbonusindicator,
        CAST(event_id % 10 AS INT) AS idgame, CAST(value AS DECIMAL(19,4)) AS sumbonuses,
        CASE WHEN event_id % 2 = 0 THEN NULL ELSE CAST(value AS DECIMAL(19,4)) END AS costbonuses,
@@ -122,7 +147,7 @@ FROM events WHERE event_type = 'purchase'""",
 SELECT o_orderdate AS generated, CAST(o_orderdate AS DATE) AS gamingday, 'C001' AS casinoid, 'S001' AS siteid,
        CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(167837953 + o_orderkey % 40 AS INT) END AS ipaddr,
        1000 + o_custkey % 20 AS macaddr, 1 AS smibip,
-       CAST(row_number() OVER (PARTITION BY o_custkey % 20 ORDER BY o_orderkey) AS INT) AS rev,
+       row_number() OVER (PARTITION BY o_custkey % 20 ORDER BY o_orderkey) AS rev,
        'INV' || CAST(o_custkey % 20 AS VARCHAR(10)) AS inventorynr, o_orderpriority AS manufacturer, o_orderstatus AS model
 FROM orders""",
     "meter_day": """

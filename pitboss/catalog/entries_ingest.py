@@ -19,7 +19,9 @@ from ..sources import ingest, sinks
 from ..sources.adapters import FROM_DAY, TO_DAY, bronze_for
 from ..sources.tables import read_table
 from .adapter_sql import with_adapters
-from .entries_silver import DEC, MEMBERSHIP_DAY_SQL, PS_ADAPTERS, RANGE, SQL_ASOF, SQL_PLAYER_SESSION, known
+from . import check_sql as cs
+from .check_sql import DEC, RANGE, known
+from .entries_silver import MEMBERSHIP_DAY_SQL, PS_ADAPTERS
 from .registry import register
 
 
@@ -56,12 +58,16 @@ def q_src_project(spark, sf):
     return ingest.project(read_table(spark, sf, "customer"), CUSTOMER_CFG)
 
 
-@register("src_full_snapshot", "A2,A7", sql="SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("src_full_snapshot", "A2,A7", sql="""SELECT n_nationkey, n_name, n_regionkey FROM nation
+UNION ALL SELECT n_nationkey + 1000, 'stored', n_regionkey FROM nation WHERE n_nationkey = 3""")
 def q_src_full_snapshot(spark, sf):
-    n = read_table(spark, sf, "nation")
-    batch = ingest.extract(n, NATION_CFG, None)
-    empty_target = batch.filter(F.lit(False))
-    return ingest.load(empty_target, batch, NATION_CFG, F.lit(0))
+    """Snapshot loaded over a target with outdated rows and a row the source no longer has."""
+    batch = ingest.extract(read_table(spark, sf, "nation"), NATION_CFG, None)
+    stored = F.lit("stored").alias("n_name")
+    target = (batch.filter(F.col("n_nationkey") % 2 == 0).select("n_nationkey", stored, "n_regionkey")
+              .unionByName(batch.filter(F.col("n_nationkey") == 3)
+                           .select((F.col("n_nationkey") + 1000).alias("n_nationkey"), stored, "n_regionkey")))
+    return ingest.load(target, batch, NATION_CFG, F.lit(0))
 
 
 @register("src_watermark", "A3,A5", sql="SELECT event_id, ts, user_id, event_type, value FROM events "
@@ -144,15 +150,20 @@ def q_seed_if_absent(spark, sf):
 
 
 @register("upsert_last_wins", "A7", sql=with_adapters(["agents_players_src"], """
-SELECT DISTINCT ON (membership, datechange) membership, idagent, datechange, created, seq
-FROM agents_players_src ORDER BY membership, datechange, seq DESC"""))
+SELECT * FROM fresh UNION ALL SELECT * FROM stored ANTI JOIN fresh USING (membership, datechange)""", """
+stored AS (
+  SELECT DISTINCT ON (membership, datechange) membership, idagent + 100 AS idagent, datechange, created, seq
+  FROM agents_players_src WHERE membership % 3 <> 0 ORDER BY membership, datechange, seq DESC),
+fresh AS (
+  SELECT DISTINCT ON (membership, datechange) membership, idagent, datechange, created, seq
+  FROM agents_players_src WHERE membership % 4 <> 0 ORDER BY membership, datechange, seq DESC)"""))
 def q_upsert_last_wins(spark, sf):
+    """Some keys only stored, some only in the batch, some in both with another value."""
     src = _b(spark, sf).agents_players_src
-    cut = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     key = ["membership", "datechange"]
-    target = latest_per_key(src.filter(F.col("datechange") < cut), key, [F.col("seq")])
-    batch = src.filter(F.col("datechange") >= cut)
-    return upsert_last_wins(target, batch, key, F.col("seq"))
+    target = latest_per_key(src.filter(F.col("membership") % 3 != 0), key, [F.col("seq")]) \
+        .withColumn("idagent", F.col("idagent") + 100)
+    return upsert_last_wins(target, src.filter(F.col("membership") % 4 != 0), key, F.col("seq"))
 
 
 @register("upsert_null_key", "A8", sql="""
@@ -168,12 +179,16 @@ def q_upsert_null_key(spark, sf):
     return ingest.dedupe_batch(o, key, F.col("o_orderkey"))
 
 
-@register("append_only", "A9", sql=with_adapters(["visits"], "SELECT * FROM visits"))
+@register("append_only", "A9", sql=with_adapters(["visits"], """
+SELECT * FROM visits WHERE datework < DATE '2024-01-15'
+UNION ALL SELECT * FROM visits WHERE datework >= DATE '2024-01-12'"""))
 def q_append_only(spark, sf):
+    """Rows that are stored already are appended again: this load has no key."""
     v = _b(spark, sf).visits
-    half = F.col("datework") < F.lit("2024-01-15").cast("date")
     cfg = ingest.SourceConfig("visits", tuple(v.columns), "created", "datetime")
-    return ingest.load(v.filter(half), v.filter(~half), cfg, F.lit(0))
+    day = F.col("datework")
+    return ingest.load(v.filter(day < F.lit("2024-01-15").cast("date")), v.filter(day >= F.lit("2024-01-12").cast("date")),
+                       cfg, F.lit(0))
 
 
 @register("coerce_bool", "A10", sql="""
@@ -196,28 +211,61 @@ def q_schema_conform(spark, sf):
     return sinks.conform(_b(spark, sf).visits, VISITS_EVOLVED, {"minutes_played": 0})
 
 
-@register("dim_upsert", "A20,F8", sql=with_adapters(["agent_groups", "agents"], """
-SELECT g.idagentgroup, g.idagent, a.nameagent, g.datebegin, g.dateend, g.modified
-FROM agent_groups g LEFT JOIN agents a ON a.idagent = g.idagent"""))
-def q_dim_upsert(spark, sf):
-    b = _b(spark, sf)
-    a = b.agents.withColumnRenamed("idagent", "_aid")
-    g = b.agent_groups
-    rows = g.join(a, g["idagent"] == a["_aid"], "left").select(
-        "idagentgroup", "idagent", "nameagent", "datebegin", "dateend", "modified")
-    return upsert_last_wins(rows.filter(F.lit(False)), rows, ["idagentgroup"], F.col("modified"))
+GROUP_SQL = """
+SELECT g.idagentgroup, g.idagent, a.nameagent, g.nameagentgroup, g.datebegin, g.dateend, g.memoagentgroup, g.row_version,
+       g.modified
+FROM agent_groups g LEFT JOIN agents a ON a.idagent = g.idagent"""
 
 
-@register("load_reference_dims", "A20,F8", sql=with_adapters(["games", "agent_groups"], """
-SELECT 'silver.dim_game' AS dimension, count(*) AS rows, CAST(max(idgame) AS BIGINT) AS max_key FROM games
-UNION ALL SELECT 'silver.dim_agent_group_scd', count(*), CAST(max(idagentgroup) AS BIGINT) FROM agent_groups"""))
+@register("dim_upsert", "A20,F8", sql=with_adapters(["agent_groups", "agents"], GROUP_SQL + """
+UNION ALL SELECT -idagentgroup - 1, idagent, 'stored', nameagentgroup, datebegin, dateend, memoagentgroup, row_version, modified
+FROM agent_groups WHERE idagentgroup % 5 = 0"""))
+def q_dim_upsert(spark, sf):
+    """Source rows over a stored dimension with outdated names and rows without a source."""
+    b = _b(spark, sf)
+    rows = silver.reference_dim(b, "dim_agent_group_scd")
+    old = rows.withColumn("nameagent", F.lit("stored"))
+    stored = old.filter(F.col("idagentgroup") % 2 == 0).unionByName(
+        old.filter(F.col("idagentgroup") % 5 == 0).withColumn("idagentgroup", -F.col("idagentgroup") - 1))
+    return silver.load_reference_dims(b, {"dim_agent_group_scd": stored})["dim_agent_group_scd"]
+
+
+def _register_dim(name: str, shape: str, outdated: str) -> None:
+    """One row per dimension: full columns, over a target that holds outdated
+    rows of some keys and one row the source does not have."""
+    _, key, cols = silver.REFERENCE_DIMS[name]
+    extra = ", ".join(f"{c} + 1000 AS {c}" if c == key[0] else ("'stored'" if c == outdated else c) + f" AS {c}" for c in cols)
+    sql = with_adapters([shape], f"SELECT {', '.join(cols)} FROM {shape} UNION ALL SELECT {extra} FROM {shape} WHERE {key[0]} = 1")
+
+    @register(name, "A20,F8", sql=sql)
+    def builder(spark, sf):
+        b = _b(spark, sf)
+        rows = silver.reference_dim(b, name)
+        old = rows.withColumn(outdated, F.lit("stored")) if outdated else rows
+        stored = old.filter(F.col(key[0]) % 2 == 0).unionByName(
+            old.filter(F.col(key[0]) == 1).withColumn(key[0], F.col(key[0]) + 1000))
+        return silver.load_reference_dims(b, {name: stored})[name]
+
+
+for _name, _shape, _outdated in (("dim_game", "games", "namegame"), ("dim_table_type", "table_types", "nametabletype"),
+                                 ("bridge_table_type_game", "table_type_games", ""), ("dim_table", "tables_ref", "nametable")):
+    _register_dim(_name, _shape, _outdated)
+
+
+@register("load_reference_dims", "A20,F8", sql=with_adapters(
+    ["games", "table_types", "table_type_games", "tables_ref", "agent_groups"], """
+SELECT 'dim_game' AS dimension, count(*) AS rows, CAST(sum(idgame) AS BIGINT) AS ids FROM games
+UNION ALL SELECT 'dim_table_type', count(*), CAST(sum(idtabletype) AS BIGINT) FROM table_types
+UNION ALL SELECT 'bridge_table_type_game', count(*), CAST(sum(idgame) AS BIGINT) FROM table_type_games
+UNION ALL SELECT 'dim_table', count(*), CAST(sum(idtable) AS BIGINT) FROM tables_ref
+UNION ALL SELECT 'dim_agent_group_scd', count(*), CAST(sum(idagentgroup) AS BIGINT) FROM agent_groups"""))
 def q_load_reference_dims(spark, sf):
-    dims = silver.load_reference_dims(_b(spark, sf))
-    keys = {"silver.dim_game": "idgame", "silver.dim_agent_group_scd": "idagentgroup"}
+    """All five dimensions of one load, summed up; their rows are compared one by one above."""
     out = None
-    for name, df in dims.items():
-        row = df.agg(F.count(F.lit(1)).alias("rows"), F.max(keys[name]).cast("long").alias("max_key")) \
-            .select(F.lit(name).alias("dimension"), "rows", "max_key")
+    for name, df in silver.load_reference_dims(_b(spark, sf)).items():
+        ids = silver.REFERENCE_DIMS[name][1][-1]
+        row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(ids).cast("long").alias("ids")) \
+            .select(F.lit(name).alias("dimension"), "rows", "ids")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -261,10 +309,8 @@ def q_full_refresh(spark, sf):
 
 SQL_AGENT_STATES = SQL_VISIT_DAY + f""",
 old_agent AS (SELECT o.*, CAST(nullif(pl.idagent, 0) AS INT) AS idagent FROM old_state o
-              LEFT JOIN players pl ON pl.membership = o.membership),
-new_agent AS (SELECT n.gamingday, n.membership, n.visits, n.first_in,
-                     CAST({SQL_ASOF.format(p='n', t='first_in')} AS INT) AS idagent
-              FROM new_state n LEFT JOIN players pl ON pl.membership = n.membership),
+              LEFT JOIN players pl ON pl.membership = o.membership),""" + cs.agent_at("new_at", "new_state", "first_in") + f""",
+new_agent AS (SELECT * EXCLUDE (agent_at), CAST(agent_at AS INT) AS idagent FROM new_at),
 new_scoped AS (SELECT * FROM new_agent WHERE gamingday {RANGE} AND idagent = 3)"""
 
 
@@ -356,9 +402,8 @@ def q_health_check(spark, sf):
 
 
 def _snapshot_sql() -> str:
-    from .entries_positions import ACT_ADAPTERS, SQL_ACTIVITY, SQL_CFG, _dim_sql
-    extra = ("md AS (" + MEMBERSHIP_DAY_SQL + "),\n" + SQL_ACTIVITY.strip() + ",\n" + SQL_CFG.strip() + ",\n"
-             + _dim_sql("2024-01-31").strip())
+    from .entries_positions import ACT_ADAPTERS
+    extra = cs.ctes("md AS (" + MEMBERSHIP_DAY_SQL + ")", cs.ACTIVITY, cs.CONFIG, cs.positions("2024-01-31"))
     return with_adapters(["cashdesk_tx", "drgt", "tx_money", "egd_cfg"] + ACT_ADAPTERS, """
 SELECT 'bronze.cashdesk_transactions_raw' AS table_name, count(*) AS rows FROM cashdesk_tx
 UNION ALL SELECT 'bronze.drgt_sessions_raw', count(*) FROM drgt

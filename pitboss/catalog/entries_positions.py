@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.dedupe import upsert_last_wins
 from ..plans import positions as pos
 from ..sources.adapters import bronze_for
+from . import check_sql as cs
 from .adapter_sql import with_adapters
 from .registry import register
 
@@ -24,80 +25,46 @@ def _activity(b):
     return pos.egd_activity(b.meter_day, b.player_session_v7)
 
 
-IP_TEXT = ("CAST({ip} // 16777216 AS VARCHAR) || '.' || CAST(({ip} // 65536) % 256 AS VARCHAR) || '.' || "
-           "CAST(({ip} // 256) % 256 AS VARCHAR) || '.' || CAST({ip} % 256 AS VARCHAR)")
-
-SQL_ACTIVITY = """
-meter AS (
-  SELECT ipaddr,
-    min(CASE WHEN gamingday > DATE '2000-01-01' THEN gamingday END) AS first_seen_meter,
-    max(CASE WHEN gamingday < DATE '2100-01-01' THEN gamingday END) AS last_seen_meter,
-    CAST(count(DISTINCT CASE WHEN gamingday BETWEEN DATE '2000-01-01' AND DATE '2100-01-01' THEN gamingday END) AS INT)
-      AS total_meter_days
-  FROM meter_day GROUP BY ipaddr),
-sess AS (
-  SELECT ipaddr, min(gamingday) AS first_seen_session, max(gamingday) AS last_seen_session, count(*) AS total_sessions
-  FROM player_session_v7 GROUP BY ipaddr),
-lm AS (
-  SELECT ipaddr, macaddr AS latest_macaddr FROM (
-    SELECT ipaddr, macaddr, row_number() OVER (PARTITION BY ipaddr
-           ORDER BY gamingday DESC, generated DESC NULLS LAST, macaddr DESC) AS rn
-    FROM meter_day WHERE gamingday BETWEEN DATE '2000-01-01' AND DATE '2100-01-01') WHERE rn = 1),
-activity AS (
-  SELECT coalesce(m.ipaddr, s.ipaddr) AS ipaddr, m.first_seen_meter, m.last_seen_meter,
-    CAST(coalesce(m.total_meter_days, 0) AS INT) AS total_meter_days, s.first_seen_session, s.last_seen_session,
-    CAST(coalesce(s.total_sessions, 0) AS BIGINT) AS total_sessions, lm.latest_macaddr
-  FROM meter m FULL OUTER JOIN sess s ON m.ipaddr = s.ipaddr
-  LEFT JOIN lm ON lm.ipaddr = coalesce(m.ipaddr, s.ipaddr))"""
 ACT_ADAPTERS = ["meter_day", "player_session_v7"]
 
 
-@register("meter_activity", "D11,B18", sql=with_adapters(ACT_ADAPTERS, "SELECT * FROM meter", SQL_ACTIVITY))
+@register("meter_activity", "D11,B18", sql=with_adapters(ACT_ADAPTERS, "SELECT * FROM meter", cs.ACTIVITY))
 def q_meter_activity(spark, sf):
     return pos.meter_activity(_b(spark, sf).meter_day)
 
 
-@register("session_activity", "D12", sql=with_adapters(ACT_ADAPTERS, "SELECT * FROM sess", SQL_ACTIVITY))
+@register("session_activity", "D12", sql=with_adapters(ACT_ADAPTERS, "SELECT * FROM played_at", cs.ACTIVITY))
 def q_session_activity(spark, sf):
     return pos.session_activity(_b(spark, sf).player_session_v7)
 
 
-@register("latest_mac", "E7", sql=with_adapters(ACT_ADAPTERS, "SELECT * FROM lm", SQL_ACTIVITY))
+@register("latest_mac", "E7", sql=with_adapters(ACT_ADAPTERS, "SELECT * FROM lm", cs.ACTIVITY))
 def q_latest_mac(spark, sf):
     return pos.latest_mac(_b(spark, sf).meter_day)
 
 
 @register("full_outer", "C9", sql=with_adapters(ACT_ADAPTERS, """
-SELECT coalesce(m.ipaddr, s.ipaddr) AS ipaddr, m.first_seen_meter, m.last_seen_meter, m.total_meter_days,
-       s.first_seen_session, s.last_seen_session, s.total_sessions
-FROM meter m FULL OUTER JOIN sess s ON m.ipaddr = s.ipaddr""", SQL_ACTIVITY))
+SELECT ipaddr, first_seen_meter, last_seen_meter, if(metered, total_meter_days, NULL) AS total_meter_days,
+       first_seen_session, last_seen_session, if(played, total_sessions, NULL) AS total_sessions
+FROM per_position""", cs.ACTIVITY))
 def q_full_outer(spark, sf):
     b = _b(spark, sf)
     return pos.meter_activity(b.meter_day).join(pos.session_activity(b.player_session_v7), "ipaddr", "full")
 
 
-@register("egd_activity", "A16", sql=with_adapters(ACT_ADAPTERS, "SELECT * FROM activity", SQL_ACTIVITY))
+@register("egd_activity", "A16", sql=with_adapters(ACT_ADAPTERS, "SELECT * FROM activity", cs.ACTIVITY))
 def q_egd_activity(spark, sf):
     return _activity(_b(spark, sf))
 
 
-SQL_CFG = """
-lc AS (
-  SELECT DISTINCT ON (ipaddr) * FROM egd_cfg WHERE ipaddr IS NOT NULL
-  ORDER BY ipaddr, rev DESC, gamingday DESC, generated DESC, macaddr DESC),
-ccount AS (
-  SELECT ipaddr, CAST(count(*) AS INT) AS cfg_revisions, CAST(count(DISTINCT macaddr) AS INT) AS machine_turnover
-  FROM egd_cfg WHERE ipaddr IS NOT NULL GROUP BY ipaddr)"""
-
-
 @register("latest_cfg", "E6", sql=with_adapters(["egd_cfg"], """
-SELECT ipaddr, macaddr, rev, gamingday, inventorynr, manufacturer, model FROM lc""", SQL_CFG))
+SELECT ipaddr, macaddr, rev, gamingday, inventorynr, manufacturer, model FROM lc""", cs.CONFIG))
 def q_latest_cfg(spark, sf):
     return pos.latest_cfg(_b(spark, sf).egd_cfg).select(
         "ipaddr", "macaddr", "rev", "gamingday", "inventorynr", "manufacturer", "model")
 
 
-@register("cfg_counts", "D13", sql=with_adapters(["egd_cfg"], "SELECT * FROM ccount", SQL_CFG))
+@register("cfg_counts", "D13", sql=with_adapters(["egd_cfg"], "SELECT * FROM ccount", cs.CONFIG))
 def q_cfg_counts(spark, sf):
     return pos.cfg_counts(_b(spark, sf).egd_cfg).select(
         "ipaddr", F.col("cfg_revisions").cast("int").alias("cfg_revisions"),
@@ -105,39 +72,16 @@ def q_cfg_counts(spark, sf):
 
 
 @register("all_positions", "H2", sql=with_adapters(ACT_ADAPTERS + ["egd_cfg"], """
-SELECT ipaddr FROM activity UNION SELECT ipaddr FROM egd_cfg WHERE ipaddr IS NOT NULL""", SQL_ACTIVITY))
+SELECT DISTINCT ipaddr FROM (SELECT ipaddr FROM seen UNION ALL SELECT ipaddr FROM egd_cfg WHERE ipaddr IS NOT NULL)""",
+                                                  cs.ACTIVITY))
 def q_all_positions(spark, sf):
     b = _b(spark, sf)
     return pos.all_positions(_activity(b), b.egd_cfg)
 
 
-def _dim_sql(as_of: str) -> str:
-    last = "coalesce(a.last_seen_meter, a.last_seen_session)"
-    return f"""
-dim AS (
-  SELECT p.ipaddr, {IP_TEXT.format(ip='p.ipaddr')} AS ipaddr_readable,
-    CAST((p.ipaddr // 256) % 256 AS INT) AS floor_zone, CAST(p.ipaddr % 256 AS INT) AS position_in_zone,
-    a.latest_macaddr, c.inventorynr, c.manufacturer, c.model,
-    coalesce({last} >= DATE '{as_of}' - INTERVAL 7 DAY, false) AS is_active,
-    CASE WHEN {last} >= DATE '{as_of}' - INTERVAL 7 DAY THEN 'Active'
-         WHEN {last} >= DATE '{as_of}' - INTERVAL 90 DAY THEN 'Recently Inactive'
-         WHEN {last} IS NOT NULL THEN 'Decommissioned' ELSE 'Config Only' END AS position_status,
-    least(a.first_seen_meter, a.first_seen_session) AS first_seen,
-    greatest(a.last_seen_meter, a.last_seen_session) AS last_seen,
-    CAST(coalesce(a.total_meter_days, 0) AS INT) AS total_meter_days,
-    CAST(coalesce(a.total_sessions, 0) AS BIGINT) AS total_sessions,
-    c.ipaddr IS NOT NULL AS has_egd_cfg,
-    CAST(coalesce(k.cfg_revisions, 0) AS INT) AS cfg_revisions,
-    CAST(coalesce(k.machine_turnover, 0) AS INT) AS machine_turnover
-  FROM (SELECT ipaddr FROM activity UNION SELECT ipaddr FROM egd_cfg WHERE ipaddr IS NOT NULL) p
-  LEFT JOIN activity a ON a.ipaddr = p.ipaddr
-  LEFT JOIN lc c ON c.ipaddr = p.ipaddr
-  LEFT JOIN ccount k ON k.ipaddr = p.ipaddr)"""
-
-
-def _pos_sql(body: str, as_of: str = "2024-01-31") -> str:
-    return with_adapters(ACT_ADAPTERS + ["egd_cfg"], body,
-                         SQL_ACTIVITY.strip() + ",\n" + SQL_CFG.strip() + ",\n" + _dim_sql(as_of).strip())
+def _pos_sql(body: str, *as_of: tuple[str, str]) -> str:
+    dims = [cs.positions(day, name) for day, name in as_of or (("2024-01-31", "dim"),)]
+    return with_adapters(ACT_ADAPTERS + ["egd_cfg"], body, cs.ctes(cs.ACTIVITY, cs.CONFIG, *dims))
 
 
 def _dim(spark, sf, as_of=AS_OF):
@@ -155,12 +99,10 @@ def q_ip_decode(spark, sf):
     return _dim(spark, sf).select("ipaddr", "ipaddr_readable", "floor_zone", "position_in_zone")
 
 
-@register("status_by_age", "B17", sql=with_adapters(
-    ACT_ADAPTERS + ["egd_cfg"],
+@register("status_by_age", "B17", sql=_pos_sql(
     """SELECT DATE '2024-01-31' AS as_of, ipaddr, last_seen, position_status FROM dim
 UNION ALL SELECT DATE '2024-06-01', ipaddr, last_seen, position_status FROM dim_late""",
-    SQL_ACTIVITY.strip() + ",\n" + SQL_CFG.strip() + ",\n" + _dim_sql("2024-01-31").strip() + ",\n"
-    + _dim_sql("2024-06-01").strip().replace("dim AS (", "dim_late AS (", 1)))
+    ("2024-01-31", "dim"), ("2024-06-01", "dim_late")))
 def q_status_by_age(spark, sf):
     out = None
     for as_of in (AS_OF, AS_OF_LATE):
@@ -187,55 +129,36 @@ def q_orphan_check(spark, sf):
     return pos.position_checks(_dim(spark, sf))
 
 
-@register("machine_history", "F10,E8", sql=with_adapters(["egd_cfg"], f"""
-SELECT ipaddr, {IP_TEXT.format(ip='ipaddr')} AS ipaddr_readable, macaddr, casinoid, siteid, gamingday AS effective_from,
-  coalesce(nxt, DATE '9999-12-31') AS effective_to, rn = 1 AS is_current, inventorynr, manufacturer, model,
-  CASE WHEN rn = 1 AND nxt IS NULL THEN 'Current' ELSE 'Historical' END AS assignment_status, rev
-FROM (SELECT *, lead(gamingday) OVER (PARTITION BY macaddr ORDER BY rev, gamingday NULLS LAST, generated NULLS LAST) AS nxt,
-             row_number() OVER (PARTITION BY macaddr ORDER BY rev DESC, gamingday DESC NULLS FIRST,
-                                generated DESC NULLS FIRST) AS rn
-      FROM egd_cfg WHERE ipaddr IS NOT NULL)"""))
+@register("machine_history", "F10,E8", sql=with_adapters(["egd_cfg"], "SELECT * FROM history", cs.HISTORY))
 def q_machine_history(spark, sf):
     return pos.machine_history(_b(spark, sf).egd_cfg)
 
 
-SQL_PERIODS = f"""
-daily AS (
-  SELECT ipaddr, macaddr, gamingday FROM (
-    SELECT *, row_number() OVER (PARTITION BY ipaddr, gamingday ORDER BY generated DESC NULLS LAST, macaddr DESC) AS rn
-    FROM meter_day WHERE gamingday BETWEEN DATE '2000-01-01' AND DATE '2100-01-01') WHERE rn = 1),
-marked AS (
-  SELECT *, CASE WHEN lag(macaddr) OVER w IS NULL OR macaddr <> lag(macaddr) OVER w
-                   OR gamingday - lag(gamingday) OVER w > 3 THEN 1 ELSE 0 END AS is_new
-  FROM daily WINDOW w AS (PARTITION BY ipaddr ORDER BY gamingday)),
-grouped AS (SELECT *, sum(is_new) OVER (PARTITION BY ipaddr ORDER BY gamingday ROWS UNBOUNDED PRECEDING) AS grp FROM marked),
-periods AS (
-  SELECT ipaddr, {IP_TEXT.format(ip='ipaddr')} AS ipaddr_readable, macaddr, min(gamingday) AS period_start,
-    max(gamingday) AS period_end, count(*) AS days_active,
-    CASE WHEN max(gamingday) >= DATE '2024-01-31' - INTERVAL 7 DAY THEN 'Active'
-         WHEN max(gamingday) >= DATE '2024-01-31' - INTERVAL 90 DAY THEN 'Recently Inactive' ELSE 'Inactive' END
-      AS period_status
-  FROM grouped GROUP BY ipaddr, macaddr, grp)"""
-
-
-@register("machine_periods", "E9,E10,F12", sql=with_adapters(["meter_day"], "SELECT * FROM periods", SQL_PERIODS))
+@register("machine_periods", "E9,E10,F12", sql=with_adapters(["meter_day"], "SELECT * FROM periods", cs.PERIODS))
 def q_machine_periods(spark, sf):
     return pos.machine_periods(_b(spark, sf).meter_day, AS_OF)
 
 
 @register("multi_machine_positions", "D16", sql=with_adapters(["meter_day"], """
-SELECT ipaddr_readable, count(*) AS periods, count(DISTINCT macaddr) AS unique_machines FROM periods
-GROUP BY ipaddr_readable HAVING count(DISTINCT macaddr) > 1""", SQL_PERIODS))
+SELECT ipaddr_readable, periods, unique_machines FROM (
+  SELECT ipaddr_readable, count(*) AS periods, count(DISTINCT macaddr) AS unique_machines FROM periods GROUP BY ALL)
+WHERE unique_machines > 1""", cs.PERIODS))
 def q_multi_machine_positions(spark, sf):
     return pos.multi_machine_positions(pos.machine_periods(_b(spark, sf).meter_day, AS_OF))
 
 
 @register("egd_cfg_upsert", "A15,A7", sql=with_adapters(["egd_cfg"], """
 SELECT generated, gamingday, casinoid, siteid, ipaddr, macaddr, smibip, rev, inventorynr, manufacturer, model
-FROM egd_cfg"""))
+FROM egd_cfg
+UNION ALL SELECT generated, gamingday, casinoid, siteid, ipaddr, macaddr, smibip, -rev, 'stored', manufacturer, model
+FROM egd_cfg WHERE rev % 5 = 0"""))
 def q_egd_cfg_upsert(spark, sf):
-    """Config snapshot upserted over a target holding the even revisions:
-    every key ends with the snapshot's row (5-column key)."""
+    """Config snapshot upserted (5-column key) over a target that holds the even
+    revisions with other values, and revisions the snapshot does not have."""
     cfg = _b(spark, sf).egd_cfg
-    target = cfg.filter(F.col("rev") % 2 == 0)
-    return upsert_last_wins(target, cfg, ["casinoid", "siteid", "macaddr", "smibip", "rev"], F.col("generated"))
+    stored = F.lit("stored").alias("inventorynr")
+    others = [c for c in cfg.columns if c not in ("rev", "inventorynr")]
+    target = (cfg.filter(F.col("rev") % 2 == 0).select(*others, "rev", stored)
+              .unionByName(cfg.filter(F.col("rev") % 5 == 0).select(*others, (-F.col("rev")).alias("rev"), stored)))
+    return upsert_last_wins(target.select(*cfg.columns), cfg, ["casinoid", "siteid", "macaddr", "smibip", "rev"],
+                            F.col("generated"))

@@ -380,7 +380,7 @@ def membership_day(b, f, t, agent_id: int | None = None, split_hot_members: bool
     # Members of the range straight from the visit and slot scans: a cheap key
     # set for pruning the agent history (the folded rows are a large plan).
     members = visits_in_range(b, f, t).select("membership").unionByName(
-        slots_in_range(b, f, t).select(F.col("playerid").alias("membership")))
+        slots_in_range(b, f, t).select(F.col("playerid").alias("membership"))).distinct()
     with_agent = agent_at(folded, b.agents_players, players, "membership", "visittime",
                           split_by_day=split_hot_members, player_cols=("surname", "forename", "idcountry"),
                           member_keys=members)
@@ -405,7 +405,7 @@ def agent_at_visit(b, f, t, split_hot_members: bool = False) -> DataFrame:
     vb = visits_base(b, f, t).select(*KEYS, "visittime")
     players = b.players.select("membership", "idagent")
     members = visits_in_range(b, f, t).select("membership").unionByName(
-        slots_in_range(b, f, t).select(F.col("playerid").alias("membership")))
+        slots_in_range(b, f, t).select(F.col("playerid").alias("membership"))).distinct()
     return agent_at(vb, b.agents_players, players, "membership", "visittime", split_by_day=split_hot_members,
                     member_keys=members).select(*KEYS, F.col("idagent").cast("int").alias("idagent"))
 
@@ -432,7 +432,10 @@ def agent_group_for(keys: DataFrame, groups: DataFrame, day_col: str = "gamingda
 
 def player_session(b, f, t) -> DataFrame:
     """Player-session fact (F3); the agent is the player's current agent."""
-    pt = b.players_tracking.filter(known_member("membership"))
+    # a tracking row with a day must have it in the range: only rows without a
+    # day depend on their session's start, so the day reaches the scan
+    pt = b.players_tracking.filter(known_member("membership")
+                                   & (day_between("datework", f, t) | F.col("datework").isNull()))
     ps = b.player_sessions.filter(not_deleted("isdeleted"))
     s = ps.join(pt, "idplayerstracking", "inner").withColumn("gamingday", gaming_day("datework", "timestart"))
     s = s.filter(day_between("gamingday", f, t))
@@ -449,20 +452,44 @@ def player_session(b, f, t) -> DataFrame:
 def fx_rate_daily(b, f, t) -> DataFrame:
     """FX rates of the day range (F7), from the upserted source."""
     r = b.fx_rates.filter(day_between("datechange", f, t))
-    return r.select("idcasino", "datechange", "idcurrency", "exchrate", "row_version")
-
-
-def load_reference_dims(b) -> dict[str, DataFrame]:
-    """Reference dimensions after their keyed upserts (F8/A20): never deletes,
-    every non-key column replaced by the latest source row."""
+    return r.select("idcasino", "datechange", "idcurrency", "idcurrencyexchrate", "exchrate", "row_version", "created",
+                    "modified")
+
+
+# Reference dimensions: bronze shape, key, columns.
+REFERENCE_DIMS = {
+    "dim_game": ("games", ("idgame",), ("idgame", "codegame", "namegame", "listorder_game", "idbonussystem", "nmbboxes")),
+    "dim_table_type": ("table_types", ("idtabletype",), (
+        "idtabletype", "codetabletype", "nametabletype", "listorder_tabletype", "idgametype")),
+    "bridge_table_type_game": ("table_type_games", ("idtabletype", "idgame"), ("idtabletype", "idgame", "listorder")),
+    "dim_table": ("tables_ref", ("idtable",), (
+        "idtable", "idtabletype", "nametable", "snmbtable", "codetable", "isvirtual", "listorder_table", "idbonusgame",
+        "idbonussystem", "ismarketing", "idcurrency", "mysteryguarantee", "ratemystery", "lowerlimitmystery",
+        "upperlimitmystery", "minplayingbet")),
+    "dim_agent_group_scd": ("agent_groups", ("idagentgroup",), (
+        "idagentgroup", "idagent", "nameagent", "nameagentgroup", "datebegin", "dateend", "memoagentgroup",
+        "row_version", "modified")),
+}
+
+
+def reference_dim(b, name: str) -> DataFrame:
+    """Source rows of one reference dimension (F8); agent groups carry their agent's name."""
+    shape, _, cols = REFERENCE_DIMS[name]
+    rows = getattr(b, shape)
+    if "nameagent" in cols:
+        a = b.agents.select(F.col("idagent").alias("_aid"), "nameagent")
+        rows = rows.join(a, rows["idagent"] == a["_aid"], "left")
+    return rows.select(*cols)
+
+
+def load_reference_dims(b, stored=None) -> dict[str, DataFrame]:
+    """Reference dimensions after their keyed upserts (F8/A20) over ``stored``
+    (name -> DataFrame; none: empty): never deletes, every non-key column is
+    replaced by the source row's."""
     from ..operators.dedupe import upsert_last_wins
-    games = b.games
-    a = b.agents.select(F.col("idagent").alias("_aid"), "nameagent")
-    g = b.agent_groups
-    groups = g.join(a, g["idagent"] == a["_aid"], "left").select(
-        "idagentgroup", "idagent", "nameagent", "datebegin", "dateend", "modified")
-    return {
-        "silver.dim_game": upsert_last_wins(games.filter(F.lit(False)), games, ["idgame"], F.lit(0)),
-        "silver.dim_agent_group_scd": upsert_last_wins(groups.filter(F.lit(False)), groups, ["idagentgroup"],
-                                                       F.col("modified")),
-    }
+    out = {}
+    for name, (_, key, _) in REFERENCE_DIMS.items():
+        rows = reference_dim(b, name)
+        target = (stored or {}).get(name, rows.filter(F.lit(False)))
+        out[name] = upsert_last_wins(target, rows, list(key), F.lit(0))
+    return out

@@ -65,7 +65,7 @@ def drgt_sessions(spark: SparkSession, sf: str) -> DataFrame:
     return e.select(
         F.col("user_id").alias("playerid"),
         (F.lit(BASE_IP) + eid % 45).alias("ipaddr"),
-        eid.cast("int").alias("id_session"),
+        eid.alias("id_session"),
         F.to_date("ts").alias("gamingday"),
         F.col("ts").alias("starttimelocal"),
         _minutes_after("ts", eid % 90).alias("endtimelocal"),
@@ -174,7 +174,7 @@ def players(spark: SparkSession, sf: str) -> DataFrame:
 
 def agents(spark: SparkSession, sf: str) -> DataFrame:
     """Agents 1..8; 3 has an empty name, 4 the literal 'NO AGENT'."""
-    s = read_table(spark, sf, "supplier", "s_suppkey", "s_name").filter(F.col("s_suppkey") < 9)
+    s = read_table(spark, sf, "supplier", "s_suppkey", "s_name").filter(F.col("s_suppkey") % 10 != 9)
     k = F.col("s_suppkey").cast("int")
     return s.select(k.alias("idagent"),
                     F.when(k == 3, "").when(k == 4, "NO AGENT").otherwise(F.col("s_name")).alias("nameagent"))
@@ -186,12 +186,44 @@ def countries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def games(spark: SparkSession, sf: str) -> DataFrame:
-    n = read_table(spark, sf, "nation", "n_nationkey", "n_name").filter(F.col("n_nationkey") < 8)
-    return n.select(F.col("n_nationkey").alias("idgame"), F.col("n_name").alias("namegame"))
+    n = read_table(spark, sf, "nation", "n_nationkey", "n_name").filter(F.col("n_nationkey") % 9 != 8)
+    k = F.col("n_nationkey")
+    return n.select(k.alias("idgame"), F.concat(F.lit("G"), k.cast("string")).alias("codegame"),
+                    F.col("n_name").alias("namegame"), (k % 4).alias("listorder_game"),
+                    _null_when(k % 5 == 0, k % 3).alias("idbonussystem"), (k % 7).alias("nmbboxes"))
+
+
+def table_types(spark: SparkSession, sf: str) -> DataFrame:
+    r = read_table(spark, sf, "region", "r_regionkey", "r_name")
+    k = F.col("r_regionkey")
+    return r.select(k.alias("idtabletype"), F.concat(F.lit("T"), k.cast("string")).alias("codetabletype"),
+                    F.col("r_name").alias("nametabletype"), (F.lit(10) - k).alias("listorder_tabletype"),
+                    _null_when(k == 2, k % 3).alias("idgametype"))
+
+
+def table_type_games(spark: SparkSession, sf: str) -> DataFrame:
+    n = read_table(spark, sf, "nation", "n_nationkey", "n_regionkey")
+    k = F.col("n_nationkey")
+    return n.select(F.col("n_regionkey").alias("idtabletype"), k.alias("idgame"), (k % 5).alias("listorder"))
+
+
+def tables_ref(spark: SparkSession, sf: str) -> DataFrame:
+    s = read_table(spark, sf, "supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    k, small = F.col("s_suppkey"), (F.col("s_suppkey") % 50).cast("int")
+    return s.select(
+        k.alias("idtable"), (F.col("s_nationkey") % 5).alias("idtabletype"), F.col("s_name").alias("nametable"),
+        (k % 100).cast("string").alias("snmbtable"), F.concat(F.lit("TB"), k.cast("string")).alias("codetable"),
+        (k % 9 == 0).alias("isvirtual"), small.alias("listorder_table"),
+        _null_when(k % 4 == 0, (k % 6).cast("int")).alias("idbonusgame"), (k % 3).cast("int").alias("idbonussystem"),
+        _null_when(k % 5 == 0, k % 2 == 0).alias("ismarketing"), (F.col("s_nationkey") % 5).alias("idcurrency"),
+        _dec("s_acctbal").alias("mysteryguarantee"), (small * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(19,4)")
+        .alias("ratemystery"), F.lit(0).cast("decimal(19,4)").alias("lowerlimitmystery"),
+        _null_when(k % 7 == 0, small.cast("decimal(19,4)")).alias("upperlimitmystery"),
+        F.lit(5).cast("decimal(19,4)").alias("minplayingbet"))
 
 
 def articles(spark: SparkSession, sf: str) -> DataFrame:
-    n = read_table(spark, sf, "nation", "n_nationkey", "n_name").filter(F.col("n_nationkey") < 12)
+    n = read_table(spark, sf, "nation", "n_nationkey", "n_name").filter(F.col("n_nationkey") % 14 < 12)
     return n.select(F.col("n_nationkey").alias("idarticle"), F.col("n_name").alias("namearticle"))
 
 
@@ -222,15 +254,18 @@ def agent_groups(spark: SparkSession, sf: str) -> DataFrame:
     The five ranges are indexed by the region keys 0..4; they are generated per
     supplier row with ``explode`` (a fixed fan-out of five), not a join.
     """
-    s = read_table(spark, sf, "supplier", "s_suppkey").filter((F.col("s_suppkey") < 10) & (F.col("s_suppkey") != 7))
+    s = read_table(spark, sf, "supplier", "s_suppkey").filter(F.col("s_suppkey") % 10 != 7)
     s = s.select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("r"))
     start = F.lit(dt.date(2024, 1, 1))
     return s.select(
-        (F.col("s_suppkey") * 10 + F.col("r")).cast("int").alias("idagentgroup"),
+        (F.col("s_suppkey") * 10 + F.col("r")).alias("idagentgroup"),
         F.col("s_suppkey").cast("int").alias("idagent"),
+        F.concat(F.lit("Group "), F.col("r").cast("string")).alias("nameagentgroup"),
         F.date_add(start, F.col("r") * 6).alias("datebegin"),
         _null_when(F.col("r") == 4, F.date_add(start, F.col("r") * 6 + 7)).alias("dateend"),
+        _null_when(F.col("r") == 1, F.concat(F.lit("memo "), F.col("s_suppkey").cast("string"))).alias("memoagentgroup"),
         F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("modified"),
+        (F.col("s_suppkey") + F.col("r")).alias("row_version"),
     )
 
 
@@ -241,13 +276,16 @@ def fx_rates_src(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(1).alias("idcasino"),
         F.to_date(F.col("o_orderdate") + F.expr("INTERVAL '26' YEAR")).alias("datechange"),
         (F.col("o_custkey") % 5).cast("int").alias("idcurrency"),
+        (k + 7).alias("idcurrencyexchrate"),
         (F.lit(1) + (k % 1000) * F.lit(0.0001).cast("decimal(4,4)")).cast("decimal(19,8)").alias("exchrate"),
-        k.cast("int").alias("row_version"),
+        k.alias("row_version"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("created"),
+        _null_when(k % 6 == 0, F.col("o_orderdate").cast("timestamp_ntz")).alias("modified"),
     )
 
 
 def chips(spark: SparkSession, sf: str) -> DataFrame:
-    p = read_table(spark, sf, "part", "p_partkey", "p_retailprice").filter(F.col("p_partkey") < 50)
+    p = read_table(spark, sf, "part", "p_partkey", "p_retailprice").filter(F.col("p_partkey") % 55 < 50)
     return p.select(F.col("p_partkey").cast("int").alias("idchip"), _dec("p_retailprice").alias("valuechip"))
 
 
@@ -276,7 +314,7 @@ def bonuses(spark: SparkSession, sf: str) -> DataFrame:
     eid = F.col("event_id")
     d4 = F.lit(0.0001).cast("decimal(4,4)")
     return e.select(
-        eid.cast("int").alias("idplayerbonus"),
+        eid.alias("idplayerbonus"),
         F.when(eid % 9 == 0, -1).otherwise(1).alias("typeoper"),
         F.to_date("ts").alias("datework"),
         F.col("ts").alias("timeoper"),
@@ -321,7 +359,7 @@ def egd_cfg(spark: SparkSession, sf: str) -> DataFrame:
     )
     ranked = chunked_row_number(base, ["macaddr"], [F.col("_k")], "rev",
                                 chunk=F.floor(F.col("_k") / F.lit(65536)))
-    return ranked.withColumn("rev", F.col("rev").cast("int")).drop("_k")
+    return ranked.withColumn("rev", F.col("rev").cast("long")).drop("_k")
 
 
 def meter_day(spark: SparkSession, sf: str) -> DataFrame:
@@ -378,18 +416,21 @@ class Bronze:
                               [F.col("row_version")])
 
 
-_ACCESSORS: dict[tuple[int, str], Bronze] = {}
+_ACCESSORS: dict[tuple[int, str], tuple[tuple, Bronze]] = {}
 
 
 def bronze_for(spark: SparkSession, sf_dir: str) -> Bronze:
     """The shared accessor of one session and table directory.
 
-    Its DataFrames keep the file listing of their first use; after the input
-    folders change, ``reset_accessors`` makes the next call list them again."""
+    Its DataFrames keep the file listing of their first use; when the input
+    folder has changed since, a new accessor is made."""
+    from .tables import folder_state
     key = (id(spark), sf_dir)
-    b = _ACCESSORS.get(key)
-    if b is None or b.spark is not spark:
-        b = _ACCESSORS[key] = Bronze(spark, sf_dir)
+    state = folder_state(spark, sf_dir)
+    known, b = _ACCESSORS.get(key, (None, None))
+    if b is None or known != state or b.spark is not spark:
+        b = Bronze(spark, sf_dir)
+        _ACCESSORS[key] = (state, b)
     return b
 
 

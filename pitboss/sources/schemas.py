@@ -21,17 +21,24 @@ BRONZE = {
     "person_visits": ("datework date, membership long, time_in ntz, time_out ntz, created ntz", ()),
     "manage_agents_players": ("membership long, idagent int, datechange ntz, created ntz",
                               ("membership", "datechange")),
-    "manage_agent_groups": ("idagentgroup int, idagent int, nameagentgroup string, datebegin date, dateend date, "
+    "manage_agent_groups": ("idagentgroup long, idagent int, nameagentgroup string, datebegin date, dateend date, "
                             "memoagentgroup string, created ntz, createdby string, modified ntz, modifiedby string, "
-                            "row_version int", ("idagentgroup",)),
+                            "row_version long", ("idagentgroup",)),
     "person_players": ("membership long, idagent int, idcountry int, surname string, forename string",
                        ("membership",)),
     "manage_agents": ("idagent int, nameagent string", ("idagent",)),
     "casino_countries": ("idcountry int, namecountry string", ("idcountry",)),
     "casino_games_ref": ("idgame int, codegame string, namegame string, listorder_game int, idbonussystem int, "
                          "nmbboxes int", ("idgame",)),
-    "casino_currency_exch_rates": ("idcasino int, datechange date, idcurrency int, idcurrencyexchrate int, "
-                                   "exchrate rate, created ntz, modified ntz, row_version int",
+    "casino_table_types": ("idtabletype int, codetabletype string, nametabletype string, listorder_tabletype int, "
+                           "idgametype int", ("idtabletype",)),
+    "casino_table_types_games": ("idtabletype int, idgame int, listorder int", ("idtabletype", "idgame")),
+    "casino_tables_ref": ("idtable long, idtabletype int, nametable string, snmbtable string, codetable string, "
+                          "isvirtual bool, listorder_table int, idbonusgame int, idbonussystem int, ismarketing bool, "
+                          "idcurrency int, mysteryguarantee money, ratemystery money, lowerlimitmystery money, "
+                          "upperlimitmystery money, minplayingbet money", ("idtable",)),
+    "casino_currency_exch_rates": ("idcasino int, datechange date, idcurrency int, idcurrencyexchrate long, "
+                                   "exchrate rate, created ntz, modified ntz, row_version long",
                                    ("idcasino", "datechange", "idcurrency")),
     "cashdesk_transactions": ("idoper long, datework date, timeoper ntz, membership long, idaccount int, "
                               "directionoper int, totalmoneyue money, chipsue money, isdeleted bool, "
@@ -43,7 +50,7 @@ BRONZE = {
                                "handhold money, cashout money, averbet money, isdeleted bool",
                                ("idplayerstracking", "timestart")),
     "casino_players_tracking": ("idplayerstracking long, datework date, membership long", ("idplayerstracking",)),
-    "drgt_sessions": ("playerid long, ipaddr long, id_session int, gamingday date, starttimelocal ntz, "
+    "drgt_sessions": ("playerid long, ipaddr long, id_session long, gamingday date, starttimelocal ntz, "
                       "endtimelocal ntz, totalbet money, cashbet money, totalout money, win money, nwl money, "
                       "billdrop money, gamesplayed money", ("playerid", "id_session")),
     "casino_transaction_money": ("idoper long, idmoney int, summoney money", ("idoper", "idmoney")),
@@ -52,14 +59,14 @@ BRONZE = {
     "manage_player_session_detail_chips": ("idplayersessiondetail long, idchip int, qntchips money",
                                            ("idplayersessiondetail", "idchip")),
     "casino_chips": ("idchip int, valuechip money", ("idchip",)),
-    "promo_player_bonuses": ("idplayerbonus int, typeoper int, datework date, timeoper ntz, membership long, "
+    "promo_player_bonuses": ("idplayerbonus long, typeoper int, datework date, timeoper ntz, membership long, "
                              "idbonusindicator int, idgame int, sumbonuses money, costbonuses money, "
                              "multiplierloyalty money, hours money, handsperhour int, averbet money, "
                              "percentadt money, isdeleted bool, comment string", ("idplayerbonus",)),
     "promo_bonus_indicators": ("idbonusindicator int, codebonusindicator string, namebonusindicator string",
                                ("idbonusindicator",)),
     "sm_egd_cfg": ("generated ntz, gamingday date, casinoid string, siteid string, ipaddr int, macaddr long, "
-                   "smibip int, rev int, inventorynr string, manufacturer string, model string",
+                   "smibip int, rev long, inventorynr string, manufacturer string, model string",
                    ("casinoid", "siteid", "macaddr", "smibip", "rev")),
     "meter_day": ("ipaddr int, macaddr long, gamingday date, generated ntz", ()),
     "player_session_v7": ("ipaddr int, gamingday date", ()),
@@ -69,7 +76,8 @@ BRONZE = {
 ADAPTER_TABLE = {
     "visits": "person_visits", "agents_players": "manage_agents_players", "agent_groups": "manage_agent_groups",
     "players": "person_players", "agents": "manage_agents", "countries": "casino_countries",
-    "games": "casino_games_ref", "fx_rates": "casino_currency_exch_rates", "cashdesk_tx": "cashdesk_transactions",
+    "table_types": "casino_table_types", "table_type_games": "casino_table_types_games",
+    "tables_ref": "casino_tables_ref", "games": "casino_games_ref", "fx_rates": "casino_currency_exch_rates", "cashdesk_tx": "cashdesk_transactions",
     "articles": "cashdesk_articles", "tx_calculated": "casino_transactions_calculated",
     "player_sessions": "manage_player_sessions", "players_tracking": "casino_players_tracking",
     "drgt_sessions": "drgt_sessions", "tx_money": "casino_transaction_money",

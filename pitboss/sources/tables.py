@@ -10,23 +10,33 @@ DRIVER_TABLES = (
 )
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+# Per session and path: what the folder held when the scan was made, and the scan.
+_SCANS: dict[tuple[int, str], tuple[tuple, DataFrame]] = {}
+
+
+def folder_state(spark: SparkSession, path: str) -> tuple:
+    """Files, bytes and modification time under ``path`` (one metadata call each):
+    a scan made from another state lists the folder again."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = fs.getContentSummary(target)
+    return held.getFileCount(), held.getLength(), fs.getFileStatus(target).getModificationTime()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Parquet scan of one table; naming the columns keeps the scan pruned.
 
-    The unprojected scan is created once per session and path (file listing
-    and footer schema are read once); every caller projects its own columns
-    from it, and Catalyst prunes each scan to the columns actually used.
-    The file listing is taken when the scan is first created: a long-lived
-    session whose input folders change calls ``forget_scans`` first."""
+    The unprojected scan is made once per session, path and state of the
+    folder (file listing and footer schema are read once); every caller
+    projects its own columns from it, and Catalyst prunes each scan to the
+    columns actually used.  Files that arrive later are seen by the next call."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
+    state = folder_state(spark, path)
+    known, df = _SCANS.get(key, (None, None))
+    if df is None or known != state or df.sparkSession is not spark:
         df = spark.read.parquet(path)
-        _SCANS[key] = df
+        _SCANS[key] = (state, df)
     return df.select(*columns) if columns else df
 
 

@@ -27,8 +27,11 @@ SESSION_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # Tables without a day column (money rows, session details, detail chips)
     # are joined to one day's keys: a runtime bloom filter built from the small
-    # side pre-filters the large side before its shuffle.
+    # side pre-filters the large side before its shuffle.  Spark builds one from
+    # sides of up to 10 MB by default, which are broadcast anyway; the limit is
+    # set above the broadcast threshold, so that larger key sets prune too.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(256 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
     "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
@@ -83,12 +86,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the semantic settings to an existing session (runtime-settable ones)."""
+    """Apply the settings to an existing session.  All of them can be set at run
+    time; a session that refuses one raises, since its results would differ."""
     for key, value in SESSION_CONF.items():
-        try:
-            spark.conf.set(key, value)
-        except Exception:  # static configs cannot change on a live session
-            pass
+        spark.conf.set(key, value)
 
 
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,

@@ -71,7 +71,8 @@ def curve_index(docs: DataFrame, dimensions: list[str]) -> DataFrame:
     """``docs`` with a column ``curve``: Hilbert index of numeric dimension columns."""
     shares = [k / (1 << BITS) for k in range(1, 1 << BITS)]
     edges = docs.agg(*[F.percentile_approx(d, shares, 10_000).alias(d) for d in dimensions]).first()
-    cuts = [np.unique(np.array(edges[d] or [], np.float64)) for d in dimensions]
+    # a value's level is its first place among the edges: frequent values keep their share of the range
+    cuts = [np.array(edges[d] or [], np.float64) for d in dimensions]
 
     @F.pandas_udf("long")
     def index(*columns: pd.Series) -> pd.Series:

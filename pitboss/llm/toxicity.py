@@ -28,6 +28,8 @@ any label).  Labels, lang, source and doc_id are no inputs.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,6 +45,7 @@ ORDER, DECAY = 3, 0.6
 SPAN, STEP = 24, 12
 SHORTEST, LONGEST = 4, 16
 STEMS = (5, 6, 7, 8, 9)  # bytes of the word beginnings that may be landmarks
+LEAST_HOLDERS = 3  # toxic documents that hold a landmark
 POWERS = (1, 16)  # of the kernel: a tolerant one and one for nearly exact matches
 RIDGE = 1e-4
 SHARE = 0.8  # of a landmark's characters that a span must hold in order
@@ -233,7 +236,7 @@ def choose_landmarks(toxic: list[set[bytes]], clean: dict[bytes, int]) -> list[b
     for i, words in enumerate(toxic):
         for word in words:
             holders.setdefault(word, set()).add(i)
-    holders = {w: d for w, d in holders.items() if len(d) >= 3 and clean.get(w, 0) <= 0.05 * len(d)}
+    holders = {w: d for w, d in holders.items() if len(d) >= LEAST_HOLDERS and clean.get(w, 0) <= 0.05 * len(d)}
     chosen, left = [], set(range(len(toxic)))
     strong = sorted(holders, key=lambda w: (-len(holders[w]), -len(w), w))
     gain = {w: len(holders[w]) for w in strong}
@@ -274,9 +277,9 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 30) ->
 
 
 def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a logistic curve over margins."""
+    """Slope and intercept of a logistic curve over margins, near balanced classes."""
     a, b = 1.0, 0.0
-    weight = np.where(y > 0, TOXIC_WEIGHT, 1.0)
+    weight = np.where(y > 0, 2 * TOXIC_WEIGHT, 1.0)
     weight /= weight.sum()
     for _ in range(3000):
         p = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
@@ -347,7 +350,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCS) -> dict:
     words = F.filter(words, lambda w: F.octet_length(w).between(SHORTEST, LONGEST))
     toxic = [stems({fold(w) for w in r["words"]} - {b""}) for r in
              rows.where("label > 0").orderBy("row").select(words.alias("words")).collect()]  # at most ``bound`` documents
-    wanted = set().union(*toxic)
+    held = Counter(w for own in toxic for w in own)
+    wanted = {w for w, n in held.items() if n >= LEAST_HOLDERS}
 
     def count(batches):
         seen: dict[bytes, int] = {}

@@ -167,12 +167,16 @@ def _segments(docs: DataFrame, short: list[int], bitmap, bits: int, reach: int)
     return map_batches(docs, run, SEGMENTS)
 
 
-def _best_stretch(match: np.ndarray, penalty: int) -> tuple[int, int]:
-    """Start and end of the stretch with the best score (match 1, other -penalty)."""
+def _longest_stretch(match: np.ndarray, penalty: int) -> tuple[int, int]:
+    """Start and end of the longest stretch, from a match to a match, in which at
+    least penalty / (penalty + 1) of the tokens agree; (0, 0) if there is none."""
     score = np.concatenate([[0], np.cumsum(np.where(match, 1, -penalty))])
     low = np.minimum.accumulate(score)
-    end = int(np.argmax(score - low))
-    return int(np.argmax(score[:end + 1] == low[end])), end
+    # first place whose score is not above the one at each end
+    first = np.searchsorted(-low, -score, "left")
+    end = int(np.argmax(np.arange(len(score)) - first))
+    agree = np.flatnonzero(match[first[end]:end]) + first[end]
+    return (int(agree[0]), int(agree[-1]) + 1) if len(agree) else (0, 0)
 
 
 def _aligned(candidates: DataFrame, min_match: int, similarity: float) -> DataFrame:
@@ -189,7 +193,7 @@ def _aligned(candidates: DataFrame, min_match: int, similarity: float) -> DataFr
             lo = max(0, shift[i])
             hi = min(len(tokens), shift[i] + len(item))
             match = tokens[lo:hi] == item[lo - shift[i]:hi - shift[i]]
-            a, b = _best_stretch(match, penalty)
+            a, b = _longest_stretch(match, penalty)
             n = int(match[a:b].sum())
             if n >= min(min_match, max(1, int(np.ceil(similarity * len(item))))):
                 keep.append(i)

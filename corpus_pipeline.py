@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitboss.llm import bpe, decontaminate, jaccard_join, quality, suffix_dedup
-from pitboss.llm.common import materialize, rejoin, table
+from pitboss.llm.common import materialize, rejoin, settle, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,16 +27,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest doc_id."""
-    return rejoin(docs, jaccard_join.jaccard_join(docs).where("doc_id <> component_id"), "left_anti")
+    copies = settle(spark, lambda: jaccard_join.jaccard_join(docs).where("doc_id <> component_id").select("doc_id"))
+    return rejoin(docs, copies, "left_anti")
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings that a smaller document has are cut out of the texts; ``n_chars``
     of a changed text is its new length."""
-    changed = (suffix_dedup.suffix_dedup(docs, with_text=True).where("n_removed > 0")
-               .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-                       F.expr("try_validate_utf8(cast(kept AS string))").alias("__valid"),
-                       F.expr("make_valid_utf8(cast(kept AS string))").alias("__kept")).distinct())
+    changed = settle(spark, lambda: suffix_dedup.suffix_dedup(docs, with_text=True).where("n_removed > 0")
+                     .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
+                             F.expr("try_validate_utf8(cast(kept AS string))").alias("__valid"),
+                             F.expr("make_valid_utf8(cast(kept AS string))").alias("__kept")))
+    changed = changed.dropDuplicates(["__id", "__hash"])  # one row of repeated rows
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     joined = docs.join(changed, (docs["doc_id"] == F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
     # a cut may fall inside a character: what is left of it goes
@@ -50,7 +52,8 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a test item go."""
-    return rejoin(docs, decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark")), "left_anti")
+    leaks = settle(spark, lambda: decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
+    return rejoin(docs, leaks, "left_anti")
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,23 +36,44 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
+# Scratch tables of this driver, in the order they were written.
+_scratch: list[str] = []
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     Cuts the lineage like a checkpoint, but the plan runs once (an RDD
     checkpoint computes its last stage twice) and a lost executor loses
-    nothing.  The table is deleted when the driver's JVM ends.
+    nothing.  The table is deleted when the driver's JVM ends, or by ``settle``.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    fs, target = _hadoop_path(spark, path)
+    fs.deleteOnExit(target)
+    _scratch.append(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def settle(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """Materialise what ``build`` returns, then delete the scratch tables that
+    were written on the way to it."""
+    before = len(_scratch)
+    result = materialize(build())
+    for path in _scratch[before:-1]:
+        fs, target = _hadoop_path(spark, path)
+        fs.delete(target, True)
+    del _scratch[before:-1]
+    return result
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow batch of ``df``; it may return None."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

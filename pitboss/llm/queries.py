@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, decontaminate, hilbert, jaccard_join, lattice_lm, mtree, paragraph_dedup, quality, suffix_dedup,
-               toxicity)
+               token_counts, toxicity)
 from .common import table
 
 
@@ -58,6 +58,12 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup.paragraph_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_paragraph_dedup": op10_paragraph_dedup,
+    "op11_token_counts": op11_token_counts,
 }
 
 SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, decontaminate, hilbert, jaccard_join, lattice_lm, merkle, mtree, paragraph_dedup, quality,
-               suffix_dedup, token_counts, toxicity)
+               spelling, suffix_dedup, token_counts, toxicity)
 from .common import table
 
 
@@ -64,6 +64,10 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verification(table(spark, sf_dir, "documents"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_paragraph_dedup": op10_paragraph_dedup,
     "op11_token_counts": op11_token_counts,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 

@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import sinks
+from ..sources import sinks, swap
 from . import gold, positions, quality, silver
 
 DAY = "gamingday"
@@ -47,7 +47,7 @@ def load_session_marts(b, f: dt.date, t: dt.date, tables: Mapping[str, str]) ->
     """Player-session fact, then both marts computed from the stored fact."""
     load_player_session(b, f, t, tables["fact_player_session"])
     spark = _session(b)
-    stored = spark.read.parquet(tables["fact_player_session"])
+    stored = swap.read_table(spark, tables["fact_player_session"])
     sinks.write_range_refresh(gold.mart_table_game(b, f, t, sessions=stored), tables["fact_session_day_by_table_game"],
                               DAY, f, t)
     sinks.write_range_refresh(gold.mart_agent_group(b, f, t, sessions=stored),
@@ -96,8 +96,8 @@ def daily_refresh(b, tables: Mapping[str, str], yesterday: dt.date, agent_id: in
     f, t = yesterday, yesterday
     if lookback_days is not None:
         f = yesterday - dt.timedelta(days=lookback_days)
-    elif sinks.path_exists(spark, md_path):
-        w = quality.refresh_window(spark.read.parquet(md_path), DAY, yesterday).collect()[0]
+    elif swap.table_exists(spark, md_path):
+        w = quality.refresh_window(swap.read_table(spark, md_path), DAY, yesterday).collect()[0]
         f, t = w["from_day"], w["to_day"]
     load_reference_dims(b, tables)
     if "fact_fx_rate_daily" in tables:
@@ -108,4 +108,4 @@ def daily_refresh(b, tables: Mapping[str, str], yesterday: dt.date, agent_id: in
     if {"dim_egd_position", "bridge_egd_machine_history"} <= set(tables):
         load_dim_position(b, as_of or yesterday, tables)
     load_membership_day(b, f, t, md_path, agent_id)
-    return quality.health_check(spark.read.parquet(md_path), DAY, yesterday)
+    return quality.health_check(swap.read_table(spark, md_path), DAY, yesterday)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import latest_per_key, upsert_last_wins
+from . import swap
 
 WM_TYPES = {"int": "long", "datetime": "timestamp_ntz", "text": "string"}
 DEFAULT_LOOKBACK_DAYS = 3   # fixed value: default sliding re-read window
@@ -142,8 +143,8 @@ def dedupe_batch(extracted: DataFrame, key: Sequence[str | Column], seq: Column)
 
 def read_watermark(spark: SparkSession, control_path: str, source: str) -> str | None:
     """The stored text watermark of one source (one scalar reaches the driver)."""
-    from .sinks import path_exists
-    if not path_exists(spark, control_path):
+    swap.recover(spark, control_path)
+    if not swap.table_exists(spark, control_path):
         return None
     rows = (spark.read.parquet(control_path).filter(F.col("source_table") == source)
             .select("watermark_value").limit(1).collect())
@@ -167,7 +168,7 @@ def run_incremental(spark: SparkSession, source: DataFrame, cfg: SourceConfig, t
     partition ``loaded_from`` named after the watermark the run started from,
     which a repeat overwrites.  A failure is logged and raised."""
     from ..session import ensure_checkpoint_dir
-    from .sinks import write_upsert
+    from .sinks import write_partitions, write_upsert
     ensure_checkpoint_dir(spark)
     run_ts = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
     rows_read = 0
@@ -190,9 +191,8 @@ def run_incremental(spark: SparkSession, source: DataFrame, cfg: SourceConfig, t
             if cfg.key:
                 write_upsert(extracted, target_path, list(cfg.key), seq, partition_by)
             else:
-                (extracted.withColumn("loaded_from", F.lit(old if old is not None else "start"))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("loaded_from", *partition_by).parquet(target_path))
+                write_partitions(extracted.withColumn("loaded_from", F.lit(old if old is not None else "start")),
+                                 target_path, ["loaded_from", *partition_by])
             wm = advance_watermark(extracted, cfg, old, run_at).withColumn("updated_at_utc", run_ts)
             write_upsert(wm, control_path, ["source_table"], F.col("updated_at_utc"))
     except Exception as e:

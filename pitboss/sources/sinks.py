@@ -2,18 +2,19 @@
 archive/purge, schema conform.  Parquet tables partitioned by day.
 
 Parquet has no DELETE or MERGE, so every maintenance step is a partition
-rewrite, in two steps that are the same for all of them: the new content of
-the affected partitions is written once to a staging folder beside the table
-(the plan runs once, and may read the table itself), then the table's affected
-partition folders are replaced by the staged ones.  An affected partition
-without staged rows is removed.  A run that fails before the swap leaves the
-table as it was; one that fails during it is repeated whole.
+rewrite through ``swap.replace``: the new content of the affected partitions is
+written once beside the table (the plan runs once, and may read the table
+itself), then takes the place of the affected partition folders.  An affected
+partition without new rows is removed.  A run that fails at any step is
+repeated whole: before the swap the table is as it was, during it the repeat
+finishes the swap first.  A table that has become empty stays readable.
 
 * **range refresh** (A17): the affected partitions are the days of the range;
 * **scoped refresh** (A18): the same days, rebuilt as (old rows outside the
   scope and not re-keyed) + (new rows);
 * **upsert** (A7): the partitions of the batch's rows, and those that hold
   rows of its keys;
+* **full refresh** (A19): everything;
 * **archive/purge** (A23): the partitions that hold rows before the cutoff;
   the rows leave for a per-cutoff archive folder first.
 
@@ -28,7 +29,6 @@ one count row per table.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.predicates import day_between
+from . import swap
 
 ARCHIVE_MODES = ("archive_delete", "delete_only")
 
@@ -95,23 +96,6 @@ def conform(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object]
 
 # --------------------------------------------------------------------------- storage
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.exists(p))
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _fs_path(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
 def _partition_path(spark: SparkSession, partition: Sequence[tuple[str, str | None]]) -> str:
     """Relative folder of one partition, spelled as Spark's writer spells it."""
     name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
@@ -120,15 +104,13 @@ def _partition_path(spark: SparkSession, partition: Sequence[tuple[str, str | No
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Partition columns of the table at ``path``, read off its folder names."""
-    fs, here = _fs_path(spark, path)
-    cols = []
+    cols, here = [], path.rstrip("/")
     while True:
-        step = next((x.getPath() for x in fs.listStatus(here)
-                     if x.isDirectory() and "=" in x.getPath().getName()), None)
+        step = next((n for n in swap.names_in(spark, here) if n.endswith("/") and "=" in n), None)
         if step is None:
             return cols
-        cols.append(step.getName().split("=", 1)[0])
-        here = step
+        cols.append(step.split("=", 1)[0])
+        here = f"{here}/{step.rstrip('/')}"
 
 
 def _values(rows: DataFrame, cols: Sequence[str]) -> list[tuple]:
@@ -154,27 +136,8 @@ def _in_partitions(values: Sequence[tuple], cols: Sequence[str]) -> Column:
 
 def _replace_partitions(rows: DataFrame, path: str, cols: Sequence[str], affected: Sequence[str],
                         cluster_by: Sequence[str] = ()) -> set[str]:
-    """Write ``rows`` to a staging folder, then put its partition folders in the
-    place of the table's ``affected`` ones.  Returns the folders written."""
-    spark = rows.sparkSession
-    staging = f"{path.rstrip('/')}._staging-{uuid.uuid4().hex}"
-    _layout(rows, cols, cluster_by).write.partitionBy(*cols).parquet(staging)
-    fs, root = _fs_path(spark, staging)
-    level = [(x.getPath(), x.getPath().getName()) for x in fs.listStatus(root) if x.isDirectory()]
-    for _ in cols[1:]:
-        level = [(x.getPath(), f"{name}/{x.getPath().getName()}") for p, name in level for x in fs.listStatus(p)
-                 if x.isDirectory()]
-    staged = {name: p for p, name in level}
-    for name in sorted(set(affected) | set(staged)):
-        _, target = _fs_path(spark, f"{path.rstrip('/')}/{name}")
-        if fs.exists(target):
-            fs.delete(target, True)
-        if name in staged:
-            fs.mkdirs(target.getParent())
-            if not fs.rename(staged[name], target):
-                raise OSError(f"cannot move {staged[name]} to {target}")
-    delete_path(spark, staging)
-    return set(staged)
+    """``rows`` take the place of the ``affected`` partition folders.  Returns the folders written."""
+    return set(swap.replace(_layout(rows, cols, cluster_by), path, cols, affected))
 
 
 def _layout(rows: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
@@ -210,18 +173,22 @@ def write_scoped_refresh(new: DataFrame, path: str, day_col: str, f: dt.date, t:
     """Apply an agent-scoped refresh: the range days are rebuilt from the old
     rows of those days and the new scoped rows; a table that does not exist
     yet starts with the new scoped rows."""
-    spark = new.sparkSession
-    old = spark.read.parquet(path) if path_exists(spark, path) else new.filter(F.lit(False))
+    old = swap.read_table(new.sparkSession, path, new.schema)
     rebuilt = refresh_scoped_state(old.filter(day_between(day_col, f, t)), new, day_col, f, t, scope_col, scope_value,
                                    key)
     write_range_refresh(rebuilt, path, day_col, f, t, cluster_by=[k for k in key if k != day_col])
 
 
-def write_full_refresh(new: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    w = new.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def write_full_refresh(new: DataFrame, path: str, partition_by: Sequence[str] = (),
+                       cluster_by: Sequence[str] = ()) -> None:
+    """Replace the whole content (A19): partitions that ``new`` lacks leave too.
+    ``new`` may read the table itself."""
+    swap.replace(_layout(new, partition_by, cluster_by) if partition_by else new, path, partition_by)
+
+
+def write_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that ``rows`` has rows of; the others stay."""
+    swap.replace(rows, path, partition_by, [])
 
 
 def archive_or_purge(spark: SparkSession, tables: Mapping[str, tuple[str, Column]], cutoff: dt.date,
@@ -231,11 +198,13 @@ def archive_or_purge(spark: SparkSession, tables: Mapping[str, tuple[str, Column
     ``tables``: name -> (path, day expression).  Archived rows go to
     ``archive_root/<name>/cutoff=<day>``.  The table keeps its partitions:
     those without rows before the cutoff are not touched, one whose rows all
-    leave is removed, a mixed one is rewritten.  An unpartitioned table goes
-    through a staging copy.  A repeated run (after a failure at any step, or
-    after success) ends in the same state: tables with nothing before the
-    cutoff are not touched, an archive batch is rewritten whole.  Returns the
-    count rows."""
+    leave is removed, a mixed one is rewritten; an unpartitioned table is
+    rewritten whole.  A table that was never written has nothing to purge.
+    The archive batch is complete before any row leaves its table, and both are
+    swapped in, so a repeated run (after a failure at any step, or after
+    success) ends in the same state: tables with nothing before the cutoff are
+    not touched, an archive batch is rewritten whole.  Returns the count rows,
+    zeros for what an earlier run has purged."""
     if mode not in ARCHIVE_MODES:
         raise ValueError(f"invalid mode {mode!r}: use archive_delete or delete_only")
     if mode == "archive_delete" and archive_root is None:
@@ -243,20 +212,20 @@ def archive_or_purge(spark: SparkSession, tables: Mapping[str, tuple[str, Column
     cut = F.lit(cutoff.isoformat()).cast("date")
     frames = {}
     for name, (path, day) in tables.items():
-        _finish_swap(spark, path)
-        frames[name] = (spark.read.parquet(path), day)
+        swap.recover(spark, path)
+        if swap.table_exists(spark, path):
+            frames[name] = (spark.read.parquet(path), day)
     # One small row per table; it decides below which tables need work.
-    counts = archive_purge_counts(frames, cutoff, mode).collect()
+    counts = archive_purge_counts(frames, cutoff, mode).collect() if frames else []
     todo = {r["table_name"] for r in counts if r["deleted_rows"] > 0}
     for name, (path, day) in tables.items():
         if name not in todo:        # nothing before the cutoff (also a repeated run): leave table and archive
             continue
         df = frames[name][0]
         if mode == "archive_delete":
-            # One archive folder per table and cutoff, written with overwrite:
-            # a run that failed after this step rewrites the same batch.
-            target = f"{archive_root.rstrip('/')}/{name}/cutoff={cutoff.isoformat()}"
-            df.filter(day < cut).write.mode("overwrite").parquet(target)
+            # One archive folder per table and cutoff: a run that failed after
+            # this step replaces it by the same batch.
+            swap.replace(df.filter(day < cut), f"{archive_root.rstrip('/')}/{name}/cutoff={cutoff.isoformat()}")
         cols = partition_columns(spark, path)
         kept = ~F.coalesce(day < cut, F.lit(False))
         if cols:
@@ -264,31 +233,9 @@ def archive_or_purge(spark: SparkSession, tables: Mapping[str, tuple[str, Column
             folders = [_partition_path(spark, list(zip(cols, v[len(cols):]))) for v in values]
             _replace_partitions(df.filter(_in_partitions(values, cols)).filter(kept), path, cols, folders)
         else:
-            _replace_table(spark, df.filter(kept), path)
-    return spark.createDataFrame(counts, "table_name string, archived_rows long, deleted_rows long")
-
-
-def _staging(path: str) -> str:
-    return path.rstrip("/") + "._staging"
-
-
-def _finish_swap(spark: SparkSession, path: str) -> None:
-    """Complete a swap interrupted between removing the table and renaming its staging copy."""
-    staging = _staging(path)
-    if not path_exists(spark, path) and path_exists(spark, staging):
-        fs, src = _fs_path(spark, staging)
-        fs.rename(src, _fs_path(spark, path)[1])
-
-
-def _replace_table(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Write ``rows`` (computed from ``path``) to a staging folder, then swap it
-    in: the table is never read and overwritten by the same job, and a failure
-    leaves either the old table or a complete staging copy."""
-    staging = _staging(path)
-    rows.write.mode("overwrite").parquet(staging)
-    delete_path(spark, path)
-    fs, src = _fs_path(spark, staging)
-    fs.rename(src, _fs_path(spark, path)[1])
+            swap.replace(df.filter(kept), path)
+    rows = [tuple(r) for r in counts] + [(name, 0, 0) for name in tables if name not in frames]
+    return spark.createDataFrame(rows, "table_name string, archived_rows long, deleted_rows long")
 
 
 def write_report(report: DataFrame, path: str, day_col: str = "GamingDay", fmt: str = "csv") -> None:
@@ -311,19 +258,13 @@ def write_upsert(batch: DataFrame, path: str, key: Sequence[str], seq: Column,
     of the batch's rows and, unless the partition columns belong to the key,
     those that now hold rows of the batch's keys (found from the table's key
     columns alone), so a row whose partition changes leaves the old one.
-    Without partitions the whole table goes through a staging swap.  NULL
-    partitions and NULL keys are values like others.  Repeating the same batch
-    gives the same table."""
+    Without partitions the whole table is swapped.  NULL partitions and NULL
+    keys are values like others.  Repeating the same batch gives the same
+    table."""
     from ..operators.dedupe import upsert_last_wins
     spark = batch.sparkSession
     cols = list(partition_by)
-    _finish_swap(spark, path)
-    if not path_exists(spark, path):
-        state = upsert_last_wins(batch.filter(F.lit(False)), batch, list(key), seq)
-        w = state.write.mode("overwrite")
-        (w.partitionBy(*cols) if cols else w).parquet(path)
-        return
-    target = spark.read.parquet(path)
+    target = swap.read_table(spark, path, batch.schema)
     batch = batch.select(*target.columns)
     if cols:
         values = set(_values(batch, cols))
@@ -333,10 +274,10 @@ def write_upsert(batch: DataFrame, path: str, key: Sequence[str], seq: Column,
             for k in key:
                 same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
             values |= set(_values(target.join(keys, same, "left_semi"), cols))
-        if not values:
+        if not values and swap.table_exists(spark, path):
             return
         state = upsert_last_wins(target.filter(_in_partitions(sorted(values, key=str), cols)), batch, list(key), seq)
         folders = [_partition_path(spark, list(zip(cols, v[len(cols):]))) for v in values]
         _replace_partitions(state, path, cols, folders, [k for k in key if k not in cols])
     else:
-        _replace_table(spark, upsert_last_wins(target, batch, list(key), seq), path)
+        swap.replace(upsert_last_wins(target, batch, list(key), seq), path)

@@ -86,7 +86,8 @@ def _sets_of(size: int, percent: int):
         level = exchange.answers_in_order(answers, "u1")[number]
         ends = np.cumsum(counts)
         starts = ends - counts
-        sums = np.concatenate([[0], np.cumsum(mix(hashes ^ np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64)])
+        sums = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(mix(hashes ^ np.uint64(0x9E3779B97F4A7C15)), out=sums[1:])
         set_key = (sums[ends] - sums[starts]).view(np.int64)
         shared = np.concatenate([[0], np.cumsum(level > 0)])
         shared = shared[ends] - shared[starts]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, decontaminate, hilbert, jaccard_join, lattice_lm, merkle, mtree, paragraph_dedup, quality,
                spelling, suffix_dedup, token_counts, toxicity)
+from .check_sql import SQL  # noqa: F401
 from .common import table
 
 
@@ -87,5 +88,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_spelling_variants": op12_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
-
-SQL: dict[str, str] = {}

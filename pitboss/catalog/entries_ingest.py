@@ -320,6 +320,13 @@ WHERE NOT coalesce(o.gamingday BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' A
   AND NOT EXISTS (SELECT 1 FROM new_scoped n WHERE n.gamingday = o.gamingday AND n.membership = o.membership)
 UNION ALL SELECT * FROM new_scoped""", SQL_AGENT_STATES))
 def q_range_refresh_agent(spark, sf):
+    old_a, new_a = agent_states(spark, sf)
+    return sinks.refresh_scoped_state(old_a, new_a, "gamingday", FROM_DAY, TO_DAY, "idagent", 3,
+                                      ["gamingday", "membership"])
+
+
+def agent_states(spark, sf):
+    """Day aggregates with the player's agent (old) and with the agent of that day (new)."""
     b = _b(spark, sf)
     old, new = _visit_states(spark, sf)
     pl = b.players.select(F.col("membership").alias("_pm"), F.nullif(F.col("idagent"), F.lit(0)).alias("idagent"))
@@ -327,8 +334,7 @@ def q_range_refresh_agent(spark, sf):
         .withColumn("idagent", F.col("idagent").cast("int"))
     new_a = agent_at(new, b.agents_players, b.players.select("membership", "idagent"), "membership", "first_in") \
         .withColumn("idagent", F.col("idagent").cast("int"))
-    return sinks.refresh_scoped_state(old_a, new_a, "gamingday", FROM_DAY, TO_DAY, "idagent", 3,
-                                      ["gamingday", "membership"])
+    return old_a, new_a
 
 
 # ---------------------------------------------------------------- archive / purge

@@ -38,5 +38,6 @@ def register(name: str, survey_ids: str = "", sql: str | None = None):
 
 def load_all() -> dict[str, Entry]:
     """Import every module that registers entries."""
-    from . import entries_silver, entries_gold, entries_ingest, entries_positions  # noqa: F401
+    from . import (entries_silver, entries_gold, entries_ingest, entries_positions,  # noqa: F401
+                   entries_stored)  # noqa: F401
     return ENTRIES

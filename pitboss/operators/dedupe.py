@@ -16,14 +16,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def key_columns(df: DataFrame, keys: Sequence[str | Column]) -> list[Column]:
+    """Key parts as columns: a column's name, a SQL expression over the columns, or a Column."""
+    return [k if isinstance(k, Column) else F.col(k) if k in df.columns else F.expr(k) for k in keys]
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
     """One row per key: the row with the greatest ``order`` (ascending, NULLs first).
 
-    ``keys`` may be expressions (e.g. ``coalesce(a, -1)``) so NULL keys match.
+    ``keys`` may be expressions (e.g. ``"coalesce(a, -1)"``), so that NULL and -1 are one key.
     To prefer NULLs last or a descending value, pass a transformed column
     (``x.isNotNull()``, ``-x``) in ``order``.  Returns the columns of ``df``.
     """
-    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
+    key_cols = key_columns(df, keys)
     ordered = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
                        F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
     best = (df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(key_cols)])

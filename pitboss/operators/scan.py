@@ -88,12 +88,21 @@ def max_prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         d = d.withColumn("_run", F.sum("_v").over(w))
         return d.groupBy(*keys).agg(F.greatest(F.max("_run"), F.lit(0)).alias(out))
-    d = with_chunk(d, chunk)
+    seg = prefix_peaks(df, keys, order, value, "_peak", chunk)
+    return seg.groupBy(*keys).agg(F.greatest(F.max("_peak"), F.lit(0)).alias(out))
+
+
+def prefix_peaks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str,
+                 chunk: Column, aggs: Sequence[Column] = ()) -> DataFrame:
+    """Per (key, chunk): the greatest prefix sum of ``value`` reached within the
+    chunk, counted from the key's first row, together with other aggregates of
+    the chunk's rows; the rows are shuffled once for both."""
+    d = with_chunk(df.withColumn("_v", value), chunk)
     w1 = Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     seg = (d.withColumn("_run", F.sum("_v").over(w1))
-           .groupBy(*keys, _CHUNK).agg(F.sum("_v").alias("_tot"), F.max("_run").alias("_best")))
-    seg = seg.withColumn("_off", F.coalesce(F.sum("_tot").over(_prefix_before(keys)), F.lit(0)))
-    return seg.groupBy(*keys).agg(F.greatest(F.max(F.col("_off") + F.col("_best")), F.lit(0)).alias(out))
+           .groupBy(*keys, _CHUNK).agg(F.sum("_v").alias("_tot"), F.max("_run").alias("_best"), *aggs))
+    before = F.coalesce(F.sum("_tot").over(_prefix_before(keys)), F.lit(0))
+    return seg.withColumn(out, before + F.col("_best")).drop(_CHUNK, "_tot", "_best")
 
 
 def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column], payload: str, out: str,

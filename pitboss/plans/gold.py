@@ -101,7 +101,7 @@ def _member_dims(b, df: DataFrame, time_col: str) -> DataFrame:
 
 def expense_rows(b, f, t) -> DataFrame:
     c = silver.cashdesk_in_range(b, f, t).filter(F.col("idaccount").isin(*EXPENSE_ACCOUNTS))
-    c = c.join(silver.money_per_oper(b, c), "idoper", "left")
+    c = c.join(silver.money_per_oper(b, c, (f, t)), "idoper", "left")
     return c.withColumn("expense_type_key",
                         expense_type_key(F.col("idaccount"), F.col("directionoper"), F.col("comment")))
 

@@ -25,7 +25,9 @@ from ..functions.classify import (ACC_AGENT_CREDIT, ACC_AGENT_TRANSFER, ACC_CASH
 from ..functions.predicates import (OPEN_END, clean_text, day_between, gaming_day, is_true, known_member,
                                     not_deleted, sign_split)
 from ..operators.asof import agent_at
-from ..operators.pool import clean_drop as _clean_drop, pool_trace
+from ..operators.pool import clean_drop as _clean_drop, hour_chunk, pool_trace
+from ..operators.scan import prefix_peaks
+from ..sources.daypart import CARRIED, of_days
 
 DEC = "decimal(19,4)"
 KEYS = ["gamingday", "membership"]
@@ -93,17 +95,20 @@ def cashdesk_in_range(b, f, t) -> DataFrame:
                                 & not_deleted("isdeleted"))
 
 
-def money_per_oper(b, opers: DataFrame | None = None) -> DataFrame:
+def money_per_oper(b, opers: DataFrame | None = None, days: tuple | None = None) -> DataFrame:
     """Money rows pre-aggregated per operation.
 
-    The money table has no day column, so a range filter cannot reach it.
-    With ``opers`` (the operation ids of the in-range cashdesk rows) the money
-    rows are semi-joined to those ids before aggregating: a one-day refresh
-    then aggregates one day of money rows, not the whole history.  The id set
-    of a short range is small, so the planner can broadcast it (after
-    measuring it) and filter the money scan without shuffling it."""
+    A money table that carries its operation's day is cut down to the ``days``
+    of the range.  Without that, a range filter cannot reach it: with ``opers``
+    (the operation ids of the in-range cashdesk rows) the money rows are
+    semi-joined to those ids before aggregating, so a one-day refresh
+    aggregates one day of money rows, not the whole history.  The id set of a
+    short range is small, so the planner can broadcast it (after measuring it)
+    and filter the money scan without shuffling it."""
     m = b.tx_money
-    if opers is not None:
+    if days is not None and CARRIED in m.columns:
+        m = of_days(m, *days)
+    elif opers is not None:
         m = m.join(opers.select("idoper"), "idoper", "left_semi")
     return m.groupBy("idoper").agg(F.sum("summoney").alias("summoney"))
 
@@ -111,7 +116,7 @@ def money_per_oper(b, opers: DataFrame | None = None) -> DataFrame:
 def money_tx(b, f, t) -> DataFrame:
     """Cash movements of the drop accounts with the optional deposit detail (C4)."""
     c = cashdesk_in_range(b, f, t).filter(F.col("idaccount").isin(*MONEY_ACCOUNTS) & is_true("iscalculatedindrop"))
-    c = c.join(b.tx_calculated, "idoper", "left")
+    c = c.join(of_days(b.tx_calculated, f, t), "idoper", "left")
     return c.select(
         F.col("datework").alias("gamingday"), "timeoper", "membership", "idoper", "idaccount",
         sign_split("directionoper", "totalmoneyue", 1).alias("inamt"),
@@ -176,7 +181,7 @@ def system_drop(b, f, t) -> DataFrame:
 
 def expense_tx(b, f, t) -> DataFrame:
     c = cashdesk_in_range(b, f, t).filter(F.col("idaccount").isin(*EXPENSE_ACCOUNTS))
-    c = c.join(money_per_oper(b, c), "idoper", "left")
+    c = c.join(money_per_oper(b, c, (f, t)), "idoper", "left")
     return c.select(F.col("datework").alias("gamingday"), "membership", "idaccount", "directionoper",
                     F.coalesce(F.col("summoney"), _zero()).cast(DEC).alias("summoney"),
                     F.coalesce(F.col("comment"), F.lit("")).alias("comment"))
@@ -212,7 +217,7 @@ def expense_day(b, f, t) -> DataFrame:
 def sessions_tracked(b, f, t) -> DataFrame:
     """Sessions joined once to tracking (C1), filtered on the tracking day."""
     pt = b.players_tracking.filter(day_between("datework", f, t) & known_member("membership"))
-    ps = b.player_sessions
+    ps = of_days(b.player_sessions, f, t)
     return ps.join(pt, "idplayerstracking", "inner").withColumn("gamingday", F.col("datework"))
 
 
@@ -244,8 +249,8 @@ def tracking_sessions(b, f, t) -> DataFrame:
     """Chip float per session (D8 level 1): chain session→tracking→details→chips→value (C10),
     rounded to 4 digits per session."""
     s = sessions_tracked(b, f, t).filter(not_deleted("isdeleted")).select(*KEYS, "idplayersession")
-    chain = (s.join(b.session_details, "idplayersession", "inner")
-             .join(b.session_detail_chips, "idplayersessiondetail", "inner")
+    chain = (s.join(of_days(b.session_details, f, t), "idplayersession", "inner")
+             .join(of_days(b.session_detail_chips, f, t), "idplayersessiondetail", "inner")
              .join(b.chips, "idchip", "inner"))
     q, v = F.col("qntchips"), F.col("valuechip")
     return chain.groupBy(*KEYS, "idplayersession").agg(
@@ -307,49 +312,69 @@ def _stacked_branches(b, f, t) -> DataFrame:
         F.lit(1).alias("_is_slot"),
         *[F.coalesce(F.col(c), _zero()).alias(f"_slot_{c}") for c in SLOT_SCALED + ("gamesplayed",)])
 
-    # One cashdesk scan feeds the money, system-drop and expense measures.
+    # One cashdesk scan feeds the money, system-drop and expense measures and the clean drop.
     c = cashdesk_in_range(b, f, t)
     expense_opers = c.filter(F.col("idaccount").isin(*EXPENSE_ACCOUNTS))
-    c = c.join(b.tx_calculated, "idoper", "left").join(money_per_oper(b, expense_opers), "idoper", "left")
+    c = (c.join(of_days(b.tx_calculated, f, t), "idoper", "left")
+         .join(money_per_oper(b, expense_opers, (f, t)), "idoper", "left"))
     acc = F.col("idaccount")
     in_money = acc.isin(*MONEY_ACCOUNTS) & is_true("iscalculatedindrop")
     in_expense = acc.isin(*EXPENSE_ACCOUNTS)
     c = c.select(
-        F.col("datework").alias("gamingday"), "membership", "idaccount", "directionoper", "chipsue",
-        "iscalculatedindrop", F.col("comment").alias("_raw_comment"), in_money.alias("_in_money"),
-        in_expense.alias("_in_expense"),
+        F.col("datework").alias("gamingday"), "membership", "timeoper", "idoper", "idaccount", "directionoper",
+        "chipsue", "iscalculatedindrop", in_money.alias("_in_money"), in_expense.alias("_in_expense"),
         sign_split("directionoper", "totalmoneyue", 1).alias("inamt"),
         sign_split("directionoper", "totalmoneyue", -1).alias("outamtabs"),
         F.coalesce(F.col("totalmoneyue"), _zero()).cast(DEC).alias("totalmoneyue"),
         F.coalesce(F.col("deposit"), _zero()).cast(DEC).alias("deposit"),
         F.coalesce(F.col("summoney"), _zero()).cast(DEC).alias("summoney"),
         F.coalesce(F.col("comment"), F.lit("")).alias("comment"))
-    cash = c.select(*KEYS, _system_drop_value().alias("_sysdrop"),
-                    *[F.expr(f"CASE WHEN _in_money THEN {v} END").alias(f"_m_{k}")
-                      for k, v in _money_measures().items()],
-                    *[F.expr(f"CASE WHEN _in_expense THEN {v} END").alias(f"_e_{k}")
-                      for k, v in _expense_measures().items()])
-
-    sess = sessions_tracked(b, f, t).select(
-        *KEYS, F.lit(1).alias("_sess"),
-        F.when(not_deleted("isdeleted"), _session_micros()).alias("_micros"))
-    track = tracking_sessions(b, f, t).select(
-        *KEYS, F.col("floatin_ue").alias("_t_in"), F.col("floatout_ue").alias("_t_out"),
-        F.col("net_ue").alias("_t_net"))
-    drop = clean_drop_day(b, f, t).select(*KEYS, F.col("totaldrop_clean").alias("_drop"))
+    drop = ", ".join(str(a) for a in DROP_ACCOUNTS)
+    net = F.expr(f"CASE WHEN _in_money AND idaccount IN ({drop}) THEN inamt - "
+                 f"CASE WHEN idaccount = {ACC_CASHDESK} THEN outamtabs ELSE {ZERO} END ELSE {ZERO} END")
+    sums = [F.sum(_system_drop_value()).alias("_sysdrop"),
+            *[F.expr(f"sum(CASE WHEN _in_money THEN {v} END)").alias(f"_m_{k}") for k, v in _money_measures().items()],
+            *[F.expr(f"sum(CASE WHEN _in_expense THEN {v} END)").alias(f"_e_{k}")
+              for k, v in _expense_measures().items()]]
+    cash = prefix_peaks(c, KEYS, [F.col("timeoper").asc_nulls_last(), F.col("idoper").asc()], net, "_peak",
+                        hour_chunk("timeoper"), sums)
 
     out = visits
-    for part in (slots, cash, sess, track, drop):
+    for part in (slots, cash, session_float(b, f, t)):
         out = out.unionByName(part, allowMissingColumns=True)
     return out
 
 
+def session_float(b, f, t) -> DataFrame:
+    """Per session id: how many rows it has (``_sess``), its played time (``_micros``)
+    and its chip float (D6, D7 and D8 of one sessions x tracking join)."""
+    live = not_deleted("isdeleted")
+    s = (sessions_tracked(b, f, t).groupBy(*KEYS, "idplayersession")
+         .agg(F.count(F.lit(1)).alias("_sess"), F.sum(F.when(live, _session_micros())).alias("_micros"),
+              F.count_if(live).alias("_live")))
+    d = of_days(b.session_details, f, t).select(F.col("idplayersession").alias("_session"), "idplayersessiondetail")
+    chips = (of_days(b.session_detail_chips, f, t).join(b.chips, "idchip", "inner")
+             .select(F.col("idplayersessiondetail").alias("_detail"), "qntchips", "valuechip"))
+    rows = (s.join(d, (F.col("idplayersession") == F.col("_session")) & (F.col("_live") > 0), "left")
+            .join(chips, F.col("idplayersessiondetail") == F.col("_detail"), "left"))
+    q, v = F.col("qntchips"), F.col("valuechip")
+    copies = F.col("_live").cast("decimal(10,0)")     # a session id of several rows counts its chips for each
+
+    def per_session(total: Column) -> Column:
+        return (total.cast("decimal(28,8)") * F.max(copies)).cast(DEC)
+    return rows.groupBy(*KEYS, "idplayersession").agg(
+        F.max("_sess").alias("_sess"), F.max("_micros").alias("_micros"),
+        per_session(F.sum(F.when(q > 0, q * v).when(q.isNotNull(), F.lit(0)))).alias("_t_in"),
+        per_session(F.sum(F.when(q < 0, -q * v).when(q.isNotNull(), F.lit(0)))).alias("_t_out"),
+        per_session(F.sum(q * v)).alias("_t_net")).drop("idplayersession")
+
+
 def _fold(stacked: DataFrame) -> DataFrame:
     has_visit = F.max("_is_visit").isNotNull()
     g = stacked.groupBy(*KEYS).agg(
         has_visit.alias("_has_visit"), F.max("_is_slot").isNotNull().alias("_has_slot"),
         F.when(has_visit, F.min("_v_time")).otherwise(F.min("_s_start")).alias("visittime"),
-        _sum("_drop").alias("totaldrop_clean"),
+        F.greatest(F.max("_peak"), _zero()).cast(DEC).alias("totaldrop_clean"),
         _sum("_sysdrop").alias("systemdrop_in"),
         _sum("_m_totalexchange_in").alias("totalcash_in"),
         (_sum("_m_totalexchange_in") - _sum("_m_cashdesk_out")).alias("totalcash_result"),
@@ -373,17 +398,30 @@ def _fold(stacked: DataFrame) -> DataFrame:
     return g.filter(F.col("_has_visit") | F.col("_has_slot")).drop("_has_visit", "_has_slot")
 
 
+def visit_times(b, f, t) -> DataFrame:
+    """First visit time of every member-day, else the first slot time."""
+    v = visits_in_range(b, f, t).select(F.col("datework").alias("gamingday"), "membership",
+                                        F.coalesce("time_in", "created").alias("_v"), F.lit(1).alias("_is_visit"))
+    s = slots_in_range(b, f, t).select("gamingday", F.col("playerid").alias("membership"),
+                                       F.col("starttimelocal").alias("_s"))
+    return v.unionByName(s, allowMissingColumns=True).groupBy(*KEYS).agg(
+        F.when(F.max("_is_visit").isNotNull(), F.min("_v")).otherwise(F.min("_s")).alias("visittime"))
+
+
 def membership_day(b, f, t, agent_id: int | None = None, split_hot_members: bool = True) -> DataFrame:
     """The 41-column member-day fact (F1)."""
-    folded = _fold(_stacked_branches(b, f, t))
+    folded = _fold(_stacked_branches(b, f, t)).drop("visittime")
     players = b.players.select("membership", "idagent", "surname", "forename", "idcountry")
     # Members of the range straight from the visit and slot scans: a cheap key
     # set for pruning the agent history (the folded rows are a large plan).
     members = visits_in_range(b, f, t).select("membership").unionByName(
         slots_in_range(b, f, t).select(F.col("playerid").alias("membership"))).distinct()
-    with_agent = agent_at(folded, b.agents_players, players, "membership", "visittime",
-                          split_by_day=split_hot_members, player_cols=("surname", "forename", "idcountry"),
-                          member_keys=members)
+    # The look-up reads its probes twice (rows and chunk ends): visit times come
+    # from the same two scans, so that the folded rows are computed once.
+    agent = agent_at(visit_times(b, f, t), b.agents_players, players, "membership", "visittime",
+                     split_by_day=split_hot_members, player_cols=("surname", "forename", "idcountry"),
+                     member_keys=members)
+    with_agent = folded.join(agent.drop("visittime"), KEYS)
     ag = b.agents.select(F.col("idagent").alias("_aid"), F.col("nameagent"))
     cc = b.countries.select(F.col("idcountry").alias("_cid"), F.col("namecountry"))
     d = (with_agent.join(ag, F.col("idagent") == F.col("_aid"), "left")
@@ -436,7 +474,7 @@ def player_session(b, f, t) -> DataFrame:
     # day depend on their session's start, so the day reaches the scan
     pt = b.players_tracking.filter(known_member("membership")
                                    & (day_between("datework", f, t) | F.col("datework").isNull()))
-    ps = b.player_sessions.filter(not_deleted("isdeleted"))
+    ps = of_days(b.player_sessions, f, t).filter(not_deleted("isdeleted"))
     s = ps.join(pt, "idplayerstracking", "inner").withColumn("gamingday", gaming_day("datework", "timestart"))
     s = s.filter(day_between("gamingday", f, t))
     pl = b.players.select(F.col("membership").alias("_pm"), "idagent")

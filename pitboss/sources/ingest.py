@@ -30,7 +30,7 @@ class SourceConfig:
     columns: tuple[str, ...]
     watermark_column: str | None = None
     watermark_type: str = "text"
-    key: tuple[str, ...] = ()              # column names; NULL keys match each other
+    key: tuple[str, ...] = ()              # column names or SQL expressions; NULL keys match each other
     lookback_column: str | None = None
     lookback_days: int | None = None
     full_snapshot: bool = False

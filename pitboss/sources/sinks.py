@@ -254,6 +254,7 @@ def write_upsert(batch: DataFrame, path: str, key: Sequence[str], seq: Column,
                  partition_by: Sequence[str] = ()) -> None:
     """Keyed last-wins upsert of ``batch`` into the parquet table at ``path``.
 
+    A part of the key is a column or a SQL expression over the columns (A8).
     With ``partition_by`` the affected partitions are read and rewritten: those
     of the batch's rows and, unless the partition columns belong to the key,
     those that now hold rows of the batch's keys (found from the table's key
@@ -261,7 +262,7 @@ def write_upsert(batch: DataFrame, path: str, key: Sequence[str], seq: Column,
     Without partitions the whole table is swapped.  NULL partitions and NULL
     keys are values like others.  Repeating the same batch gives the same
     table."""
-    from ..operators.dedupe import upsert_last_wins
+    from ..operators.dedupe import key_columns, upsert_last_wins
     spark = batch.sparkSession
     cols = list(partition_by)
     target = swap.read_table(spark, path, batch.schema)
@@ -269,15 +270,15 @@ def write_upsert(batch: DataFrame, path: str, key: Sequence[str], seq: Column,
     if cols:
         values = set(_values(batch, cols))
         if not set(cols) <= set(key):
-            keys = batch.select(*[F.col(k).alias(f"_key_{k}") for k in key]).distinct()
+            keys = batch.select(*[k.alias(f"_key_{i}") for i, k in enumerate(key_columns(batch, key))]).distinct()
             same = F.lit(True)
-            for k in key:
-                same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+            for i, k in enumerate(key_columns(target, key)):
+                same = same & k.eqNullSafe(F.col(f"_key_{i}"))
             values |= set(_values(target.join(keys, same, "left_semi"), cols))
         if not values and swap.table_exists(spark, path):
             return
         state = upsert_last_wins(target.filter(_in_partitions(sorted(values, key=str), cols)), batch, list(key), seq)
         folders = [_partition_path(spark, list(zip(cols, v[len(cols):]))) for v in values]
-        _replace_partitions(state, path, cols, folders, [k for k in key if k not in cols])
+        _replace_partitions(state, path, cols, folders, [k for k in key if k in target.columns and k not in cols])
     else:
         swap.replace(upsert_last_wins(target, batch, list(key), seq), path)

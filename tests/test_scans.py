@@ -87,11 +87,28 @@ def test_bucketed_overlap_equals_plain(spark, seed):
                    for r in overlap_left_join(v, s, ["gaming_day", "membership"], *args).collect())
     bucketed = sorted((r["visit_no"], r["sid"] if r["sid"] is not None else -1)
                       for r in overlap_left_join_bucketed(v, s, ["gaming_day", "membership"],
-                                                          ["gaming_day", "membership", "visit_no"], *args,
-                                                          max_span_hours=24).collect())
+                                                          ["gaming_day", "membership", "visit_no"], *args).collect())
     assert plain == bucketed
 
 
+def test_bucketed_overlap_of_any_length(spark):
+    """Minutes, days and centuries on both sides of one key, ends swapped or missing."""
+    from pitboss.operators.overlap import overlap_left_join, overlap_left_join_bucketed
+    rnd = random.Random(11)
+
+    def ends():
+        start = dt.datetime(1969, 12, 31, 22) + dt.timedelta(minutes=rnd.choice([0, 59, 60, 120, 10_000]) + rnd.randint(0, 600))
+        end = start + dt.timedelta(minutes=rnd.choice([1, 59, 60, 240, 960, 4_000, 70_000, 50_000_000, -30]))
+        return tuple(x if rnd.random() > 0.05 else None for x in (start, end))
+    v = spark.createDataFrame([(1, i, *ends()) for i in range(150)], "k int, visit_no int, a timestamp_ntz, b timestamp_ntz")
+    s = spark.createDataFrame([(1, i, *ends()) for i in range(150)] + [(2, 999, *ends())],
+                              "k int, sid int, c timestamp_ntz, d timestamp_ntz")
+    args = ("a", "b", "c", "d")
+    both = [sorted((r["visit_no"], r["sid"] if r["sid"] is not None else -1) for r in out.collect()) for out in (
+        overlap_left_join(v, s, ["k"], *args), overlap_left_join_bucketed(v, s, ["k"], ["k", "visit_no"], *args))]
+    assert both[0] == both[1] and len(both[0]) > 3000
+
+
 def test_reconcile_two_sided(spark, bronze):
     from pitboss.plans import gold
     from pitboss.sources.adapters import FROM_DAY, TO_DAY

@@ -11,7 +11,8 @@ The payload is wrapped in a struct, so a history row whose value is NULL is
 still "the latest row" (its NULL is returned rather than an older value).
 
 With ``split_by_day`` the scan is two-level (``pitboss.operators.scan``):
-chunks are days, so a key with a third of all rows is spread over its days.
+chunks are days (or hours), so a key with a third of all rows is spread over
+its days; ``counted``, the probes' keys and times, also splits busy ones.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scan import carry_last
+from .scan import balanced_chunks, carry_last
 
 EARLY_DAY = "0001-01-01"
 
@@ -29,7 +30,7 @@ EARLY_DAY = "0001-01-01"
 def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_time: str, hist_time: str,
               payload: Sequence[str], out: str = "asof", hist_tiebreak: Sequence[Column] = (),
               split_by_day: bool = False, history_keys: DataFrame | None = None,
-              chunk_unit: str = "day") -> DataFrame:
+              chunk_unit: str = "day", counted: DataFrame | None = None) -> DataFrame:
     """Probe rows plus ``out``: struct of ``payload`` from the latest history row
     with ``hist_time <= probe_time`` (NULL when there is none).
 
@@ -57,14 +58,19 @@ def asof_last(probe: DataFrame, history: DataFrame, by: Sequence[str], probe_tim
     order = [F.col("_t"), F.col("_side"), *[F.col(f"_tb{i}") for i in range(len(tb))]]
     early = F.lit(EARLY_DAY).cast("timestamp_ntz")
     chunk = F.coalesce(F.date_trunc(chunk_unit, F.col("_t")), early) if split_by_day else None
+    if split_by_day and counted is not None:
+        tries = counted.select(*by, F.col(probe_time).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_side"),
+                               *[F.lit(None).cast(u.schema[f"_tb{i}"].dataType).alias(f"_tb{i}") for i in range(len(tb))])
+        u, chunk = balanced_chunks(u, by, order, chunk, counted=tries)
     res = carry_last(u, list(by), order, "_payload", out, chunk=chunk, keep=F.col("_side") == 1)
     res = res.withColumn(out, F.when(F.col("_t").isNotNull(), F.col(out)))
-    return res.drop("_t", "_side", "_payload", *[f"_tb{i}" for i in range(len(tb))])
+    return res.drop("_t", "_side", "_sub", "_payload", *[f"_tb{i}" for i in range(len(tb))])
 
 
 def agent_at(probe: DataFrame, agent_history: DataFrame, players: DataFrame, member: str, probe_time: str,
              split_by_day: bool = False, player_cols: Sequence[str] = (),
-             member_keys: DataFrame | None = None, chunk_unit: str = "day") -> DataFrame:
+             member_keys: DataFrame | None = None, chunk_unit: str = "day",
+             counted: DataFrame | None = None) -> DataFrame:
     """Agent of a member at a time (C5): latest history row (ties: later
     ``created`` first, NULL ``created`` first of all), else the player's own
     agent with 0 read as none.  A history agent 0 stays 0.  ``player_cols``
@@ -72,7 +78,7 @@ def agent_at(probe: DataFrame, agent_history: DataFrame, players: DataFrame, mem
     hist = agent_history.select(F.col("membership").alias(member), "datechange", "created", "idagent")
     tiebreak = [F.col("created").isNull(), F.col("created")]
     hit = asof_last(probe, hist, [member], probe_time, "datechange", ["idagent"], "_agent", tiebreak,
-                    split_by_day=split_by_day, history_keys=member_keys, chunk_unit=chunk_unit)
+                    split_by_day=split_by_day, history_keys=member_keys, chunk_unit=chunk_unit, counted=counted)
     pl = players.select(F.col("membership").alias("_pm"), F.col("idagent").alias("_pagent"), *player_cols)
     joined = hit.join(pl, hit[member] == pl["_pm"], "left")
     return joined.withColumn("idagent", F.coalesce(F.col("_agent.idagent"), F.nullif(F.col("_pagent"), F.lit(0)))) \

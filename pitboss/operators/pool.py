@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import join_back, max_prefix_sum
+from .scan import balanced_chunks, join_back, max_prefix_sum, nulls_last
 
 DEC = "decimal(19,4)"
 # NULL operation times sort after every real time (ascending, NULLs last).
@@ -43,7 +43,9 @@ def clean_drop(events: DataFrame, keys: Sequence[str], time_col: str, id_col: st
                split_hot_groups: bool = True) -> DataFrame:
     """Per group: the clean drop, ordered by (time ASC NULLS LAST, id)."""
     order = [F.col(time_col).asc_nulls_last(), F.col(id_col).asc()]
-    chunk = hour_chunk(time_col) if split_hot_groups else None
+    chunk = None
+    if split_hot_groups:
+        events, chunk = balanced_chunks(events, keys, [*nulls_last(F.col(time_col)), F.col(id_col)], hour_chunk(time_col))
     res = max_prefix_sum(events, keys, order, F.col(buy) - F.col(out), result, chunk)
     return res.withColumn(result, F.col(result).cast(DEC))
 
@@ -54,13 +56,13 @@ def pool_trace(events: DataFrame, keys: Sequence[str], time_col: str, id_col: st
 
     One-level form: the three windows share one partitioning and ordering, so
     Spark evaluates them after a single exchange and sort.  Two-level form
-    (default): the windows run per (group, hour); per hour the total and the
-    minimum running sum are kept; a scan over the hours gives each hour its
-    offset (sum of the earlier hours) and the minimum reached before it:
+    (default): the windows run per chunk (hours; a busy hour is split); per chunk the total and the
+    minimum running sum are kept; a scan over the chunks gives each one its
+    offset (sum of the earlier chunks) and the minimum reached before it:
 
         s    = offset + local_s
         mins = least(min_before, offset + local_min)
-        pool_before of an hour's first row = offset - least(min_before, 0)
+        pool_before of a chunk's first row = offset - least(min_before, 0)
     """
     order = [F.col(time_col).asc_nulls_last(), F.col(id_col).asc()]
     d = events.withColumn("_d", (F.col(out) - F.col(buy)).cast(DEC))
@@ -72,7 +74,8 @@ def pool_trace(events: DataFrame, keys: Sequence[str], time_col: str, id_col: st
         d = d.withColumn("poolafter", (F.col("s") - F.least(F.col("mins"), F.lit(0))).cast(DEC))
         d = d.withColumn("poolbefore", F.lag("poolafter", 1, 0).over(w).cast(DEC))
         return _with_clean(d.drop("_d"), buy)
-    d = d.withColumn("_chunk", hour_chunk(time_col))
+    d, chunk = balanced_chunks(d, keys, [*nulls_last(F.col(time_col)), F.col(id_col)], hour_chunk(time_col))
+    d = d.withColumn("_chunk", chunk)
     w1 = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     run1 = w1.rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_ls", F.sum("_d").over(run1)).withColumn("_lmin", F.min("_ls").over(run1)) \

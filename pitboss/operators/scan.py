@@ -14,6 +14,9 @@ time column, a range bucket of an id, ...).
 4. The carried prefix of the previous chunks is joined back on
    ``(keys, chunk)``.
 
+``balanced_chunks`` makes the chunk of a busy group from its own quantiles, so
+that many rows of one key in one hour, or at one instant, are split as well.
+
 The results equal the one-level window exactly (the operations are
 associative), for NULL values and NULL keys too.  The chunk value must not be
 NULL (the scan raises on one); callers map NULL order values to a sentinel
@@ -27,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _CHUNK = "_chunk"
 
 
@@ -40,6 +45,57 @@ def with_chunk(df: DataFrame, chunk: Column) -> DataFrame:
     return df.withColumn(_CHUNK, F.when(chunk.isNull(), bad).otherwise(chunk))
 
 
+# Rows of one chunk of a busy group, and chunks of one group and hour at most
+# (an hour with more rows has longer chunks, not fewer rows).
+CHUNK_ROWS = 1 << 18
+HOUR_CHUNKS = 512
+
+
+def balanced_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], coarse: Column,
+                    counted: DataFrame | None = None, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, Column]:
+    """``df`` and a chunk for the scans below that stays small however the rows of a
+    key crowd together: ``coarse`` (an hour, say), and where one group has more
+    than ``chunk_rows`` rows in it, the row's place among cuts of that group.
+
+    ``order`` holds ascending columns (NULLs first, see ``nulls_last``) that
+    agree with the order of the scan.  The busy groups are counted first, and
+    their cuts are quantiles of (key, order) from Spark's range partitioning;
+    both are checkpointed, since a plan that uses the chunks twice has to see
+    the same cuts.  ``counted`` may name a cheaper plan of the same rows.
+    Without a busy group nothing is added to the plan."""
+    rows = df if counted is None else counted
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    sizes = (rows.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys], coarse.alias("_hot_coarse"))
+             .agg(F.count(F.lit(1)).alias("_hot_rows")).filter(F.col("_hot_rows") > chunk_rows)).checkpoint()
+    total = sizes.agg(F.sum("_hot_rows")).first()[0]
+    if not total:
+        return df, coarse
+    names = [f"_hot_{k}" for k in keys] + ["_hot_coarse"]
+
+    def same(right: list[str]) -> Column:
+        out = F.lit(True)
+        for here, there in zip([*[F.col(k) for k in keys], coarse], right):
+            out = out & here.eqNullSafe(F.col(there))
+        return out
+    busy = rows.join(sizes, same(names), "inner").select(*names, F.struct(*order).alias("_place"))
+    parts = -(-total // chunk_rows) + 1
+    first = (busy.repartitionByRange(parts, *names, "_place").withColumn("_part", F.spark_partition_id())
+             .groupBy("_part", *names).agg(F.min("_place").alias("_cut")))
+    every = F.greatest(F.lit(1), F.ceil(F.size("_all") / F.lit(HOUR_CHUNKS)).cast("int"))
+    cuts = (first.groupBy(*names).agg(F.sort_array(F.collect_list("_cut")).alias("_all"))
+            .select(*names, F.filter("_all", lambda c, i: i % every == 0).alias("_cuts"))).checkpoint()
+    placed = df.join(cuts, same(names), "left").withColumn(
+        "_sub", F.when(F.col("_cuts").isNull(), 0).otherwise(
+            F.size(F.filter("_cuts", lambda c: c <= F.struct(*order))))).drop(*names, "_cuts")
+    return placed, F.struct(coarse.alias("coarse"), F.col("_sub").alias("sub"))
+
+
+def nulls_last(*columns: Column) -> list[Column]:
+    """Ascending order columns that put NULLs last."""
+    return [part for c in columns for part in (c.isNull(), c)]
+
+
 def join_back(rows: DataFrame, summary: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Inner join on ``cols`` in which NULL keys match, as in a window partition."""
     right = summary.withColumnsRenamed({c: f"_back_{c}" for c in cols})

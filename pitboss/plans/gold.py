@@ -17,7 +17,7 @@ from ..operators.asof import agent_at
 from ..operators.overlap import overlap_left_join_bucketed
 from ..operators.reconcile import multiset_difference
 from ..operators.pool import hour_chunk
-from ..operators.scan import chunked_row_number
+from ..operators.scan import balanced_chunks, chunked_row_number, nulls_last
 from . import silver
 
 DEC = "decimal(19,4)"
@@ -84,13 +84,14 @@ def dim_expense_type(spark) -> DataFrame:
     return spark.createDataFrame(list(EXPENSE_TYPES), schema)
 
 
-def _member_dims(b, df: DataFrame, time_col: str) -> DataFrame:
-    """As-of agent at ``time_col`` (split by hour for hot members), loose label, country."""
+def _member_dims(b, df: DataFrame, time_col: str, counted: DataFrame) -> DataFrame:
+    """As-of agent at ``time_col`` (split by hour for hot members; ``counted`` finds
+    the hours that are busy themselves), loose label, country."""
     players = b.players.select("membership", "idagent", "idcountry")
     # Transaction probes: a member may hold a large share of one day's rows,
     # so the split scan chunks by hour.
     d = agent_at(df, b.agents_players, players, "membership", time_col, split_by_day=True,
-                 player_cols=("idcountry",), chunk_unit="hour")
+                 player_cols=("idcountry",), chunk_unit="hour", counted=counted)
     ag = b.agents.select(F.col("idagent").alias("_aid"), "nameagent")
     cc = b.countries.select(F.col("idcountry").alias("_cid"), "namecountry")
     d = d.join(ag, F.col("idagent") == F.col("_aid"), "left").join(cc, F.col("idcountry") == F.col("_cid"), "left")
@@ -110,7 +111,8 @@ def player_expenses(b, f, t) -> DataFrame:
     """Expense transaction fact (F4) with the first-match key (B8) and the
     as-of agent at the operation time (C5)."""
     c = expense_rows(b, f, t).filter(F.col("expense_type_key").isNotNull())
-    d = _member_dims(b, c, "timeoper")
+    d = _member_dims(b, c, "timeoper", silver.cashdesk_in_range(b, f, t).filter(
+        F.col("idaccount").isin(*EXPENSE_ACCOUNTS)))
     ar = b.articles.select(F.col("idarticle").alias("_arid"), F.col("namearticle").alias("article_name"))
     d = d.join(ar, F.col("idarticle") == F.col("_arid"), "left")
     return d.select("idoper", F.col("expense_type_key").cast("int").alias("expense_type_key"),
@@ -146,7 +148,7 @@ def dim_bonus_indicator(b) -> DataFrame:
 def player_bonuses(b, f, t) -> DataFrame:
     """Bonus transaction fact (F5); deleted rows are kept with their flag."""
     pb = b.bonuses.filter(day_between("datework", f, t) & known_member("membership"))
-    d = _member_dims(b, pb, "timeoper")
+    d = _member_dims(b, pb, "timeoper", pb)
     g = b.games.select(F.col("idgame").alias("_gid"), F.col("namegame").alias("gamename"))
     d = d.join(g, F.col("idgame") == F.col("_gid"), "left")
     z = F.lit(0).cast(DEC)
@@ -187,16 +189,17 @@ def earned_bonuses(bonus_fact: DataFrame) -> DataFrame:
 def numbered_visits(b, f, t) -> DataFrame:
     """Visits with their number within the member-day (E5): order by
     ``coalesce(time_in, created)`` NULLS LAST, then ``time_out`` NULLS LAST (then
-    created, time_in, for a total order).  The row number is chunked by hour, so
-    a member-day with very many visits is split over tasks."""
+    created, time_in, for a total order).  The row number is chunked by hour and, in a busy
+    hour, by rank, so a member-day with very many visits is split over tasks."""
     v = silver.visits_in_range(b, f, t).select(
         F.col("datework").alias("gaming_day"), "membership", "time_in", "time_out", "created")
     first = F.coalesce("time_in", "created")
     order = [first.asc_nulls_last(), F.col("time_out").asc_nulls_last(), F.col("created").asc_nulls_last(),
              F.col("time_in").asc_nulls_last()]
-    chunk = hour_chunk(first)
+    v, chunk = balanced_chunks(v, ["gaming_day", "membership"],
+                               nulls_last(first, F.col("time_out"), F.col("created"), F.col("time_in")), hour_chunk(first))
     return chunked_row_number(v, ["gaming_day", "membership"], order, "visit_no", chunk=chunk) \
-        .withColumn("visit_no", F.col("visit_no").cast("int"))
+        .withColumn("visit_no", F.col("visit_no").cast("int")).drop("_sub")
 
 
 def game_sessions(b, f, t) -> DataFrame:

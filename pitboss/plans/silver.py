@@ -26,7 +26,7 @@ from ..functions.predicates import (OPEN_END, clean_text, day_between, gaming_da
                                     not_deleted, sign_split)
 from ..operators.asof import agent_at
 from ..operators.pool import clean_drop as _clean_drop, hour_chunk, pool_trace
-from ..operators.scan import prefix_peaks
+from ..operators.scan import balanced_chunks, nulls_last, prefix_peaks
 from ..sources.daypart import CARRIED, of_days
 
 DEC = "decimal(19,4)"
@@ -336,8 +336,9 @@ def _stacked_branches(b, f, t) -> DataFrame:
             *[F.expr(f"sum(CASE WHEN _in_money THEN {v} END)").alias(f"_m_{k}") for k, v in _money_measures().items()],
             *[F.expr(f"sum(CASE WHEN _in_expense THEN {v} END)").alias(f"_e_{k}")
               for k, v in _expense_measures().items()]]
-    cash = prefix_peaks(c, KEYS, [F.col("timeoper").asc_nulls_last(), F.col("idoper").asc()], net, "_peak",
-                        hour_chunk("timeoper"), sums)
+    c, chunk = balanced_chunks(c, KEYS, [*nulls_last(F.col("timeoper")), F.col("idoper")], hour_chunk("timeoper"),
+                               counted=cashdesk_in_range(b, f, t).withColumnRenamed("datework", "gamingday"))
+    cash = prefix_peaks(c, KEYS, [F.col("timeoper").asc_nulls_last(), F.col("idoper").asc()], net, "_peak", chunk, sums)
 
     out = visits
     for part in (slots, cash, session_float(b, f, t)):

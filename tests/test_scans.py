@@ -162,3 +162,55 @@ def test_asof_split_equals_plain(spark, unit):
                                                   chunk_unit=unit).collect()}
     b = {r["pid"]: r["idagent"] for r in agent_at(p, h, pl, "membership", "ts").collect()}
     assert a == b and len(a) == 300
+
+
+def test_busy_hours_are_split_by_rank(spark):
+    """Many rows of one member in one hour, a third of them at one instant, some without a time:
+    every scan equals its plain form, and the busy hour lies in many small chunks."""
+    from pitboss.operators.asof import asof_last
+    from pitboss.operators.pool import clean_drop, hour_chunk, pool_trace
+    from pitboss.operators.scan import balanced_chunks, carry_last, chunked_row_number, nulls_last, running_sum
+    n, at = 60_000, "timestamp_ntz'2024-01-05 10:00:00'"
+    late = f"{at} + make_dt_interval(0, 0, 0, cast(pmod(xxhash64(id), 3600) AS decimal(18,6)))"
+    ev = spark.range(n).selectExpr(
+        "CASE WHEN id % 100 = 0 THEN NULL WHEN id % 50 = 1 THEN 2 ELSE 1 END AS k", "id",
+        f"CASE WHEN id % 3 = 0 THEN {at} WHEN id % 500 = 1 THEN NULL ELSE {late} END AS t",
+        "CAST(pmod(xxhash64(id, 1), 9) AS decimal(19,4)) AS buyamt", "CAST(pmod(xxhash64(id, 2), 9) AS decimal(19,4)) AS outamt")
+    order = [F.col("t").asc_nulls_last(), F.col("id").asc()]
+    place = [*nulls_last(F.col("t")), F.col("id")]
+    d, chunk = balanced_chunks(ev, ["k"], place, hour_chunk("t"), chunk_rows=2_000)
+    d = d.withColumn("c", chunk)
+    sizes = d.groupBy("k", "c").count().collect()
+    assert len(sizes) > 20 and max(r["count"] for r in sizes) < n / 5 and sum(r["count"] for r in sizes) == n
+
+    def equal(a, b):
+        cols = sorted(a.columns)
+        assert a.select(cols).exceptAll(b.select(cols)).count() == 0 and a.count() == b.count()
+    value = F.col("buyamt") - F.col("outamt")
+    equal(running_sum(ev, ["k"], order, value, "s"), running_sum(d, ["k"], order, value, "s", F.col("c")).drop("c", "_sub"))
+    equal(chunked_row_number(ev, ["k"], order, "no"), chunked_row_number(d, ["k"], order, "no", F.col("c")).drop("c", "_sub"))
+    payload = F.when(F.col("id") % 7 == 0, F.struct("id"))
+    plain = carry_last(ev.withColumn("p", payload), ["k"], [F.col("t"), F.col("id")], "p", "last")
+    split, cut = balanced_chunks(ev.withColumn("p", payload), ["k"], [F.col("t"), F.col("id")],
+                                 F.coalesce(F.date_trunc("hour", F.col("t")), F.lit("0001-01-01").cast("timestamp_ntz")),
+                                 chunk_rows=2_000)
+    equal(plain, carry_last(split, ["k"], [F.col("t"), F.col("id")], "p", "last", cut).drop("_sub"))
+    import pitboss.operators.scan as scan
+    before, scan.balanced_chunks.__defaults__ = scan.balanced_chunks.__defaults__, (None, 2_000)
+    try:
+        equal(clean_drop(ev, ["k"], "t", "id"), clean_drop(ev, ["k"], "t", "id", split_hot_groups=False))
+        equal(pool_trace(ev, ["k"], "t", "id"), pool_trace(ev, ["k"], "t", "id", split_hot_groups=False))
+        hist = spark.range(40).selectExpr("id % 3 AS k", f"{at} + make_dt_interval(0, 0, cast(id * 2 AS int)) AS since", "id AS x")
+        probe = ev.select("k", "id", "t")
+        equal(asof_last(probe, hist, ["k"], "t", "since", ["x"]),
+              asof_last(probe, hist, ["k"], "t", "since", ["x"], split_by_day=True, chunk_unit="hour", counted=probe))
+    finally:
+        scan.balanced_chunks.__defaults__ = before
+
+
+def test_without_busy_groups_the_plan_is_unchanged(spark):
+    from pitboss.operators.pool import hour_chunk
+    from pitboss.operators.scan import balanced_chunks
+    ev = spark.range(100).selectExpr("id % 3 AS k", "id", "timestamp_ntz'2024-01-05 10:00:00' AS t")
+    d, _ = balanced_chunks(ev, ["k"], [F.col("t"), F.col("id")], hour_chunk("t"))
+    assert d is ev

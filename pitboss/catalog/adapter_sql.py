@@ -143,12 +143,25 @@ SELECT event_id AS idplayerbonus, CASE WHEN event_id % 9 = 0 THEN -1 ELSE 1 END
        CAST(0.2 AS DECIMAL(19,4)) AS percentadt, event_id % 37 = 0 AS isdeleted,
        CAST(NULL AS VARCHAR) AS comment
 FROM events WHERE event_type = 'purchase'""",
+    "indicator_games": """
+SELECT CAST(nullif(o_orderkey % 10, 0) AS INT) AS idgame, CAST(nullif(o_custkey % 4, 0) AS INT) AS idslotmanufacturer,
+       CAST(o_orderdate AS TIMESTAMP) AS datechange, CAST(o_orderkey % 300 AS DECIMAL(19,4)) AS multiplierloyalty,
+       CAST(o_orderkey % 90 AS INT) AS handsperhour, CAST(o_orderkey % 50 AS DECIMAL(19,4)) AS percentadt
+FROM orders""",
     "egd_cfg": """
 SELECT o_orderdate AS generated, CAST(o_orderdate AS DATE) AS gamingday, 'C001' AS casinoid, 'S001' AS siteid,
        CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(167837953 + o_orderkey % 40 AS INT) END AS ipaddr,
        1000 + o_custkey % 20 AS macaddr, 1 AS smibip,
        row_number() OVER (PARTITION BY o_custkey % 20 ORDER BY o_orderkey) AS rev,
-       'INV' || CAST(o_custkey % 20 AS VARCHAR(10)) AS inventorynr, o_orderpriority AS manufacturer, o_orderstatus AS model
+       'INV' || CAST(o_custkey % 20 AS VARCHAR(10)) AS inventorynr, o_orderpriority AS manufacturer, o_orderstatus AS model,
+       'Game ' || CAST(o_orderkey % 12 AS VARCHAR(10)) AS game,
+       CASE WHEN o_orderkey % 3 <> 0 THEN 'U' || CAST(o_orderkey % 5 AS VARCHAR(10)) END AS user1, CAST(NULL AS VARCHAR) AS user2,
+       CAST((o_orderkey % 4 + 1) * 0.01 AS DECIMAL(19,4)) AS coindenom, if(o_orderkey % 2 = 0, 'EUR', 'CZK') AS currency,
+       'L' || CAST(o_orderkey % 1000 AS VARCHAR(10)) AS licensenumber,
+       CASE WHEN o_orderkey % 13 <> 0 THEN 'SN' || CAST(o_custkey % 20 AS VARCHAR(10)) END AS serialnumber,
+       o_orderpriority AS user3, CAST(NULL AS VARCHAR) AS user4, if(o_orderkey % 3 = 0, 'VIDEO', 'REEL') AS gametype,
+       CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 9 <> 0 END AS inuse, o_orderdate AS lastchanged,
+       'user' || CAST(o_orderkey % 7 AS VARCHAR(10)) AS lastchangedby
 FROM orders""",
     "meter_day": """
 SELECT CAST(167837953 + event_id % 45 AS INT) AS ipaddr, 1000 + (event_id % 45) * 2 + CASE WHEN event_id % 45 % 3 = 0 AND CAST(ts AS DATE) > DATE '2024-01-12' THEN 1 ELSE 0 END AS macaddr,

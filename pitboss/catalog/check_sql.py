@@ -284,7 +284,8 @@ def positions(as_of: str, name: str = "dim") -> str:
 {name} AS (
   SELECT p.ipaddr, {IP_TEXT.format(ip='p.ipaddr')} AS ipaddr_readable,
     CAST((p.ipaddr >> 8) & 255 AS INT) AS floor_zone, CAST(p.ipaddr & 255 AS INT) AS position_in_zone,
-    p.latest_macaddr, c.inventorynr, c.manufacturer, c.model, p.age IS NOT NULL AND p.age <= 7 AS is_active,
+    p.latest_macaddr, c.inventorynr, c.manufacturer, c.model, c.game, c.serialnumber, c.coindenom, c.currency, c.gametype,
+    c.licensenumber, c.inuse AS cfg_in_use, p.age IS NOT NULL AND p.age <= 7 AS is_active,
     CASE WHEN p.age IS NULL THEN 'Config Only' WHEN p.age > 90 THEN 'Decommissioned'
          WHEN p.age > 7 THEN 'Recently Inactive' ELSE 'Active' END AS position_status,
     least(p.first_seen_meter, p.first_seen_session) AS first_seen,
@@ -306,7 +307,7 @@ ordered AS (
 history AS (
   SELECT o.ipaddr, {IP_TEXT.format(ip='o.ipaddr')} AS ipaddr_readable, o.macaddr, o.casinoid, o.siteid,
     o.gamingday AS effective_from, coalesce(n.gamingday, DATE '9999-12-31') AS effective_to, n.k IS NULL AS is_current,
-    o.inventorynr, o.manufacturer, o.model, if(n.k IS NULL, 'Current', 'Historical') AS assignment_status, o.rev
+    o.inventorynr, o.manufacturer, o.model, o.game, o.serialnumber, o.coindenom, if(n.k IS NULL, 'Current', 'Historical') AS assignment_status, o.rev
   FROM ordered o LEFT JOIN ordered n ON n.macaddr IS NOT DISTINCT FROM o.macaddr AND n.k = o.k + 1)"""
 
 # A reading begins a period unless the machine was read on the position up to

@@ -148,10 +148,8 @@ def q_multi_machine_positions(spark, sf):
 
 
 @register("egd_cfg_upsert", "A15,A7", sql=with_adapters(["egd_cfg"], """
-SELECT generated, gamingday, casinoid, siteid, ipaddr, macaddr, smibip, rev, inventorynr, manufacturer, model
-FROM egd_cfg
-UNION ALL SELECT generated, gamingday, casinoid, siteid, ipaddr, macaddr, smibip, -rev, 'stored', manufacturer, model
-FROM egd_cfg WHERE rev % 5 = 0"""))
+SELECT * FROM egd_cfg
+UNION ALL SELECT * REPLACE (-rev AS rev, 'stored' AS inventorynr) FROM egd_cfg WHERE rev % 5 = 0"""))
 def q_egd_cfg_upsert(spark, sf):
     """Config snapshot upserted (5-column key) over a target that holds the even
     revisions with other values, and revisions the snapshot does not have."""

@@ -8,15 +8,17 @@ a repeated run must leave the same table.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import latest_per_key
-from ..plans import loads, silver
+from ..functions.predicates import month_bounds
+from ..plans import loads, quality, silver
 from ..session import ensure_checkpoint_dir
-from ..sources import daypart, sinks, swap
+from ..sources import daypart, registry, sinks, swap
 from ..sources.adapters import FROM_DAY, TO_DAY, bronze_for
 from ..sources.tables import read_table
 from . import entries_gold, entries_ingest, entries_positions, entries_silver  # noqa: F401  (their SQL is used here)
@@ -183,3 +185,62 @@ def q_stored_tracking_float(spark, sf):
 @register("stored_expense_day", "C3,D9", sql=ENTRIES["expense_day"].sql)
 def q_stored_expense_day(spark, sf):
     return silver.expense_day(day_tables(spark, sf), FROM_DAY, TO_DAY)
+
+
+# --------------------------------------------------------------------------- bronze sources
+
+RUN_AT = dt.datetime(2024, 2, 1, 6)
+# For the SQL: adapter, what its watermark reads, and its key as text.
+_BRONZE_SQL = {
+    "Person.Visits": ("visits", "created", None, "membership IS NOT NULL"),
+    "Manage.Agents_Players": ("agents_players", "datechange", "(membership, datechange)", "membership IS NOT NULL"),
+    "Manage.Agent_Groups": ("agent_groups", "modified", "idagentgroup", "true"),
+    "Person.Players": ("players", "membership", "membership", "true"),
+    "Casino.Games": ("games", None, "idgame", "true"),
+    "Casino.Currency_ExchRates": ("fx_rates", "row_version", "(idcasino, datechange, idcurrency)", "true"),
+    "CashDesk.view_Transactions": ("cashdesk_tx", "idoper", "idoper", "membership IS NOT NULL"),
+    "Manage.PlayerSessions": ("player_sessions", "idplayerstracking", "(idplayerstracking, coalesce(timestart, DATE '1900-01-01'))",
+                              "true"),
+    "DRGT.Sessions": ("drgt", "id_session", "(playerid, id_session)", "playerid IS NOT NULL"),
+    "Casino.Transaction_Money": ("tx_money", "idoper", "(idoper, idmoney)", "true"),
+    "Promo.BonusIndicators_Games": ("indicator_games", None,
+                                    "(coalesce(idgame, -1), coalesce(idslotmanufacturer, -1), datechange)", "true"),
+}
+
+
+def _bronze_sql() -> str:
+    parts = []
+    for name, (shape, watermark, key, kept) in _BRONZE_SQL.items():
+        if watermark is None:
+            value = f"'{RUN_AT.isoformat()}'"
+        elif watermark in ("created", "datechange", "modified"):
+            value = f"strftime(max({watermark}), '%Y-%m-%dT%H:%M:%S.%f')"
+        else:
+            value = f"CAST(max({watermark}) AS VARCHAR)"
+        stored = "count(*)" if key is None else f"count(DISTINCT {key})"
+        parts.append(f"SELECT '{name}' AS source_table, 'success' AS status, count(*) AS rows_read, {value} AS watermark_value, "
+                     f"{stored} AS stored_rows FROM {shape} WHERE {kept}")
+    return with_adapters([shape for shape, *_ in _BRONZE_SQL.values()], " UNION ALL ".join(parts))
+
+
+@register("bronze_load", "A1,A2,A3,A5,A6,A7,A8,A9,A12,A13", sql=_bronze_sql())
+def q_bronze_load(spark, sf):
+    """Log, watermark and stored rows of a first load of configured sources."""
+    root = scratch(spark)
+    chosen = [s for s in registry.SOURCES if s.name in _BRONZE_SQL]
+    registry.load_bronze(spark, bronze_for(spark, sf), root, RUN_AT, RUN_AT.date(), chosen)
+    b = registry.StoredBronze(spark, root)
+    sizes = quality.row_count_snapshot({s.name: getattr(b, s.shape) for s in chosen})
+    log = spark.read.parquet(f"{root}/run_log").select("source_table", "status", "rows_read")
+    marks = swap.read_table(spark, f"{root}/watermarks").select("source_table", "watermark_value")
+    return (log.join(marks, "source_table")
+            .join(sizes.select(F.col("table_name").alias("source_table"), F.col("rows").alias("stored_rows")), "source_table"))
+
+
+@register("filter_month", "B1,2.8-11", sql=with_adapters(["visits"], """
+SELECT datework, membership, created FROM visits
+WHERE datework >= DATE '2024-01-01' AND datework <= last_day(make_date(2024, 1, 1))"""))
+def q_filter_month(spark, sf):
+    first, last = month_bounds(2024, 1)
+    return bronze_for(spark, sf).visits.filter(F.col("datework").between(first, last)) \
+        .select("datework", "membership", "created")

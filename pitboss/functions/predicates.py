@@ -23,6 +23,12 @@ def day_between(day: Column | str, from_day, to_day) -> Column:
     return _c(day).between(F.lit(from_day), F.lit(to_day))
 
 
+def month_bounds(year: Column | int, month: Column | int) -> tuple[Column, Column]:
+    """First and last day of a month."""
+    first = F.make_date(*[x if isinstance(x, Column) else F.lit(x) for x in (year, month)], F.lit(1))
+    return first, F.last_day(first)
+
+
 def known_member(member: Column | str) -> Column:
     """Sentinel exclusion (B2): member not null and not the anonymous id."""
     m = _c(member)

@@ -95,7 +95,9 @@ def all_positions(activity: DataFrame, cfg: DataFrame) -> DataFrame:
     return activity.select("ipaddr").union(cfg.filter(F.col("ipaddr").isNotNull()).select("ipaddr")).distinct()
 
 
-CFG_FIELDS = ("inventorynr", "manufacturer", "model")
+CFG_FIELDS = ("inventorynr", "manufacturer", "model", "game", "serialnumber", "coindenom", "currency", "gametype",
+              "licensenumber", "inuse")
+BRIDGE_FIELDS = ("inventorynr", "manufacturer", "model", "game", "serialnumber", "coindenom")
 
 
 def cfg_summary(cfg: DataFrame) -> DataFrame:
@@ -120,7 +122,9 @@ def dim_position(activity: DataFrame, cfg: DataFrame, as_of: dt.date) -> DataFra
     last_any = F.coalesce(F.col("last_seen_meter"), F.col("last_seen_session"))
     return d.select(
         "ipaddr", ip_readable("ipaddr").alias("ipaddr_readable"), floor_zone("ipaddr").alias("floor_zone"),
-        position_in_zone("ipaddr").alias("position_in_zone"), "latest_macaddr", *CFG_FIELDS,
+        position_in_zone("ipaddr").alias("position_in_zone"), "latest_macaddr", *[c for c in CFG_FIELDS if c != "inuse"],
+        # the flag as configured; whether the position is active is read off its activity
+        F.col("inuse").alias("cfg_in_use"),
         F.coalesce(last_any >= F.date_sub(_lit_date(as_of), 7), F.lit(False)).alias("is_active"),
         status_by_age(last_any, as_of, "Decommissioned", "Config Only").alias("position_status"),
         F.least("first_seen_meter", "first_seen_session").alias("first_seen"),
@@ -149,7 +153,8 @@ def machine_history(cfg: DataFrame, chunk_revs: int = 4096) -> DataFrame:
     c = c.withColumn("_o1", -F.col("rev")).withColumn("_o2", -F.datediff(F.col("gamingday"), F.lit("1970-01-01").cast("date"))) \
          .withColumn("_o3", -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                                                F.col("generated")))
-    chunk = -F.floor(F.col("rev") / F.lit(chunk_revs))
+    # a NULL revision comes last, so first when walking backwards
+    chunk = F.coalesce(-F.floor(F.col("rev") / F.lit(chunk_revs)), F.lit(-(2 ** 62)))
     s = carry_last(c, ["macaddr"], [F.col("_o1"), F.col("_o2"), F.col("_o3")], "_next", "_lead",
                    chunk=chunk, inclusive=False)
     is_latest = F.col("_lead").isNull()
@@ -157,7 +162,7 @@ def machine_history(cfg: DataFrame, chunk_revs: int = 4096) -> DataFrame:
         "ipaddr", ip_readable("ipaddr").alias("ipaddr_readable"), "macaddr", "casinoid", "siteid",
         F.col("gamingday").alias("effective_from"),
         F.coalesce(F.col("_lead.day"), _lit_date(BRIDGE_OPEN_END)).alias("effective_to"),
-        is_latest.alias("is_current"), *CFG_FIELDS,
+        is_latest.alias("is_current"), *BRIDGE_FIELDS,
         F.when(is_latest & F.col("_lead.day").isNull(), "Current").otherwise("Historical").alias("assignment_status"),
         "rev")
 

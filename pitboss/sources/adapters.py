@@ -333,6 +333,17 @@ def bonuses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def indicator_games(spark: SparkSession, sf: str) -> DataFrame:
+    """Bonus parameters by game and manufacturer; either may be NULL (any)."""
+    o = read_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    return o.select(F.nullif(k % 10, F.lit(0)).cast("int").alias("idgame"),
+                    F.nullif(F.col("o_custkey") % 4, F.lit(0)).cast("int").alias("idslotmanufacturer"),
+                    F.col("o_orderdate").cast("timestamp_ntz").alias("datechange"),
+                    (k % 300).cast(DEC).alias("multiplierloyalty"), (k % 90).cast("int").alias("handsperhour"),
+                    (k % 50).cast(DEC).alias("percentadt"))
+
+
 def egd_cfg(spark: SparkSession, sf: str) -> DataFrame:
     """Floor configuration: 20 machines rotating over 40 positions.
 
@@ -355,6 +366,19 @@ def egd_cfg(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("INV"), (F.col("o_custkey") % 20).cast("string")).alias("inventorynr"),
         F.col("o_orderpriority").alias("manufacturer"),
         F.col("o_orderstatus").alias("model"),
+        F.concat(F.lit("Game "), (k % 12).cast("string")).alias("game"),
+        _null_when(k % 3 == 0, F.concat(F.lit("U"), (k % 5).cast("string"))).alias("user1"),
+        F.lit(None).cast("string").alias("user2"),
+        ((k % 4 + 1) * F.lit(0.01).cast("decimal(3,2)")).cast(DEC).alias("coindenom"),
+        F.when(k % 2 == 0, F.lit("EUR")).otherwise(F.lit("CZK")).alias("currency"),
+        F.concat(F.lit("L"), (k % 1000).cast("string")).alias("licensenumber"),
+        _null_when(k % 13 == 0, F.concat(F.lit("SN"), (F.col("o_custkey") % 20).cast("string"))).alias("serialnumber"),
+        F.col("o_orderpriority").alias("user3"),
+        F.lit(None).cast("string").alias("user4"),
+        F.when(k % 3 == 0, F.lit("VIDEO")).otherwise(F.lit("REEL")).alias("gametype"),
+        _null_when(k % 11 == 0, k % 9 != 0).alias("inuse"),
+        F.col("o_orderdate").alias("lastchanged"),
+        F.concat(F.lit("user"), (k % 7).cast("string")).alias("lastchangedby"),
         k.alias("_k"),
     )
     ranked = chunked_row_number(base, ["macaddr"], [F.col("_k")], "rev",

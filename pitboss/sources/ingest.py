@@ -36,6 +36,10 @@ class SourceConfig:
     full_snapshot: bool = False
     member_column: str | None = None
     bool_columns: tuple[str, ...] = field(default=())
+    # "strict": rows beyond the watermark.  "inclusive": also those that share it,
+    # so that rows which arrive later with the last instant are not missed; rows
+    # of a keyed source are upserted again, appended ones only if not yet stored.
+    border: str = "strict"
 
 
 def typed_watermark(raw: str | None, wm_type: str) -> Column:
@@ -62,7 +66,8 @@ def watermark_filter(cfg: SourceConfig, watermark: str | None, today: dt.date |
     window ``... OR lookback_col >= today - N`` (A4).  The source-side member
     filter (A5) is added when configured."""
     wm = typed_watermark(watermark, cfg.watermark_type)
-    cond = wm.isNull() | (F.col(cfg.watermark_column) > wm)
+    beyond = F.col(cfg.watermark_column) >= wm if cfg.border == "inclusive" else F.col(cfg.watermark_column) > wm
+    cond = wm.isNull() | beyond
     if cfg.lookback_column is not None:
         if today is None:
             raise ValueError("a re-read window needs the run day")
@@ -151,6 +156,30 @@ def read_watermark(spark: SparkSession, control_path: str, source: str) -> str |
     return rows[0][0] if rows else None
 
 
+def not_yet_stored(extracted: DataFrame, stored: DataFrame, cfg: SourceConfig, watermark: str | None) -> DataFrame:
+    """The extract without the rows that an append-only table already has of the
+    border instant (as often as it has them)."""
+    if watermark is None:
+        return extracted
+    at_border = F.col(cfg.watermark_column) == typed_watermark(watermark, cfg.watermark_type)
+    have = stored.select(*extracted.columns).filter(at_border)
+    return extracted.filter(~at_border).unionByName(extracted.filter(at_border).exceptAll(have))
+
+
+def log_run(spark: SparkSession, log_path: str, source: str, run_at: dt.datetime, rows_read: int = 0,
+            rows_written: int = 0, error: str | None = None) -> DataFrame:
+    """Append one run-log row (A13), and return it."""
+    counts = spark.range(1).select(F.lit(source).alias("source_table"), F.lit(rows_read).alias("rows_read"),
+                                   F.lit(rows_written).alias("rows_written"),
+                                   F.lit(error[:2000] if error else None).cast("string").alias("error_message"))
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    log = (run_log_rows(spark, "bronze_incremental", counts)
+           .withColumn("started_at_utc", F.lit(run_at.isoformat(sep=" ")).cast("timestamp"))
+           .withColumn("finished_at_utc", F.lit(now.isoformat(sep=" ")).cast("timestamp")))
+    log.write.mode("append").parquet(log_path)
+    return log
+
+
 def run_incremental(spark: SparkSession, source: DataFrame, cfg: SourceConfig, target_path: str, control_path: str,
                     log_path: str, seq: Column, run_at: dt.datetime, today: dt.date | None = None,
                     partition_by: Sequence[str] = ()) -> DataFrame:
@@ -174,29 +203,30 @@ def run_incremental(spark: SparkSession, source: DataFrame, cfg: SourceConfig, t
     rows_read = 0
 
     def logged(written: int, error: str | None) -> DataFrame:
-        counts = spark.range(1).select(F.lit(cfg.name).alias("source_table"), F.lit(rows_read).alias("rows_read"),
-                                       F.lit(written).alias("rows_written"),
-                                       F.lit(error).cast("string").alias("error_message"))
-        log = (run_log_rows(spark, "bronze_incremental", counts).withColumn("started_at_utc", run_ts)
-               .withColumn("finished_at_utc", F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-                                                    .isoformat(sep=" ")).cast("timestamp")))
-        log.write.mode("append").parquet(log_path)
-        return log
+        return log_run(spark, log_path, cfg.name, run_at, rows_read, written, error)
 
     try:
         old = read_watermark(spark, control_path, cfg.name)
-        extracted = extract(source, cfg, old, today).checkpoint(eager=True)
+        # never a bare number or time: the folder's name must read back as text
+        loaded_from = "start" if old is None else f"after {old}"
+        extracted = extract(source, cfg, old, today)
+        swap.recover(spark, target_path)
+        if cfg.border == "inclusive" and not cfg.key and swap.table_exists(spark, target_path):
+            # what a failed run appended from this watermark is written again as a whole
+            stored = spark.read.parquet(target_path).filter(F.col("loaded_from") != F.lit(loaded_from))
+            extracted = not_yet_stored(extracted, stored, cfg, old)
+        extracted = extracted.checkpoint(eager=True)
         rows_read = extracted.count()
         if rows_read:
             if cfg.key:
                 write_upsert(extracted, target_path, list(cfg.key), seq, partition_by)
             else:
-                write_partitions(extracted.withColumn("loaded_from", F.lit(old if old is not None else "start")),
+                write_partitions(extracted.withColumn("loaded_from", F.lit(loaded_from)),
                                  target_path, ["loaded_from", *partition_by])
             wm = advance_watermark(extracted, cfg, old, run_at).withColumn("updated_at_utc", run_ts)
             write_upsert(wm, control_path, ["source_table"], F.col("updated_at_utc"))
     except Exception as e:
-        logged(0, f"{type(e).__name__}: {e}"[:2000])
+        logged(0, f"{type(e).__name__}: {e}")
         raise
     return logged(rows_read, None)
 

@@ -28,6 +28,9 @@ BRONZE = {
                        ("membership",)),
     "manage_agents": ("idagent int, nameagent string", ("idagent",)),
     "casino_countries": ("idcountry int, namecountry string", ("idcountry",)),
+    "promo_bonus_indicators_games": ("idgame int, idslotmanufacturer int, datechange ntz, multiplierloyalty money, "
+                                     "handsperhour int, percentadt money",
+                                     ("coalesce(idgame, -1)", "coalesce(idslotmanufacturer, -1)", "datechange")),
     "casino_games_ref": ("idgame int, codegame string, namegame string, listorder_game int, idbonussystem int, "
                          "nmbboxes int", ("idgame",)),
     "casino_table_types": ("idtabletype int, codetabletype string, nametabletype string, listorder_tabletype int, "
@@ -66,7 +69,10 @@ BRONZE = {
     "promo_bonus_indicators": ("idbonusindicator int, codebonusindicator string, namebonusindicator string",
                                ("idbonusindicator",)),
     "sm_egd_cfg": ("generated ntz, gamingday date, casinoid string, siteid string, ipaddr int, macaddr long, "
-                   "smibip int, rev long, inventorynr string, manufacturer string, model string",
+                   "smibip int, rev long, inventorynr string, manufacturer string, model string, game string, "
+                   "user1 string, user2 string, coindenom money, currency string, licensenumber string, "
+                   "serialnumber string, user3 string, user4 string, gametype string, inuse bool, lastchanged ntz, "
+                   "lastchangedby string",
                    ("casinoid", "siteid", "macaddr", "smibip", "rev")),
     "meter_day": ("ipaddr int, macaddr long, gamingday date, generated ntz", ()),
     "player_session_v7": ("ipaddr int, gamingday date", ()),
@@ -83,7 +89,7 @@ ADAPTER_TABLE = {
     "drgt_sessions": "drgt_sessions", "tx_money": "casino_transaction_money",
     "session_details": "manage_player_session_details", "session_detail_chips": "manage_player_session_detail_chips",
     "chips": "casino_chips", "bonuses": "promo_player_bonuses", "bonus_indicators": "promo_bonus_indicators",
-    "egd_cfg": "sm_egd_cfg", "meter_day": "meter_day", "player_session_v7": "player_session_v7",
+    "indicator_games": "promo_bonus_indicators_games", "egd_cfg": "sm_egd_cfg", "meter_day": "meter_day", "player_session_v7": "player_session_v7",
 }
 
 

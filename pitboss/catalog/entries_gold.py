@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import gold, silver
+from ..sources import sinks, swap
 from ..sources.adapters import FROM_DAY, TO_DAY, bronze_for
 from . import check_sql as cs
 from .adapter_sql import with_adapters
 from .check_sql import DEC
 from .entries_silver import MEMBERSHIP_DAY_SQL, PS_ADAPTERS
-from .registry import register
+from .registry import register, scratch
 
 
 def _b(spark, sf):
@@ -130,23 +131,29 @@ def q_adt_product(spark, sf):
         "idplayerbonus", adt_product("multiplierloyalty", "hours", "handsperhour", "averbet").alias("adt"))
 
 
+# Every bonus entry as a booking: what it adds (earned) or takes back (reversed).
+BOOKINGS = """
+bookings AS (
+  SELECT membership, gamingday - (CAST(extract(day FROM gamingday) AS INT) - 1) AS month, sumbonuses AS amount,
+         typeoper > 0 AS earns, typeoper < 0 AS reverses, adt
+  FROM f WHERE gamingday > DATE '2024-01-04')"""
+
+
 @register("bonus_month", "D15", sql=with_adapters(BONUS_ADAPTERS, f"""
-SELECT membership, CAST(date_trunc('month', gamingday) AS DATE) AS month, count(*) AS bonus_entries,
-  CAST(sum(CASE WHEN typeoper = 1 THEN sumbonuses ELSE 0 END) AS {DEC}) AS total_earned,
-  CAST(sum(CASE WHEN typeoper = -1 THEN sumbonuses ELSE 0 END) AS {DEC}) AS total_reversed,
-  CAST(sum(sumbonuses) AS {DEC}) AS net_bonus,
-  {sql_avg_exact('sum(CASE WHEN typeoper = 1 AND adt IS NOT NULL THEN adt END)',
-                 'count(CASE WHEN typeoper = 1 AND adt IS NOT NULL THEN adt END)', 8)} AS avg_adt
-FROM f WHERE gamingday >= DATE '2024-01-05' GROUP BY ALL""", cs.BONUS_FACT))
+SELECT membership, month, count(*) AS bonus_entries,
+  CAST(coalesce(sum(amount) FILTER (earns), 0) AS {DEC}) AS total_earned,
+  CAST(coalesce(sum(amount) FILTER (reverses), 0) AS {DEC}) AS total_reversed, CAST(sum(amount) AS {DEC}) AS net_bonus,
+  {sql_avg_exact('sum(adt) FILTER (earns)', 'count(adt) FILTER (earns)', 8)} AS avg_adt
+FROM bookings GROUP BY membership, month""", cs.ctes(cs.BONUS_FACT, BOOKINGS)))
 def q_bonus_month(spark, sf):
     import datetime as dt
     return gold.bonus_month(gold.player_bonuses(_b(spark, sf), FROM_DAY, TO_DAY), dt.date(2024, 1, 5))
 
 
 @register("earned_bonuses", "B21", sql=with_adapters(BONUS_ADAPTERS, """
-SELECT gamingday, membership, gamename, typeoper, sumbonuses AS earned, multiplierloyalty AS house_edge_pct, hours,
-  handsperhour, averbet, adt AS average_daily_theoretical, percentadt, comment FROM f WHERE typeoper = 1""",
-                                                          cs.BONUS_FACT))
+SELECT * EXCLUDE (idplayerbonus, timeoper, idagent, agentname, citizenshipcountry, idbonusindicator, idgame, costbonuses, isdeleted)
+       RENAME (sumbonuses AS earned, multiplierloyalty AS house_edge_pct, adt AS average_daily_theoretical)
+FROM f WHERE typeoper > 0""", cs.BONUS_FACT))
 def q_earned_bonuses(spark, sf):
     return gold.earned_bonuses(gold.player_bonuses(_b(spark, sf), FROM_DAY, TO_DAY))
 
@@ -216,6 +223,13 @@ diff AS (
   SELECT 'only_in_generated' AS side, *, count(*) AS n FROM (SELECT * FROM generated EXCEPT ALL SELECT * FROM legacy) GROUP BY ALL)"""
 
 
+def _report(spark, sf):
+    """The report as a stored table: both sides are read back, as files are compared."""
+    path = scratch(spark)
+    sinks.write_full_refresh(gold.visit_sessions(_b(spark, sf), FROM_DAY, TO_DAY), path)
+    return swap.read_table(spark, path)
+
+
 def _generated(report):
     """A generated version of a report: members divisible by 17 are missing, those divisible by 19 doubled."""
     m = F.col("membership")
@@ -230,7 +244,7 @@ def q_reconcile_normalize(spark, sf):
 
 @register("reconcile_multiset", "H3,K4", sql=with_adapters(VISIT_ADAPTERS, "SELECT * FROM diff", RECON_SQL))
 def q_reconcile_multiset(spark, sf):
-    report = gold.visit_sessions(_b(spark, sf), FROM_DAY, TO_DAY)
+    report = _report(spark, sf)
     return gold.reconcile(report, _generated(report))
 
 
@@ -241,7 +255,7 @@ SELECT * EXCLUDE (rk) FROM (
     session_start ASC NULLS FIRST, session_finish ASC NULLS FIRST, averbet ASC NULLS FIRST) AS rk FROM diff)
 WHERE rk <= 15""", RECON_SQL))
 def q_reconcile_top(spark, sf):
-    report = gold.visit_sessions(_b(spark, sf), FROM_DAY, TO_DAY)
+    report = _report(spark, sf)
     return gold.reconcile_top(gold.reconcile(report, _generated(report)), 15)
 
 
@@ -251,5 +265,5 @@ SELECT (SELECT count(*) FROM legacy) AS legacy_rows, (SELECT count(*) FROM gener
   CAST(coalesce((SELECT sum(n) FROM diff WHERE side = 'only_in_generated'), 0) AS BIGINT) AS only_in_generated,
   CASE WHEN coalesce((SELECT sum(n) FROM diff), 0) = 0 THEN 0 ELSE 1 END AS status""", RECON_SQL))
 def q_reconcile_status(spark, sf):
-    report = gold.visit_sessions(_b(spark, sf), FROM_DAY, TO_DAY)
+    report = _report(spark, sf)
     return gold.reconcile_status(report, _generated(report))

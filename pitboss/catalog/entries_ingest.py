@@ -433,8 +433,6 @@ def q_row_count_snapshot(spark, sf):
         "bronze.cashdesk_transactions_raw": b.cashdesk_tx,
         "bronze.drgt_sessions_raw": b.drgt_sessions,
         "bronze.casino_transaction_money_raw": b.tx_money,
-        "silver.fact_membership_day": md,
-        "gold.fact_membership_day": md,
-        "gold.dim_egd_position": dim,
-        "gold.dim_egd_position.active": dim.filter(F.col("is_active")),
+        ("silver.fact_membership_day", "gold.fact_membership_day"): md,
+        ("gold.dim_egd_position", "gold.dim_egd_position.active"): (dim, [None, F.col("is_active")]),
     })

@@ -9,7 +9,6 @@ a repeated run must leave the same table.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,26 +16,17 @@ from pyspark.sql import functions as F
 from ..operators.dedupe import latest_per_key
 from ..functions.predicates import month_bounds
 from ..plans import loads, quality, silver
-from ..session import ensure_checkpoint_dir
 from ..sources import daypart, registry, sinks, swap
 from ..sources.adapters import FROM_DAY, TO_DAY, bronze_for
 from ..sources.tables import read_table
 from . import entries_gold, entries_ingest, entries_positions, entries_silver  # noqa: F401  (their SQL is used here)
 from .adapter_sql import with_adapters
 from .check_sql import known
-from .registry import ENTRIES, register
+from .registry import ENTRIES, register, scratch
 
 AGENT = 3
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder on shared storage, deleted when the driver ends."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
-    fs, p = swap.fs_path(spark, path)
-    fs.deleteOnExit(p)
-    return path
-
-
 def _visit_states(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return entries_ingest._visit_states(spark, sf)
 

@@ -8,11 +8,24 @@ look-up a correlated ORDER BY/LIMIT 1), so agreement is meaningful.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_checkpoint_dir
+from ..sources import swap
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder on shared storage, deleted when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    fs, p = swap.fs_path(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 

@@ -15,7 +15,7 @@ from ..functions.decimals import adt_product, avg_half_up
 from ..functions.predicates import day_between, known_member, not_deleted, unknown_key
 from ..operators.asof import agent_at
 from ..operators.overlap import overlap_left_join_bucketed
-from ..operators.reconcile import multiset_difference
+from ..operators.reconcile import difference_totals, multiset_difference
 from ..operators.pool import hour_chunk
 from ..operators.scan import balanced_chunks, chunked_row_number, nulls_last
 from . import silver
@@ -286,16 +286,7 @@ def reconcile_top(diff: DataFrame, n: int = 15) -> DataFrame:
 def reconcile_status(legacy: DataFrame, generated: DataFrame) -> DataFrame:
     """Exit status of a reconciliation (K4), one row: rows per side, surplus
     copies per side and ``status`` 0 (full match) or 1 (differences)."""
-    diff = reconcile(legacy, generated)
-    count = F.count(F.lit(1)).cast("long")
-    sides = legacy.agg(count.alias("legacy_rows")).unionByName(generated.agg(count.alias("generated_rows")),
-                                                               allowMissingColumns=True)
-    extra = diff.agg(F.coalesce(F.sum(F.when(F.col("side") == "only_in_legacy", F.col("n"))), F.lit(0))
-                     .cast("long").alias("only_in_legacy"),
-                     F.coalesce(F.sum(F.when(F.col("side") == "only_in_generated", F.col("n"))), F.lit(0))
-                     .cast("long").alias("only_in_generated"))
-    # one-row aggregates side by side: stacked and folded, no join
-    both = sides.unionByName(extra, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in ("legacy_rows", "generated_rows", "only_in_legacy", "only_in_generated")])
+    both = difference_totals(normalize_report(legacy), normalize_report(generated), list(REPORT_COLS)).toDF(
+        "legacy_rows", "generated_rows", "only_in_legacy", "only_in_generated")
     return both.withColumn("status", F.when((F.col("only_in_legacy") == 0) & (F.col("only_in_generated") == 0), 0)
                            .otherwise(1))

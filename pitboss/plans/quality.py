@@ -41,10 +41,18 @@ def health_check(target: DataFrame, day_col: str, day: dt.date) -> DataFrame:
     return probe.agg((F.count(F.lit(1)) > 0).alias("has_rows")).select(_d(day).alias("day"), "has_rows")
 
 
-def row_count_snapshot(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Row counts of several tables/ranges as one DataFrame."""
+def row_count_snapshot(tables: Mapping[str | tuple[str, ...], DataFrame | tuple]) -> DataFrame:
+    """Row counts of several tables/ranges as one DataFrame.
+
+    Several names may share one table, each with its own filter (None: all
+    rows), given as ``(table, [filters])``: the table is read once for them."""
     out = None
-    for name, df in tables.items():
-        row = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+    for names, held in tables.items():
+        names = (names,) if isinstance(names, str) else names
+        df, filters = held if isinstance(held, tuple) else (held, [None] * len(names))
+        counts = df.agg(*[(F.count(F.lit(1)) if f is None else F.count_if(f)).alias(f"_{i}") for i, f in enumerate(filters)])
+        pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("table_name"), F.col(f"_{i}").alias("rows"))
+                                    for i, n in enumerate(names)])).alias("_row")
+        row = counts.select(pairs).select("_row.table_name", "_row.rows")
         out = row if out is None else out.unionByName(row)
     return out

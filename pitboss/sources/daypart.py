@@ -17,6 +17,7 @@ known parent wait in the NULL partition.  Repeating a load changes nothing.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.predicates import day_between
-from ..session import ensure_checkpoint_dir
 from . import sinks, swap
 
 CARRIED = "carried_day"
@@ -87,31 +87,31 @@ def load_with_days(spark: SparkSession, batches: Mapping[str, DataFrame], parent
     ``parents``: the whole day-bearing tables at the head of the chains
     (``players_tracking``, ``cashdesk_tx``); ``tables``: stored paths of the
     children.  Later rows of a key win."""
-    ensure_checkpoint_dir(spark)
     written = dict(batches)
-    for link in LINKS:
-        if link.table not in tables or not {link.table, link.parent} & set(written):
-            continue
-        path = tables[link.table]
-        above = parents[link.parent] if link.parent in parents else swap.read_table(
-            spark, tables[link.parent], T.StructType([T.StructField(link.up, T.LongType()),
-                                                      T.StructField(CARRIED, T.DateType())]))
-        rows = None
-        if link.table in batches:
-            rows = with_day(batches[link.table], above, link)
-        if link.parent in written and swap.table_exists(spark, path):
-            moved = _misplaced(swap.read_table(spark, path), written[link.parent], above, link)
+    with ExitStack() as stack:
+        for link in LINKS:
+            if link.table not in tables or not {link.table, link.parent} & set(written):
+                continue
+            path = tables[link.table]
+            above = parents[link.parent] if link.parent in parents else swap.read_table(
+                spark, tables[link.parent], T.StructType([T.StructField(link.up, T.LongType()),
+                                                          T.StructField(CARRIED, T.DateType())]))
+            rows = None
+            if link.table in batches:
+                rows = with_day(batches[link.table], above, link)
+            if link.parent in written and swap.table_exists(spark, path):
+                moved = _misplaced(swap.read_table(spark, path), written[link.parent], above, link)
+                if rows is not None:
+                    again = rows.select(*[F.col(k).alias(f"_again_{k}") for k in link.key])
+                    same = F.lit(True)
+                    for k in link.key:
+                        same = same & F.col(k).eqNullSafe(F.col(f"_again_{k}"))
+                    moved = rows.unionByName(moved.join(again, same, "left_anti"))
+                rows = moved
             if rows is not None:
-                again = rows.select(*[F.col(k).alias(f"_again_{k}") for k in link.key])
-                same = F.lit(True)
-                for k in link.key:
-                    same = same & F.col(k).eqNullSafe(F.col(f"_again_{k}"))
-                moved = rows.unionByName(moved.join(again, same, "left_anti"))
-            rows = moved
-        if rows is not None:
-            # read from the table it is about to change: cut loose first
-            written[link.table] = rows = rows.checkpoint()
-            sinks.write_upsert(rows, path, list(link.key), F.lit(0), [CARRIED])
+                # read from the table it is about to change: cut loose first
+                written[link.table] = rows = stack.enter_context(swap.held(rows))
+                sinks.write_upsert(rows, path, list(link.key), F.lit(0), [CARRIED])
 
 
 class DayTables:

@@ -188,17 +188,15 @@ def run_incremental(spark: SparkSession, source: DataFrame, cfg: SourceConfig, t
     Reads the watermark, extracts (watermark / re-read / full snapshot), loads
     the target (keyed upsert, or append for a source without key), advances
     the watermark in the control table and appends a run-log row, which is
-    also returned.  The extract is checkpointed once in the shared checkpoint
-    folder, so the target write, the new watermark and the counts all see the
-    same snapshot of the source and the source is read once.
+    also returned.  The extract is written once to the shared checkpoint folder
+    for the time of the run, so the target write, the new watermark and the
+    counts all see the same snapshot of the source and the source is read once.
 
     A run that fails before the watermark moves is repeated from the same
     watermark.  The keyed upsert makes that harmless; appended rows go to a
     partition ``loaded_from`` named after the watermark the run started from,
     which a repeat overwrites.  A failure is logged and raised."""
-    from ..session import ensure_checkpoint_dir
     from .sinks import write_partitions, write_upsert
-    ensure_checkpoint_dir(spark)
     run_ts = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
     rows_read = 0
 
@@ -215,16 +213,16 @@ def run_incremental(spark: SparkSession, source: DataFrame, cfg: SourceConfig, t
             # what a failed run appended from this watermark is written again as a whole
             stored = spark.read.parquet(target_path).filter(F.col("loaded_from") != F.lit(loaded_from))
             extracted = not_yet_stored(extracted, stored, cfg, old)
-        extracted = extracted.checkpoint(eager=True)
-        rows_read = extracted.count()
-        if rows_read:
-            if cfg.key:
-                write_upsert(extracted, target_path, list(cfg.key), seq, partition_by)
-            else:
-                write_partitions(extracted.withColumn("loaded_from", F.lit(loaded_from)),
-                                 target_path, ["loaded_from", *partition_by])
-            wm = advance_watermark(extracted, cfg, old, run_at).withColumn("updated_at_utc", run_ts)
-            write_upsert(wm, control_path, ["source_table"], F.col("updated_at_utc"))
+        with swap.held(extracted) as batch:
+            rows_read = batch.count()
+            if rows_read:
+                if cfg.key:
+                    write_upsert(batch, target_path, list(cfg.key), seq, partition_by)
+                else:
+                    write_partitions(batch.withColumn("loaded_from", F.lit(loaded_from)),
+                                     target_path, ["loaded_from", *partition_by])
+                wm = advance_watermark(batch, cfg, old, run_at).withColumn("updated_at_utc", run_ts)
+                write_upsert(wm, control_path, ["source_table"], F.col("updated_at_utc"))
     except Exception as e:
         logged(0, f"{type(e).__name__}: {e}")
         raise

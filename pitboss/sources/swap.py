@@ -25,11 +25,14 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 CONTROL = "_swap"
 JOURNAL = "journal.json"
 SCHEMA = "_common_metadata"
@@ -85,6 +88,19 @@ def read_text(spark: SparkSession, path: str) -> str:
         held.close()
 
 
+@contextmanager
+def held(rows: DataFrame) -> Iterator[DataFrame]:
+    """``rows`` computed once and kept on shared storage while the block runs: what
+    is written from them cannot change them, and a lost executor loses nothing."""
+    spark = rows.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/held-{uuid.uuid4().hex}"
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
 # --------------------------------------------------------------------------- tables
 
 def _hidden(name: str) -> bool:

@@ -13,16 +13,20 @@ A whole training word is one more arc across its lattice: with absolute
 discounting, P(w) = max(c - d, 0) / N + d * V / N * lattice(w).
 
 Corpora mix languages, so pieces and counts are kept per class of documents:
-CLASSES multinomial profiles of byte pairs, fitted on a bounded sample
-(CLASS_DOCS training documents), name a text's class k.  A document's score
+CLASSES multinomial profiles of byte pairs, fitted by hard EM over all training
+documents, name a text's class k.  The first profiles are single documents,
+drawn with chances that grow with their length and the squared distance from
+those drawn before (k-means++); each draw and each round is one pass over the documents' stored
+byte-pair counts, and only sums by class and pair leave it.  Sums are of whole
+numbers, so they do not depend on the order of rows.  A document's score
 is log10 of share(k) times the probability of its words and its end in class
 k: one term of the mixture over classes, hence a bound of its probability
 from below.
 
 Counts come from the whole corpus: chunks send their distinct words to
 buckets, a bucket answers with count and lattice likelihood, computed once a
-word.  Only sums over pieces (bounded by the vocabulary) and four totals go
-through the driver.
+word.  Only sums over pieces (bounded by the vocabulary) and byte pairs (PROFILE
+a class), the documents drawn and four totals go through the driver.
 
 Defined cases: null and empty texts consist of their end; rows with a null
 doc_id are scored, are not held out and not learned from; repeated rows
@@ -46,7 +50,9 @@ from .hashing import BYTES, Spans, mix, parts, text_bytes, word_spans
 FOLDS, HELD_OUT = 7, 2
 ROUNDS = 3
 LONGEST_PIECE = 16
-CLASSES, CLASS_DOCS, PROFILE = 6, 2000, 2048
+CLASSES, PROFILE = 6, 2048
+CLASS_ROUNDS = 15
+UNIT = 1 << 20  # a document's byte-pair counts are scaled to about this sum
 WORDS_AT_ONCE = 1 << 20  # bytes of words whose lattices are in memory together
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -230,14 +236,23 @@ def _word_blob(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return out
 
 
+def _pair_table() -> np.ndarray:
+    """Hash of the lower-cased pair of two bytes, at 256 * first + second."""
+    low = _LOWER.astype(np.int64)
+    return ((low[:, None] * 257 + low) * 40503 % 65521 % PROFILE).ravel()
+
+
+_PAIRS = _pair_table()
+
+
 def byte_pairs(column: pa.Array | pa.ChunkedArray):
     """(first row, counts of hashed lower-cased byte pairs of some rows), block by block."""
     data, offsets = text_bytes(column)
     step = max(1, (1 << 21) // PROFILE)
     for a, b in parts(offsets):
         at = offsets[a:b + 1] - offsets[a]
-        piece = _LOWER[data[offsets[a]:offsets[b]]].astype(np.int64)
-        pair = (piece[:-1] * 257 + piece[1:]) * 40503 % 65521 % PROFILE
+        piece = data[offsets[a]:offsets[b]].astype(np.uint16)
+        pair = _PAIRS[piece[:-1] << 8 | piece[1:]]
         row = np.repeat(np.arange(b - a), np.diff(at))
         inside = row[:-1] == row[1:]
         for lo in range(0, b - a, step):
@@ -254,24 +269,109 @@ def classes_of(column: pa.Array | pa.ChunkedArray, profiles: np.ndarray) -> np.n
                                                     for _, counts in byte_pairs(column)]]).astype(np.int64)
 
 
-def fit_classes(counts: np.ndarray, classes: int = CLASSES, rounds: int = 15) -> np.ndarray:
-    """Log profiles of classes of texts (hard EM of a multinomial mixture), from
-    starts far from each other."""
-    n = counts.sum(axis=1, keepdims=True)
-    counts = counts[n[:, 0] > 0] / np.maximum(1, n[n[:, 0] > 0])
-    background = counts.mean(axis=0) + 1e-6 if len(counts) else np.full(PROFILE, 1 / PROFILE)
-    profiles = [np.log(background / background.sum())]
-    if not len(counts):
-        return np.stack(profiles)
-    centre = [counts[0]]
-    far = ((counts - centre[0]) ** 2).sum(axis=1)
-    while len(centre) < min(classes, len(counts)):
-        centre.append(counts[int(np.argmax(far))])
-        far = np.minimum(far, ((counts - centre[-1]) ** 2).sum(axis=1))
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """(doc_id, chance, pairs, counts) of ``texts(doc_id, text)``: the byte pairs of each
+    text with their counts, and a number in 0 to 1 that follows from its doc_id."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pairs, counts = [], []
+        for _, block in byte_pairs(batch.column("text")):
+            row, pair = np.nonzero(block)
+            n = block[row, pair].astype(np.uint32)
+            cuts = np.searchsorted(row, np.arange(len(block) + 1))
+            pair = pair.astype(np.uint16)
+            pairs += [pair[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            counts += [n[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("chance"), pa.array(pairs, pa.binary()), pa.array(counts, pa.binary())],
+            names=["doc_id", "chance", "pairs", "counts"])
+    chance = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    return materialize(map_batches(texts.select("doc_id", chance.alias("chance"), "text"), run,
+                                   "doc_id long, chance double, pairs binary, counts binary"))
+
+
+def _dense(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, pair, count) of a batch of ``pair_counts``, and the counts as a matrix."""
+    pair = np.frombuffer(b"".join(batch.column("pairs").to_pylist()), np.uint16).astype(np.int64)
+    count = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(batch.num_rows), [len(x.as_buffer()) // 2 for x in batch.column("pairs")])
+    matrix = np.zeros((batch.num_rows, PROFILE), np.float32)
+    matrix[row, pair] = count
+    return row, pair, count, matrix
+
+
+def _parts_of(row: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+    """Counts as whole UNITths of their row's sum."""
+    total = np.bincount(row, weights=count, minlength=n).astype(np.int64)
+    return count * UNIT // np.maximum(1, total)[row]
+
+
+def _class_sums(counted: DataFrame, profiles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the documents' scaled byte pairs by their most likely class, and the
+    number of documents with any in each class."""
+    def run(batches):
+        sums = np.zeros((len(profiles), PROFILE + 1), np.int64)
+        for batch in batches:
+            row, pair, count, matrix = _dense(batch)
+            own = np.argmax(matrix @ profiles.T.astype(np.float32), axis=1)
+            scaled = _parts_of(row, count, batch.num_rows)
+            sums[:, :PROFILE] += np.bincount(own[row] * PROFILE + pair, weights=scaled, minlength=len(profiles) * PROFILE
+                                             ).reshape(-1, PROFILE).astype(np.int64)
+            sums[:, PROFILE] += np.bincount(own[np.unique(row)], minlength=len(profiles))
+        kind, pair = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(pair, pa.int32()),
+                                          pa.array(sums[kind, pair])], names=["class", "pair", "n"])
+    small_batches(counted.sparkSession)
+    sums = np.zeros((len(profiles), PROFILE + 1), np.int64)
+    for k, pair, n in (counted.select("pairs", "counts").mapInArrow(run, "class int, pair int, n long")
+                       .groupBy("class", "pair").agg(F.sum("n")).collect()):  # one row a class and pair
+        sums[k, pair] = n
+    return sums[:, :PROFILE] / UNIT, sums[:, PROFILE]
+
+
+def _drawn(counted: DataFrame, centres: list[np.ndarray]) -> np.ndarray:
+    """Scaled byte pairs of one document, drawn from all that have any with chances in
+    proportion to their number of pairs and the squared distance from the nearest of
+    ``centres`` (if any): the least of exponential numbers with these rates."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        row, pair, count, matrix = _dense(batch)
+        some = np.unique(row)
+        if not len(some):
+            return None
+        matrix[row, pair] = _parts_of(row, count, batch.num_rows) / UNIT
+        rate = np.bincount(row, weights=count)[some]
+        if centres:
+            near = [((matrix[some] - c.astype(np.float32)) ** 2).sum(axis=1, dtype=np.float64) for c in centres]
+            rate = rate * np.maximum(np.min(near, axis=0), 1e-300)
+        wait = -np.log(batch.column("chance").to_numpy()[some]) / rate
+        one = some[np.flatnonzero(wait == wait.min())]
+        columns = [batch.column(k).take(pa.array(one)) for k in ("doc_id", "pairs", "counts")]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(one), wait.min())), *columns],
+                                          names=["wait", "doc_id", "pairs", "counts"])
+    found = map_batches(counted, run, "wait double, doc_id long, pairs binary, counts binary")
+    first = found.agg(F.min(F.struct("wait", "doc_id", "pairs", "counts")).alias("one")).first()["one"]
+    pair, count = np.frombuffer(first["pairs"], np.uint16), np.frombuffer(first["counts"], np.uint32).astype(np.int64)
+    out = np.zeros(PROFILE)
+    out[pair] = _parts_of(np.zeros(len(pair), np.int64), count, 1) / UNIT
+    return out
+
+
+def fit_classes(counted: DataFrame, classes: int = CLASSES, rounds: int = CLASS_ROUNDS) -> np.ndarray:
+    """Log profiles of classes of the texts of ``pair_counts`` (hard EM of a multinomial
+    mixture over all of them), from starts far from each other."""
+    sums, n = _class_sums(counted, np.zeros((1, PROFILE)))
+    if not n[0]:
+        return np.full((1, PROFILE), -math.log(PROFILE))
+    background = sums[0] / n[0] + 1e-6
+    centre: list[np.ndarray] = []
+    while len(centre) < min(classes, n[0]):
+        centre.append(_drawn(counted, centre))
+    before = None
     for _ in range(rounds):
-        logs = np.log(np.stack([0.9 * c + 0.1 * background for c in centre]))
-        own = np.argmax(counts @ logs.T, axis=1)
-        centre = [counts[own == k].mean(axis=0) if (own == k).any() else centre[k] for k in range(len(centre))]
+        sums, n = _class_sums(counted, np.log(np.stack([0.9 * c + 0.1 * background for c in centre])))
+        if before is not None and (sums == before).all():
+            break  # no document changes its class any more
+        before = sums
+        centre = [sums[k] / n[k] if n[k] else centre[k] for k in range(len(centre))]
     logs = np.stack([0.9 * c + 0.1 * background for c in centre])
     return np.log(logs / logs.sum(axis=1, keepdims=True))
 
@@ -398,12 +498,8 @@ def score(docs: DataFrame, model_path: str, rounds: int = ROUNDS, classes: int =
     pieces, prior = Pieces(first, inner), prior_of(first_rank, inner_rank)
     texts = documents_of(docs)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
-    sample = (texts.where(fold != HELD_OUT).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CLASS_DOCS).select("text"))
-    counted = map_batches(sample, lambda b: pa.RecordBatch.from_arrays(
-        [pa.array([x.tobytes() for _, counts in byte_pairs(b.column("text")) for x in counts], pa.binary())],
-        names=["x"]), "x binary").collect()
-    profiles = fit_classes(np.stack(sorted([np.frombuffer(r["x"], np.float32) for r in counted], key=bytes))
-                           if counted else np.zeros((0, PROFILE)), classes)
+    counted = pair_counts(texts.where(fold != HELD_OUT))
+    profiles = fit_classes(counted, classes)
     k_all = len(profiles)
     chunks, bits = exchange.chunked(texts)
     chunks = (chunks.withColumn("held_out", F.coalesce(fold == HELD_OUT, F.lit(False)))
@@ -414,12 +510,12 @@ def score(docs: DataFrame, model_path: str, rounds: int = ROUNDS, classes: int =
     for r in vocabulary.groupBy("class").agg(*[F.sum(c) for c in ("tokens", "seen", "once", "twice", "alone")]).collect():
         stats[r[0]] = r[1:]
 
-    def kinds_of(rows: pa.Table) -> pa.Table:
-        kind = classes_of(rows.column("text"), profiles)
-        return pa.table({"class": pa.array(kind, pa.int32()), "n": pa.array(np.ones(len(kind), np.int64))})
+    def kinds_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kind = np.argmax(_dense(batch)[3] @ profiles.T.astype(np.float32), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(np.ones(len(kind), np.int64))],
+                                          names=["class", "n"])
     ends = np.zeros(k_all)  # one end a training document
-    trained = map_batches(texts.where(fold != HELD_OUT).select("text"), lambda b: kinds_of(b).to_batches()[0],
-                          "class int, n long")
+    trained = map_batches(counted.select("pairs", "counts"), kinds_of, "class int, n long")
     for r in trained.groupBy("class").agg(F.sum("n")).collect():
         ends[r[0]] = r[1]
     tokens, seen, once, twice, alone = stats.T

@@ -1,12 +1,15 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+from pyspark.sql import functions as F
 
 from pitboss.llm import lattice_lm as op
+from pitboss.llm.common import documents_of
 
 from .brute import WORDS, lower
 
@@ -97,3 +100,26 @@ def test_empty_table_and_no_training(make_docs):
     assert op.score(make_docs([]), MODEL).count() == 0
     out = op.score(make_docs([(None, "a b"), (None, None)]).withColumnRenamed("lang", "words"), MODEL).collect()
     assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"]) for r in out) == [(1, 0, 0), (3, 0, 0)]
+
+
+def test_classes_come_from_all_training_documents(make_docs, spark):
+    """Documents of other letters, all behind the 2,000 first in the order of their ids' hashes, get a class."""
+    rnd = random.Random(4)
+    common, rare = (["".join(rnd.choice(letters) for _ in range(6)) for _ in range(20)] for letters in ("abcdefg", "tuvwxyz"))
+    ids = spark.range(4000).where(F.crc32(F.col("id").cast("string").cast("binary")) % 7 != 2)
+    ids = [r["id"] for r in ids.orderBy(F.xxhash64("id"), "id").limit(2240).collect()]
+    rows = [(i, " ".join(rnd.choice(rare if k >= 2200 else common) for _ in range(25))) for k, i in enumerate(ids)]
+    out = {r["doc_id"]: r for r in op.score(make_docs(rows), MODEL, 1).collect()}
+    assert len(out) == len(rows)
+    # 20 words are equally likely in their own class; in one class with others they are rarer
+    for i in ids[2200:]:
+        assert out[i]["score"] / out[i]["n_tokens"] > -1.5
+    assert all(r["train_tokens"] == 26 * len(rows) for r in out.values())
+
+
+def test_profiles_of_equal_and_empty_documents(make_docs, spark):
+    for texts in (["a b"] * 4 + [None], ["", None], []):
+        docs = documents_of(make_docs(list(enumerate(texts))))
+        profiles = op.fit_classes(op.pair_counts(docs))
+        assert len(profiles) == max(1, sum(bool(t) for t in texts))
+        assert np.allclose(np.exp(profiles).sum(axis=1), 1)

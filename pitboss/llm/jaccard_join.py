@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import exchange
-from .common import documents_of, map_batches, materialize, small_batches
+from .common import by_size, documents_of, map_batches, materialize, small_batches
 from .graph import components
 from .hashing import mix, shingle_sets
 
@@ -74,6 +74,9 @@ ROUNDS = (False, True)
 # Index entries of one bucket: bounds a task's memory.  A pair is found in every
 # bucket that holds one of its shared shingles, so there should be few buckets.
 BUCKET_ENTRIES = 1 << 20
+# What one task writes: bytes of sets; pairs that it verifies.
+TASK_BYTES = 4 << 20
+TASK_PAIRS = 1 << 12
 SETS = "doc_id long, n long, set_key long, tokens binary"
 
 
@@ -257,14 +260,17 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame
     answers = exchange.answer(exchange.ask(chunks, bits, _keys_of(size)), "u2", _rarity)
     sets = materialize(exchange.apply_answers(chunks, answers, _sets_of(size, percent), SETS))
     known = sets.where("doc_id is not null and set_key is not null")
-    classes = materialize(known.groupBy("set_key").agg(F.min("doc_id").alias("node")))
+    n_known, live_bytes = known.agg(F.count("*"), F.sum(F.octet_length("tokens"))).first()
+    classes = materialize(by_size(known.groupBy("set_key").agg(F.min("doc_id").alias("node")), n_known))
     # one row of each set that can link: the equal sets' tokens are equal
     first = known.where("tokens is not null").join(
         classes.withColumnRenamed("set_key", "__key"),
         (F.col("set_key") == F.col("__key")) & (F.col("doc_id") == F.col("node")))
-    nodes = materialize(first.dropDuplicates(["node"]).select("node", "n", "tokens"))
+    nodes = materialize(by_size(first.dropDuplicates(["node"]).select("node", "n", "tokens"),
+                                live_bytes or 0, TASK_BYTES))
 
-    entries = nodes.agg(F.sum(F.octet_length("tokens") / 8)).first()[0] or 0
+    entries, n_nodes = nodes.agg(F.sum(F.octet_length("tokens") / 8), F.count("*")).first()
+    entries = entries or 0
     bits = max(3, math.ceil(math.log2(max(1, entries * (100 - percent) / 100 / BUCKET_ENTRIES))))
     home = None  # (node, far, home) of the nodes verified so far: the nearest leader, itself for a leader
     links = None
@@ -272,20 +278,22 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame
         lists = _postings(_placed(nodes, home, links), bits, percent)
         pairs = materialize(lists.groupBy("bucket").applyInArrow(_leader_pairs(percent, nearest), PAIRS)
                             .groupBy("a", "b").agg(F.max("linked").alias("linked")))
-        tested = materialize(_verify(pairs.where("not linked"), nodes, percent))
+        open_ = pairs.where("not linked")
+        tested = materialize(by_size(_verify(open_, nodes, percent), open_.count(), TASK_PAIRS))
         new = tested.where("linked").select("a", "b").union(pairs.where("linked").select("a", "b"))
         links = new if links is None else links.union(new)
         near = (tested.select(F.col("b").alias("node"), "far", F.col("a").alias("home"))
                 .unionByName(tested.select(F.col("a").alias("node"), F.lit(0).cast("long").alias("far"),
                                            F.col("a").alias("home"))))
         near = near if home is None else near.unionByName(home)
-        home = materialize(near.groupBy("node").agg(F.min(F.struct("far", "home")).alias("best"))
-                           .select("node", "best.far", "best.home"))
+        home = materialize(by_size(near.groupBy("node").agg(F.min(F.struct("far", "home")).alias("best"))
+                                   .select("node", "best.far", "best.home"), n_nodes))
     rest = materialize(_postings(_placed(nodes, home, links), bits, percent).groupBy("bucket")
                        .applyInArrow(_rest_pairs(percent), PAIRS).groupBy("a", "b")
                        .agg(F.max("linked").alias("linked")))
-    more = (_verify(rest.where("not linked"), nodes, percent).where("linked").select("a", "b")
-            .union(rest.where("linked").select("a", "b")))
+    open_ = rest.where("not linked")
+    more = materialize(by_size(_verify(open_, nodes, percent), open_.count(), TASK_PAIRS)).where("linked").select("a", "b")
+    more = more.union(rest.where("linked").select("a", "b"))
     found = components(links.union(more))
     member = (classes.join(found.withColumnRenamed("node", "__node"), classes["node"] == F.col("__node"), "left")
               .select(F.col("set_key").alias("__set"), F.col("node").alias("set_id"),
